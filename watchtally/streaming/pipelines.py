@@ -1,0 +1,66 @@
+"""Structured Streaming forms of the two jobs.
+
+Job 1 (clean, split, enrich, publish) runs as ``foreachBatch`` so that one
+micro-batch is parsed once and feeds both the dirty and the enriched sink,
+and so the dimension sides can be refreshed on a TTL (J6/J7).
+
+Job 2 (sessions, rule match, completion) is a single streaming query:
+watermark -> ``session_window`` aggregation -> broadcast rule join ->
+keyed state (``transformWithStateInPandas``) -> append sink.
+"""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from watchtally.operators.clean import clean_branch, dirty_branch, parse_log
+from watchtally.operators.enrich import dwd_video_wide
+from watchtally.operators.rules import rule_match
+from watchtally.operators.sessions import (
+    REFERENCE_GAP_MS, REFERENCE_MS_PER_EVENT, session_rows, stream_raw_sessions,
+)
+from watchtally.operators.sinks import to_json_value
+from watchtally.sources.dims import DimensionCache
+from watchtally.streaming.completion import apply_completion
+
+
+def session_stream(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
+                   watermark_delay: str = "0 seconds",
+                   ms_per_event: int = REFERENCE_MS_PER_EVENT) -> DataFrame:
+    """Closed sessions of a dwd stream (late rows dropped by the watermark)."""
+    raw = stream_raw_sessions(dwd, gap_ms, watermark_delay)
+    return session_rows(raw, gap_ms, ms_per_event).where(F.col("videoLength") > 0)
+
+
+def completion_stream(dwd: DataFrame, rule: DataFrame, task: DataFrame,
+                      gap_ms: int = REFERENCE_GAP_MS, watermark_delay: str = "0 seconds",
+                      measure: str = "video_length") -> DataFrame:
+    """Job 2 end to end: one output row per completed (user, video, task)."""
+    sessions = session_stream(dwd, gap_ms, watermark_delay)
+    matched = rule_match(sessions, rule, task)
+    col = "videoLength" if measure == "video_length" else "duration"
+    return apply_completion(matched, col)
+
+
+def job1_batch_writer(doctor: DimensionCache, video: DimensionCache,
+                      write_wide: Callable[[DataFrame, int], None],
+                      write_dirty: Callable[[DataFrame, int], None]):
+    """``foreachBatch`` body of job 1.
+
+    The micro-batch is parsed once and persisted; the dirty branch and the
+    enriched branch (as JSON topic records) are written from it; the
+    dimension sides come from TTL caches (bounded staleness, no row cap).
+    """
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        parsed = parse_log(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_dirty(dirty_branch(parsed), epoch_id)
+            wide = dwd_video_wide(clean_branch(parsed), doctor.get(), video.get())
+            write_wide(to_json_value(wide), epoch_id)
+        finally:
+            parsed.unpersist()
+    return run

@@ -31,7 +31,14 @@ from watchtally.streaming.completion import apply_completion
 def session_stream(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
                    watermark_delay: str = "0 seconds",
                    ms_per_event: int = REFERENCE_MS_PER_EVENT) -> DataFrame:
-    """Closed sessions of a dwd stream (late rows dropped by the watermark)."""
+    """Closed sessions of a dwd stream (late rows dropped by the watermark).
+
+    A row is late when its own window ``[ts, ts + gap)`` ended before the
+    watermark. Rows of one micro-batch are merged inside their input partition
+    first, so a late row that joins a still-open session of the same batch is
+    kept (the reference's merging windows keep it too when it arrives after
+    its neighbour).
+    """
     raw = stream_raw_sessions(dwd, gap_ms, watermark_delay)
     return session_rows(raw, gap_ms, ms_per_event).where(F.col("videoLength") > 0)
 

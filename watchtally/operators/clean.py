@@ -25,19 +25,23 @@ _ITEM_TYPE = "struct<resource_id:string>"
 
 
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Raw lines -> parsed columns plus ``is_dirty``; keeps ``value``."""
+    """Raw lines -> parsed columns plus ``is_dirty``; keeps ``value``.
+
+    The parsed fields come out of a one-element ``inline`` generator. Filters
+    on them (the clean/dirty split, the joins' inferred ``isnotnull``) cannot
+    be pushed below a generator, so Catalyst cannot copy ``try_parse_json``
+    into each predicate: every line is parsed exactly once.
+    """
     v = F.col(value_col)
-    j = F.try_parse_json(v)
+    carry = [c for c in raw.columns if c != value_col]
     parsed = raw.where(v.isNotNull()).select(
-        v.alias("value"), j.alias("_j"),
-        *[c for c in raw.columns if c != value_col],
-    )
+        v.alias("value"), F.try_parse_json(v).alias("_j"), *carry)
     item = F.try_variant_get(F.col("_j"), "$.Item", _ITEM_TYPE)
     ts_text = get_string("_j", "ts")
     ts = get_long("_j", "ts")
     event = get_string("_j", "event")
-    return parsed.select(
-        "*",
+    fields = F.struct(
+        F.col("value"), *[F.col(c) for c in carry],
         get_string("_j", "deviceId").alias("deviceId"),
         get_string("_j", "userCode").alias("userCode"),
         event.alias("eventCode"),
@@ -46,7 +50,8 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
         item.getField("resource_id").alias("resourceId"),
         (F.col("_j").isNull() | item.isNull() | (ts_text.isNotNull() & ts.isNull()))
         .alias("is_dirty"),
-    ).drop("_j")
+    )
+    return parsed.select(F.inline(F.array(fields)))
 
 
 LOG_COLUMNS = ["deviceId", "userCode", "eventCode", "eventType", "ts", "resourceId"]

@@ -74,8 +74,7 @@ def completion_first(matched: DataFrame, measure: str = "video_length") -> DataF
 def completion_state(matched: DataFrame, measure: str = "video_length") -> DataFrame:
     """Final stored state of every key (frozen once complete)."""
     run = running_progress(matched, measure)
-    last = F.max_by(F.struct("complete", "videoLength", "videoPercent", "ruleLength",
-                             "rulePercent"), F.col("s0"))
-    return (run.groupBy(*KEY).agg(last.alias("st"))
-               .select(*KEY, "st.complete", "st.videoLength", "st.videoPercent",
-                       "st.ruleLength", "st.rulePercent"))
+    # one fixed-width max_by per column keeps this a hash aggregate; it reuses
+    # the window's partitioning, so it adds no exchange
+    cols = ["complete", "videoLength", "videoPercent", "ruleLength", "rulePercent"]
+    return run.groupBy(*KEY).agg(*[F.max_by(c, "s0").alias(c) for c in cols])

@@ -57,9 +57,13 @@ def event_time(dwd: DataFrame, name: str = "et") -> DataFrame:
     return dwd.withColumn("ts", ts).withColumn(name, F.timestamp_millis(ts))
 
 
-def _first_struct() -> Column:
-    # earliest event wins; ties resolved by the smallest (level, length)
-    return F.min(F.struct("ts", "level", "video_length"))
+def _first_values() -> list[Column]:
+    # A3: values of the earliest event. ``min_by`` keeps fixed-width buffers,
+    # so the aggregate stays a hash aggregate (a struct ``min`` would force a
+    # sort-based one). Events tied on the same millisecond may give either
+    # value, like the reference's arrival order.
+    return [F.min_by("level", "ts").alias("level"),
+            F.min_by("video_length", "ts").alias("video_length")]
 
 
 def _gaps_and_islands(df: DataFrame, part: list[str], gap_ms: int,
@@ -67,24 +71,27 @@ def _gaps_and_islands(df: DataFrame, part: list[str], gap_ms: int,
     """Number runs of rows ordered by t0 where t0 - previous t1 <= gap;
     optionally also the number of runs in the partition (``_nrun``)."""
     w = Window.partitionBy(*part).orderBy("t0")
-    prev = F.lag("t1").over(w)
+    prev = F.col("_prev")
     brk = F.when(prev.isNull() | ((F.col("t0") - prev) > F.lit(gap_ms)), 1).otherwise(0)
-    df = (df.withColumn("_brk", brk)
+    df = (df.withColumn("_prev", F.lag("t1").over(w))
+            .withColumn("_brk", brk)
             .withColumn(out, F.sum("_brk").over(
                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     if count_runs:
         df = df.withColumn("_nrun", F.sum("_brk").over(Window.partitionBy(*part)))
-    return df.drop("_brk")
+    return df.drop("_brk", "_prev")
 
 
 def _merge_aggs() -> list[Column]:
+    # cells / fragments of one key never share a t0, so min_by is exact here
     return [F.sum("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
-            F.min("first").alias("first")]
+            F.min_by("level", "t0").alias("level"),
+            F.min_by("video_length", "t0").alias("video_length")]
 
 
 def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
                  bucket_ms: int | None = None) -> DataFrame:
-    """Batch sessions: (userCode, resourceId, n, t0, t1, first) per session."""
+    """Batch sessions: (userCode, resourceId, n, t0, t1, level, video_length)."""
     gap_ms = int(gap_ms)
     if gap_ms < 1:
         raise ValueError("gap must be at least 1 ms")
@@ -96,7 +103,7 @@ def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     cells = (ev.withColumn("_cell", _floordiv("ts", gap_ms))
                .groupBy(*KEYS, "_cell")
                .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"),
-                    F.max("ts").alias("t1"), _first_struct().alias("first")))
+                    F.max("ts").alias("t1"), *_first_values()))
 
     bucketed = cells.withColumn("_bucket", _floordiv("_cell", cells_per_bucket))
     numbered = _gaps_and_islands(bucketed, KEYS + ["_bucket"], gap_ms, "_frag",
@@ -106,7 +113,7 @@ def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
                      .groupBy(*KEYS, "_bucket", "_frag", "_edge")
                      .agg(*_merge_aggs()))
 
-    cols = [*KEYS, "n", "t0", "t1", "first"]
+    cols = [*KEYS, "n", "t0", "t1", "level", "video_length"]
     interior = frags.where(~F.col("_edge")).select(*cols)
     edges = frags.where(F.col("_edge")).select(*cols)
     stitched = (_gaps_and_islands(edges, KEYS, gap_ms, "_sid")
@@ -126,7 +133,7 @@ def stream_raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
         ev = ev.withWatermark("et", watermark_delay)
     g = ev.groupBy(*KEYS, F.session_window("et", f"{int(gap_ms)} milliseconds").alias("sw"))
     return g.agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"),
-                 F.max("ts").alias("t1"), _first_struct().alias("first"))
+                 F.max("ts").alias("t1"), *_first_values())
 
 
 def session_rows(raw: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
@@ -134,13 +141,13 @@ def session_rows(raw: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     """T4: per-session metrics, all sessions (valid and not)."""
     n = F.col("n").cast("bigint")
     duration = n * F.lit(int(ms_per_event))
-    vlen = F.col("first.video_length")
+    vlen = F.col("video_length")
     # Guard before dividing (ANSI mode raises on /0); invalid lengths go to
     # the quarantine branch instead of producing Infinity.
     pct = F.when(vlen > 0, half_up(duration * F.lit(100.0) / vlen) / F.lit(100.0))
     return raw.select(
         F.col("userCode"),
-        F.col("first.level").alias("level"),
+        F.col("level").alias("level"),
         F.col("resourceId").alias("videoId"),
         n.alias("logCount"),
         duration.alias("duration"),

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from watchtally.sources.spread import spread
+
 # The synthetic events are days apart per (user, video); the reference's 11 s
 # gap would make every event its own session, so the oracle views use 3 days.
 FIXTURE_GAP_MS = 3 * 86_400_000
@@ -26,7 +28,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed log rows (LogBean columns + event_id) derived from ``events``."""
-    ev = _read(spark, sf_dir, "events")
+    ev = spread(_read(spark, sf_dir, "events"))
     code = F.lit(OTHER_CODE)
     for t, c in reversed(list(EVENT_CODES.items())):
         code = F.when(F.col("event_type") == t, F.lit(c)).otherwise(code)

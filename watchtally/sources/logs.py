@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchtally import schemas
+from watchtally.sources.spread import spread
 
 
 def read_lines(spark: SparkSession, fmt: str = "text", path: str | None = None,
@@ -19,6 +20,7 @@ def read_lines(spark: SparkSession, fmt: str = "text", path: str | None = None,
     r = spark.readStream if stream else spark.read
     r = r.format(fmt).options(**(options or {}))
     df = r.load(path) if path else r.load()
+    df = spread(df)
     if fmt == "kafka":
         df = df.selectExpr("CAST(value AS STRING) AS value")
     else:

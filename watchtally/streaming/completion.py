@@ -1,6 +1,6 @@
 """T7 streaming form: per-(user, video, task) keyed state, emit each completion once.
 
-Runs as ``groupBy(userCode, videoId, taskCode).transformWithStateInPandas``
+Runs as ``groupBy(userCode, videoId, taskCode).transformWithState``
 right after the session-window aggregation and the broadcast rule join, in
 one streaming query. State per key is one small row (typed columns, RocksDB,
 checkpointed with the source offsets, so replays do not double count:
@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -42,8 +41,33 @@ def _passes(length, percent, rule_length, rule_percent) -> bool:
     return length >= rule_length and percent >= rule_percent
 
 
+def _advance(state, rows, measure_col):
+    """Apply session rows (sorted by s0) to one key's state; return (state, hits)."""
+    complete, vl, vp, rl, rp = state if state is not None else (None, 0, 0.0, None, None)
+    hits = []
+    for r in rows:
+        if complete:
+            break                                            # T7c: frozen
+        if complete is None:                                 # T7a: first insert
+            vl, vp = int(r[measure_col]), float(r["videoPercent"])
+            rl, rp = int(r["ruleLength"]), float(r["rulePercent"])
+        else:                                                # T7b: accumulate
+            vl += int(r[measure_col])
+            vp += float(r["videoPercent"])
+        complete = _passes(vl, vp, rl, rp)
+        if complete:
+            hits.append(r)
+    if complete is None:
+        return state, hits
+    return (bool(complete), int(vl), float(vp), int(rl), float(rp)), hits
+
+
 class CompletionProcessor(StatefulProcessor):
-    """The emit-once completion machine (T7a first insert, T7b update, T7c frozen)."""
+    """The emit-once completion machine (T7a first insert, T7b update, T7c frozen).
+
+    Row-based: a key's input is the few sessions that closed in this
+    micro-batch; one state read and one write per key and batch.
+    """
 
     def __init__(self, measure_col: str = "videoLength"):
         self.measure_col = measure_col
@@ -51,32 +75,20 @@ class CompletionProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState(STATE_NAME, STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf[pdf["ruleLength"].notna() & pdf["rulePercent"].notna()]
-        if pdf.empty:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        rows = sorted((r for r in rows
+                       if r["ruleLength"] is not None and r["rulePercent"] is not None),
+                      key=lambda r: r["s0"])
+        if not rows:
             return
-        pdf = pdf.sort_values("s0", kind="stable")
-        if self.state.exists():
-            complete, vl, vp, rl, rp = self.state.get()
-        else:
-            complete, vl, vp, rl, rp = None, 0, 0.0, None, None
-        out = []
-        for r in pdf.itertuples(index=False):
-            if complete:
-                break                                        # T7c: frozen
-            if complete is None:                             # T7a: first insert
-                vl, vp = int(getattr(r, self.measure_col)), float(r.videoPercent)
-                rl, rp = int(r.ruleLength), float(r.rulePercent)
-            else:                                            # T7b: accumulate
-                vl += int(getattr(r, self.measure_col))
-                vp += float(r.videoPercent)
-            complete = _passes(vl, vp, rl, rp)
-            if complete:
-                out.append((r.userCode, r.taskCode, VIDEO, r.videoId, int(r.s0)))
-        self.state.update((bool(complete), int(vl), float(vp), int(rl), float(rp)))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
+        old = self.state.get()
+        if old is not None and old[0]:
+            return                                           # already complete
+        new, hits = _advance(tuple(old) if old is not None else None, rows, self.measure_col)
+        self.state.update(new)
+        for r in hits:
+            yield Row(userCode=r["userCode"], taskCode=r["taskCode"], eventType=VIDEO,
+                      videoId=r["videoId"], s0=int(r["s0"]))
 
     def close(self) -> None:
         pass
@@ -84,8 +96,11 @@ class CompletionProcessor(StatefulProcessor):
 
 def apply_completion(matched: DataFrame, measure_col: str = "videoLength") -> DataFrame:
     """Keyed-state completion on a (streaming) rule-matched DataFrame."""
-    return (matched.groupBy("userCode", "videoId", "taskCode")
-                   .transformWithStateInPandas(
+    cols = ["userCode", "videoId", "taskCode", "s0", measure_col, "videoPercent",
+            "ruleLength", "rulePercent"]
+    return (matched.select(*dict.fromkeys(cols))
+                   .groupBy("userCode", "videoId", "taskCode")
+                   .transformWithState(
                        statefulProcessor=CompletionProcessor(measure_col),
                        outputStructType=OUTPUT_SCHEMA,
                        outputMode="Append",

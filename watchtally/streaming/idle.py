@@ -17,8 +17,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -51,40 +50,37 @@ class IdleFlushProcessor(StatefulProcessor):
         self.handle = handle
         self.open = handle.getValueState("open", OPEN_SCHEMA)
 
-    def _emit(self, key, s, how):
-        return (key[0], key[1], int(s[0]), int(s[1]), int(s[2]), s[3], s[4], how)
+    def _emit(self, key, s, how) -> Row:
+        return Row(userCode=key[0], resourceId=key[1], n=int(s[0]), t0=int(s[1]),
+                   t1=int(s[2]), level=s[3], video_length=s[4], closed_by=how)
 
     def _reset_timer(self, now_ms: int) -> None:
         for t in self.handle.listTimers():
             self.handle.deleteTimer(t)
         self.handle.registerTimer(now_ms + self.delay_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("ts", kind="stable")
-        cur = self.open.get() if self.open.exists() else None
-        out = []
-        for r in pdf.itertuples(index=False):
-            ts = int(r.ts)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        cur = self.open.get()
+        cur = tuple(cur) if cur is not None else None
+        for r in sorted(rows, key=lambda r: r["ts"]):
+            ts = int(r["ts"])
             if cur is not None and ts - cur[2] > self.gap_ms:
-                out.append(self._emit(key, cur, "gap"))
+                yield self._emit(key, cur, "gap")
                 cur = None
             if cur is None:
-                cur = (1, ts, ts, r.level, r.video_length)
+                cur = (1, ts, ts, r["level"], r["video_length"])
+            elif ts < cur[1]:                 # earlier than the session start: new first event
+                cur = (cur[0] + 1, ts, cur[2], r["level"], r["video_length"])
             else:
-                first = (ts, r.level, r.video_length) < (cur[1], cur[3], cur[4])
-                cur = (cur[0] + 1, min(cur[1], ts), max(cur[2], ts),
-                       r.level if first else cur[3], r.video_length if first else cur[4])
+                cur = (cur[0] + 1, cur[1], max(cur[2], ts), cur[3], cur[4])
         self.open.update(cur)
         self._reset_timer(timerValues.getCurrentProcessingTimeInMs())
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            cur = self.open.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        cur = self.open.get()
+        if cur is not None:
             self.open.clear()
-            yield pd.DataFrame([self._emit(key, cur, "idle")],
-                               columns=[f.name for f in OUTPUT_SCHEMA.fields])
+            yield self._emit(key, tuple(cur), "idle")
 
     def close(self) -> None:
         pass
@@ -94,7 +90,7 @@ def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int) -> DataFrame
     """Sessions per (user, video) closed by a gap or by ``delay_ms`` of idleness."""
     ev = dwd.select("userCode", "resourceId", "ts", "level", "video_length")
     return (ev.groupBy("userCode", "resourceId")
-              .transformWithStateInPandas(
+              .transformWithState(
                   statefulProcessor=IdleFlushProcessor(gap_ms, delay_ms),
                   outputStructType=OUTPUT_SCHEMA,
                   outputMode="Append",

@@ -19,23 +19,6 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
     out.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_json_lines_in_slices(df: DataFrame, path: str, order_col: str,
-                               bounds: list[int]) -> None:
-    """Write ``len(bounds)+1`` slices by ``order_col`` as separate, successive file
-    sets so the file source replays them in time order (one slice per trigger)."""
-    edges = [None, *bounds, None]
-    for i in range(len(edges) - 1):
-        lo, hi = edges[i], edges[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(order_col) >= lo)
-        if hi is not None:
-            cond = cond & (F.col(order_col) < hi)
-        part = df.where(cond).sortWithinPartitions(order_col)
-        part.select(F.to_json(F.struct(*df.columns)).alias("value")) \
-            .coalesce(1).write.mode("overwrite").text(f"{path}/slice={i:05d}")
-
-
 def run_available_now(df: DataFrame, name: str, spark: SparkSession,
                       fmt: str = "parquet", timeout_s: int = 600) -> DataFrame:
     """Run a streaming DataFrame over all available input, return its output."""

@@ -88,3 +88,11 @@ def test_quarantine_invalid_length(spark):
     assert [r.videoId for r in sessions.session_metrics(df).collect()] == ["x"]
     assert sorted(r.videoId for r in sessions.session_quarantine(df).collect()) == ["v", "w"]
     assert df.where(F.col("video_length") > 0).count() == 1
+
+
+def test_late_dimension_join_equals_event_level_join(spark):
+    i = Inputs.from_fixtures(spark, SF_MID)
+    late = P.session_metrics(i, late_join=True)
+    early = P.session_metrics(i, late_join=False)
+    assert late.count() == early.count() > 0
+    assert late.exceptAll(early.select(*late.columns)).count() == 0

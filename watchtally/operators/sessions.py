@@ -57,13 +57,15 @@ def event_time(dwd: DataFrame, name: str = "et") -> DataFrame:
     return dwd.withColumn("ts", ts).withColumn(name, F.timestamp_millis(ts))
 
 
-def _first_values() -> list[Column]:
+FIRST_COLS = ("level", "video_length")
+
+
+def _first_values(cols=FIRST_COLS) -> list[Column]:
     # A3: values of the earliest event. ``min_by`` keeps fixed-width buffers,
     # so the aggregate stays a hash aggregate (a struct ``min`` would force a
     # sort-based one). Events tied on the same millisecond may give either
     # value, like the reference's arrival order.
-    return [F.min_by("level", "ts").alias("level"),
-            F.min_by("video_length", "ts").alias("video_length")]
+    return [F.min_by(c, "ts").alias(c) for c in cols]
 
 
 def _gaps_and_islands(df: DataFrame, part: list[str], gap_ms: int,
@@ -82,16 +84,17 @@ def _gaps_and_islands(df: DataFrame, part: list[str], gap_ms: int,
     return df.drop("_brk", "_prev")
 
 
-def _merge_aggs() -> list[Column]:
+def _merge_aggs(cols=FIRST_COLS) -> list[Column]:
     # cells / fragments of one key never share a t0, so min_by is exact here
     return [F.sum("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
-            F.min_by("level", "t0").alias("level"),
-            F.min_by("video_length", "t0").alias("video_length")]
+            *[F.min_by(c, "t0").alias(c) for c in cols]]
 
 
 def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
-                 bucket_ms: int | None = None) -> DataFrame:
-    """Batch sessions: (userCode, resourceId, n, t0, t1, level, video_length)."""
+                 bucket_ms: int | None = None, first_cols=FIRST_COLS) -> DataFrame:
+    """Batch sessions: (userCode, resourceId, n, t0, t1, *first_cols) per session;
+    ``first_cols`` are taken from the session's earliest event."""
+    first_cols = tuple(first_cols)
     gap_ms = int(gap_ms)
     if gap_ms < 1:
         raise ValueError("gap must be at least 1 ms")
@@ -99,11 +102,11 @@ def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
         bucket_ms = max(DAY_MS, gap_ms)
     cells_per_bucket = max(1, -(-int(bucket_ms) // gap_ms))
 
-    ev = event_time(dwd).select(*KEYS, "ts", "level", "video_length")
+    ev = event_time(dwd).select(*KEYS, "ts", *first_cols)
     cells = (ev.withColumn("_cell", _floordiv("ts", gap_ms))
                .groupBy(*KEYS, "_cell")
                .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"),
-                    F.max("ts").alias("t1"), *_first_values()))
+                    F.max("ts").alias("t1"), *_first_values(first_cols)))
 
     bucketed = cells.withColumn("_bucket", _floordiv("_cell", cells_per_bucket))
     numbered = _gaps_and_islands(bucketed, KEYS + ["_bucket"], gap_ms, "_frag",
@@ -111,13 +114,13 @@ def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     edge = (F.col("_frag") == 1) | (F.col("_frag") == F.col("_nrun"))
     frags = (numbered.withColumn("_edge", edge)
                      .groupBy(*KEYS, "_bucket", "_frag", "_edge")
-                     .agg(*_merge_aggs()))
+                     .agg(*_merge_aggs(first_cols)))
 
-    cols = [*KEYS, "n", "t0", "t1", "level", "video_length"]
+    cols = [*KEYS, "n", "t0", "t1", *first_cols]
     interior = frags.where(~F.col("_edge")).select(*cols)
     edges = frags.where(F.col("_edge")).select(*cols)
     stitched = (_gaps_and_islands(edges, KEYS, gap_ms, "_sid")
-                .groupBy(*KEYS, "_sid").agg(*_merge_aggs()).select(*cols))
+                .groupBy(*KEYS, "_sid").agg(*_merge_aggs(first_cols)).select(*cols))
     return interior.unionByName(stitched)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from watchtally.operators import clean, completion, enrich, rules, sessions
 from watchtally.sources import fixtures
@@ -50,10 +51,28 @@ def dwd_video_wide(i: Inputs, carry: bool = True) -> DataFrame:
     return enrich.dwd_video_wide(clean_log(i), i.doctor, i.video, keep=keep)
 
 
-def session_metrics(i: Inputs, bucket_ms: int | None = None) -> DataFrame:
-    """Job 2 first half: sessions per (user, video) with watch metrics."""
-    return sessions.session_metrics(dwd_video_wide(i, carry=False), i.gap_ms,
-                                    bucket_ms=bucket_ms)
+def session_metrics(i: Inputs, bucket_ms: int | None = None,
+                    late_join: bool = True) -> DataFrame:
+    """Jobs 1+2 in batch: sessions per (user, video) with watch metrics.
+
+    ``late_join`` (default) sessionizes the clean video events first and joins
+    the user and video dimensions to the *sessions*. Catalyst does not move a
+    join above an aggregation by itself; doing it here means the possibly
+    large user dimension is joined to sessions, not to every event, which
+    removes an event-level shuffle when that dimension is too large to
+    broadcast. It gives the same rows as the event-level order because both
+    dimensions have one row per key (their declared primary keys) and the
+    session key contains both join keys: a session's events share one level
+    and one video length, and unknown users or videos drop whole sessions.
+    """
+    if not late_join:
+        return sessions.session_metrics(dwd_video_wide(i, carry=False), i.gap_ms,
+                                        bucket_ms=bucket_ms)
+    video_events = enrich.filter_video(clean_log(i)).select("userCode", "resourceId", "ts")
+    raw = sessions.raw_sessions(video_events, i.gap_ms, bucket_ms, first_cols=())
+    raw = enrich.lookup_video(enrich.lookup_doctor(raw, i.doctor), i.video)
+    return (sessions.session_rows(raw, i.gap_ms)
+            .where(F.col("videoLength") > 0))
 
 
 def rule_match(i: Inputs) -> DataFrame:

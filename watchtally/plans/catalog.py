@@ -22,7 +22,7 @@ from watchtally.sources import fixtures
 from watchtally.sources.dims import DIMENSIONS
 from watchtally.sources.logs import parse_dwd, read_dwd
 from watchtally.streaming.pipelines import completion_stream, session_stream
-from watchtally.streaming.runner import run_available_now, write_json_lines
+from watchtally.streaming.runner import run_available_now, state_partitions, write_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -334,7 +334,8 @@ def stream_sessions(spark, d):
     """T2/T3/T5 streaming: sessions closed by the watermark (availableNow run)."""
     i = _inputs(spark, d)
     src = _dwd_stream(spark, i, "stream_sessions")
-    return run_available_now(session_stream(src, i.gap_ms), "stream_sessions", spark)
+    return run_available_now(session_stream(src, i.gap_ms), "stream_sessions", spark,
+                             partitions=state_partitions(spark))
 
 
 @query("stream_completion")
@@ -343,5 +344,5 @@ def stream_completion(spark, d):
     i = _inputs(spark, d)
     src = _dwd_stream(spark, i, "stream_completion")
     out = run_available_now(completion_stream(src, i.rule, i.task, i.gap_ms),
-                            "stream_completion", spark)
+                            "stream_completion", spark, partitions=state_partitions(spark))
     return out.select("userCode", "taskCode", "eventType", "videoId")

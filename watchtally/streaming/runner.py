@@ -19,16 +19,36 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
     out.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
+def state_partitions(spark: SparkSession) -> int | None:
+    """State-store partitions for a new query: the core count in local mode,
+    otherwise whatever the cluster configured (None = keep the session's)."""
+    sc = spark.sparkContext
+    return sc.defaultParallelism if sc.master.startswith("local") else None
+
+
 def run_available_now(df: DataFrame, name: str, spark: SparkSession,
-                      fmt: str = "parquet", timeout_s: int = 600) -> DataFrame:
-    """Run a streaming DataFrame over all available input, return its output."""
+                      fmt: str = "parquet", timeout_s: int = 600,
+                      partitions: int | None = None) -> DataFrame:
+    """Run a streaming DataFrame over all available input, return its output.
+
+    ``partitions`` fixes the query's shuffle/state partitions; a streaming
+    query copies the session settings when it starts and keeps the count in
+    its checkpoint, so the session's own value is restored right after.
+    """
     base = shared_dir(spark, name)
-    q = (df.writeStream.format(fmt).outputMode("append")
-           .option("checkpointLocation", f"{base}/checkpoint")
-           .option("path", f"{base}/out")
-           .trigger(availableNow=True)
-           .queryName(f"{name}_{base.rsplit('-', 1)[-1][:8]}")
-           .start())
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(partitions))
+    try:
+        q = (df.writeStream.format(fmt).outputMode("append")
+               .option("checkpointLocation", f"{base}/checkpoint")
+               .option("path", f"{base}/out")
+               .trigger(availableNow=True)
+               .queryName(f"{name}_{base.rsplit('-', 1)[-1][:8]}")
+               .start())
+    finally:
+        spark.conf.set(key, before)
     try:
         finished = q.awaitTermination(timeout_s)
         if not finished:

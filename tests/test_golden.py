@@ -59,3 +59,33 @@ def test_duration_measure(spark):
     got = sorted((r.videoId, r.taskCode) for r in
                  completion.completion_once(P.rule_match(i), measure="duration").collect())
     assert got == []          # 7000 < 8000/9000, 3000, 2000+1000 never reach the lengths
+
+
+def test_null_thresholds_quarantined(spark):
+    i = golden.inputs(spark)
+    i.task = spark.createDataFrame([
+        ("T1", "R1", '{"watchVideoLengthOfTime":9000,"watchVideoWatchLengthOfTimePercentage":0.6}'),
+        ("T9", "R1", '{"watchVideoWatchLengthOfTimePercentage":0.1}'),    # no length
+        ("T8", "R1", "not json"),
+    ], "code string, rule_code string, task_detail string")
+    m = P.rule_match(i)
+    done = sorted((r.videoId, r.taskCode) for r in completion.completion_once(m).collect())
+    assert done == [("1001", "T1")]
+    q = completion.threshold_quarantine(m)
+    assert sorted({r.taskCode for r in q.collect()}) == ["T8", "T9"]
+    assert q.count() == 8                              # 4 sessions x 2 bad tasks
+
+
+def test_replay_and_upsert_writer(spark, tmpdir_run):
+    src = f"{tmpdir_run}/sample.json"
+    with open(src, "w") as f:
+        f.write("\n".join(golden.lines()) + "\n")
+    sinks.replay_lines(spark, src, "text", f"{tmpdir_run}/topic")
+    assert spark.read.text(f"{tmpdir_run}/topic").count() == 13
+    got = {}
+    writer = sinks.upsert_batch_writer(["userCode", "videoId"], "s0",
+                                       lambda df, e: got.update({e: df.collect()}))
+    writer(P.session_metrics(golden.inputs(spark)), 7)
+    rows = {r.key: r.value for r in got[7]}
+    assert len(rows) == 3
+    assert '"logCount":1' in rows['{"userCode":"1001","videoId":"1002"}']   # latest 1002 session

@@ -38,6 +38,15 @@ def upsert_latest(df: DataFrame, key_cols: list[str], order_col: str) -> DataFra
                     F.to_json(F.col("_row")).alias("value"))
 
 
+def upsert_batch_writer(key_cols: list[str], order_col: str, write):
+    """S6 for streams: ``foreachBatch`` body that publishes the latest row per key
+    of each micro-batch as (key JSON, value JSON) through ``write(df, epoch_id)``.
+    An upsert sink (compacted topic, MERGE target) keeps the last value per key."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        write(upsert_latest(batch, key_cols, order_col), epoch_id)
+    return run
+
+
 def write_batch(df: DataFrame, fmt: str, path: str | None = None,
                 options: dict | None = None, mode: str = "append") -> None:
     """S5/S7/S10 batch writer: ``kafka``, ``json``, ``text``, ``parquet`` ..."""

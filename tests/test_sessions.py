@@ -96,3 +96,14 @@ def test_late_dimension_join_equals_event_level_join(spark):
     early = P.session_metrics(i, late_join=False)
     assert late.count() == early.count() > 0
     assert late.exceptAll(early.select(*late.columns)).count() == 0
+
+
+def test_missing_level_and_length_read_as_zero(spark):
+    df = spark.createDataFrame(
+        [("u", "v", 10, None, 1000), ("u", "w", 10, 2, None), ("u", "x", None, 1, 500)],
+        "userCode string, resourceId string, ts bigint, level int, video_length int")
+    got = {r.videoId: r for r in sessions.session_metrics(df).collect()}
+    assert got["v"].level == 0                      # matches level-0 rules downstream
+    assert "w" not in got                           # length 0 -> quarantine
+    assert got["x"].s0 == 0                         # missing ts -> event time 0
+    assert [r.videoLength for r in sessions.session_quarantine(df).collect()] == [0]

@@ -52,9 +52,15 @@ def _floordiv(col: str, d: int) -> Column:
 
 
 def event_time(dwd: DataFrame, name: str = "et") -> DataFrame:
-    """Event time from epoch ms; a missing ``ts`` reads as 0."""
+    """T1 + P13 on job 2's input: a missing ``ts`` reads as 0 (event time), and
+    so do a missing ``level`` / ``video_length`` (primitive getters); a 0
+    length later goes to the quarantine branch, a 0 level matches level-0 rules."""
     ts = F.coalesce(F.col("ts"), F.lit(0).cast("bigint"))
-    return dwd.withColumn("ts", ts).withColumn(name, F.timestamp_millis(ts))
+    out = dwd.withColumn("ts", ts)
+    for c in FIRST_COLS:
+        if c in dwd.columns:
+            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
+    return out.withColumn(name, F.timestamp_millis(ts))
 
 
 FIRST_COLS = ("level", "video_length")

@@ -71,6 +71,8 @@ def session_metrics(i: Inputs, bucket_ms: int | None = None,
     video_events = enrich.filter_video(clean_log(i)).select("userCode", "resourceId", "ts")
     raw = sessions.raw_sessions(video_events, i.gap_ms, bucket_ms, first_cols=())
     raw = enrich.lookup_video(enrich.lookup_doctor(raw, i.doctor), i.video)
+    raw = raw.select(*[F.coalesce(c, F.lit(0)).alias(c) if c in sessions.FIRST_COLS
+                       else F.col(c) for c in raw.columns])    # P13 as in job 2's input
     return (sessions.session_rows(raw, i.gap_ms)
             .where(F.col("videoLength") > 0))
 

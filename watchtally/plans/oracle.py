@@ -243,6 +243,29 @@ BODIES = {
                      strftime(make_timestamp(ts * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d') AS text
               FROM clean)""",
     "stream_sessions": f"SELECT {SESSION_COLS} FROM closed_sessions",
+    "late_drop": f"""
+        , mid AS (SELECT (min(ts) + max(ts)) // 2 AS m FROM wide),
+        a_ev AS (SELECT * FROM ev WHERE ts >= (SELECT m FROM mid)),
+        a_flag AS (
+          SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > {GAP}
+                         THEN 1 ELSE 0 END AS brk
+          FROM a_ev WINDOW w AS (PARTITION BY userCode, resourceId ORDER BY ts, event_id)),
+        a_num AS (
+          SELECT *, sum(brk) OVER (PARTITION BY userCode, resourceId ORDER BY ts, event_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+          FROM a_flag),
+        a_sess AS (
+          SELECT userCode, resourceId AS videoId, count(*) AS n, min(ts) AS t0, max(ts) AS t1,
+                 first(level ORDER BY ts, level, video_length) AS level,
+                 first(video_length ORDER BY ts, level, video_length) AS videoLength
+          FROM a_num GROUP BY userCode, resourceId, sid)
+        SELECT userCode, level, videoId, cast(n AS BIGINT) AS logCount,
+               cast(n * 1000 AS BIGINT) AS duration, videoLength,
+               floor(cast(n * 1000 AS DOUBLE) * 100.0 / videoLength + 0.5) / 100.0
+                 AS videoPercent,
+               cast(t0 AS BIGINT) AS s0, cast(t1 + {GAP} AS BIGINT) AS s1
+        FROM a_sess
+        WHERE videoLength > 0 AND t1 + {GAP} <= (SELECT max(ts) FROM a_ev)""",
     "stream_completion": f"SELECT {RESULT_COLS} FROM cdone",
 }
 

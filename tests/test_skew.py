@@ -5,7 +5,6 @@ re-keyed to one (user, video) pair, and its timestamps are compressed so the
 hot key is dense (many events per gap) as well as long-running.
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID

@@ -1,8 +1,5 @@
 """SQL view form = DataFrame form; streaming state snapshot; topic tail."""
 
-import os
-import time
-
 from tests import golden
 from tests.conftest import SF_SMALL
 from tests.test_streaming import golden_dwd_lines, local, put_file, run

@@ -5,7 +5,6 @@ import json
 import os
 import time
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests import golden

@@ -58,7 +58,8 @@ def start_job1(spark: SparkSession, cfg: dict):
     src = cfg["source"]
     lines = read_lines(spark, src["format"], src.get("path"), src.get("options"), stream=True)
     ttl = cfg.get("dim_ttl_seconds", DEFAULT_TTL_SECONDS)
-    doctor = DimensionCache(lambda: _dim(spark, "doctor_info", cfg["doctor_info"]), ttl)
+    doctor = DimensionCache(lambda: _dim(spark, "doctor_info", cfg["doctor_info"]), ttl,
+                            partition_by=["user_id"])
     video = DimensionCache(lambda: _dim(spark, "video_info", cfg["video_info"]), ttl)
     body = job1_batch_writer(doctor, video, epoch_writer(cfg["wide_sink"]),
                              epoch_writer(cfg["dirty_sink"]))

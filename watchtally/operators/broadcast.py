@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +13,19 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 1_000_000
 
 
+# decision per DataFrame object: a cached dimension reused by every micro-batch
+# is counted once per (re)load, not once per batch
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The count reads only the (small) dimension side, once per plan. Above the
-    bound the side is returned unhinted and Spark plans a shuffle join (AQE
-    may still switch to a broadcast from runtime statistics).
+    The count reads only the (small) dimension side, once per DataFrame object.
+    Above the bound the side is returned unhinted and Spark plans a shuffle join
+    (AQE may still switch to a broadcast from runtime statistics).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    seen = _checked.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if seen[max_rows] else df

@@ -37,7 +37,7 @@ def lookup_doctor(log: DataFrame, doctor: DataFrame) -> DataFrame:
 def lookup_video(log: DataFrame, video: DataFrame,
                  max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """+ ``video_length`` from video_info on resourceId = video_id."""
-    v = bounded_broadcast(video.select("video_id", "video_length"), max_broadcast_rows)
+    v = bounded_broadcast(video, max_broadcast_rows).select("video_id", "video_length")
     return log.join(v, log["resourceId"] == v["video_id"], "inner").drop("video_id")
 
 

@@ -53,10 +53,13 @@ class DimensionCache:
     Use it inside ``foreachBatch``: ``dim = cache.get()`` for each micro-batch.
     There is no row cap: the whole table is cached (spilling to disk when large)
     and refreshed as a unit, which bounds staleness like the reference's TTL.
+    ``partition_by`` keeps a large dimension hash-partitioned on its join key.
     """
 
-    def __init__(self, loader, ttl_seconds: float = DEFAULT_TTL_SECONDS, clock=time.monotonic):
+    def __init__(self, loader, ttl_seconds: float = DEFAULT_TTL_SECONDS, clock=time.monotonic,
+                 partition_by: list[str] | None = None):
         self._loader = loader
+        self._partition_by = partition_by
         self._ttl = ttl_seconds
         self._clock = clock
         self._df: DataFrame | None = None
@@ -67,7 +70,12 @@ class DimensionCache:
         now = self._clock()
         if self._df is None or now - self._loaded_at >= self._ttl:
             old = self._df
-            self._df = self._loader().persist(StorageLevel.MEMORY_AND_DISK)
+            df = self._loader()
+            if self._partition_by:
+                # hash-partitioned once per load: a shuffle join against it then
+                # moves only the micro-batch, not the whole dimension
+                df = df.repartition(*self._partition_by)
+            self._df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._loaded_at = now
             self.loads += 1
             if old is not None:

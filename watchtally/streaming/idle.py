@@ -6,8 +6,9 @@ time, so a user who stops sending events still gets a result. Spark's
 session windows only close on the watermark, so this is a keyed processor
 with a processing-time timer per (user, video):
 
-* rows extend the open session while they are within ``gap`` of its last
-  event; a row further away closes it (emitted) and opens a new one;
+* rows extend the open session while they are within ``gap`` of it; a row
+  more than ``gap`` after it closes it (emitted) and opens a new one; a row
+  more than ``gap`` before it belongs to an emitted session and is dropped;
 * every update moves the timer to ``now + delay`` (wall clock, not the
   reference's event-time-based timer: SURVEY Q18);
 * when the timer fires the open session is emitted once and cleared.
@@ -64,6 +65,8 @@ class IdleFlushProcessor(StatefulProcessor):
         cur = tuple(cur) if cur is not None else None
         for r in sorted(rows, key=lambda r: r["ts"]):
             ts = int(r["ts"])
+            if cur is not None and cur[1] - ts > self.gap_ms:
+                continue                      # belongs to an earlier, emitted session: late
             if cur is not None and ts - cur[2] > self.gap_ms:
                 yield self._emit(key, cur, "gap")
                 cur = None

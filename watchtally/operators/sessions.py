@@ -41,7 +41,8 @@ from watchtally.functions.scalar import half_up
 
 KEYS = ["userCode", "resourceId"]
 DAY_MS = 86_400_000
-# Fixed value that must equal the reference: the session gap of job 2.
+# Fixed values that must equal the reference: the session gap of job 2 and the
+# watch time one event stands for.
 REFERENCE_GAP_MS = 11_000
 REFERENCE_MS_PER_EVENT = 1_000
 

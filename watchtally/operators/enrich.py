@@ -1,9 +1,10 @@
 """Add user level and video length to video events.
 
 All joins are inner equi-joins (unknown users or videos drop out, as in the
-reference's lookup joins). The user dimension can be as large as the user
-base, so it is joined without a hint and Spark/AQE choose the strategy from
-statistics; the video dimension is broadcast only behind a row-count check.
+reference's lookup joins). Both dimensions are broadcast only behind a
+row-count check; the user dimension can be as large as the user base, and
+above the bound it is joined with a sort-merge join (AQE splits a hot user's
+partition).
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ def filter_video(log: DataFrame) -> DataFrame:
     return log.where(F.col("eventType") == F.lit(VIDEO))
 
 
-def lookup_doctor(log: DataFrame, doctor: DataFrame) -> DataFrame:
+def lookup_doctor(log: DataFrame, doctor: DataFrame,
+                  max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """+ ``level`` from doctor_info on userCode = user_id."""
-    d = doctor.select(F.col("user_id"), F.col("level"))
+    d = bounded_broadcast(doctor, max_broadcast_rows).select("user_id", "level")
     return log.join(d, log["userCode"] == d["user_id"], "inner").drop("user_id")
 
 
@@ -49,6 +51,6 @@ def dwd_video_wide(log: DataFrame, doctor: DataFrame, video: DataFrame,
     The ``eventType`` filter is written after the user lookup like the
     reference; Catalyst pushes it below both joins (and into the scan).
     """
-    leveled = lookup_doctor(log, doctor)
+    leveled = lookup_doctor(log, doctor, max_broadcast_rows)
     wide = lookup_video(filter_video(leveled), video, max_broadcast_rows)
     return wide.select(*DWD_COLUMNS, *keep)

@@ -69,3 +69,12 @@ def test_column_pruning_reaches_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint," \
            "event_type:string,props:string>" in p
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_acctbal:double>" in p
+
+
+def test_parse_generator_and_joins_share_one_codegen_stage(spark):
+    df = P.dwd_video_wide(Inputs.from_fixtures(spark, SF_SMALL))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    stages = {m.group(1) for line in final.splitlines()
+              for m in [re.search(r"\*\((\d+)\) (Generate|BroadcastHashJoin)", line)] if m}
+    assert len(stages) == 1, final

@@ -18,37 +18,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtally.functions.getters import get_long, get_string
 from watchtally.functions.scalar import event_type
 
-_ITEM_TYPE = "struct<resource_id:string>"
+# the fields a line is read for; everything else in the object is ignored
+_LINE_TYPE = ("struct<deviceId:string,userCode:string,event:string,ts:string,"
+              "Item:struct<resource_id:string>>")
 
 
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw lines -> parsed columns plus ``is_dirty``; keeps ``value``.
 
-    The parsed fields come out of a one-element ``inline`` generator. Filters
-    on them (the clean/dirty split, the joins' inferred ``isnotnull``) cannot
-    be pushed below a generator, so Catalyst cannot copy ``try_parse_json``
-    into each predicate: every line is parsed exactly once.
+    Two lookups on the parsed VARIANT: one cast of the whole object to the
+    line's struct (text fields read leniently, numbers as their text; null when
+    the line is not an object or ``Item`` is not an object) and one lenient
+    ``bigint`` read of ``ts``.
+
+    The fields come out of a one-element ``inline`` generator. Filters on them
+    (the clean/dirty split, the joins' inferred ``isnotnull``) cannot be pushed
+    below a generator, so Catalyst cannot copy ``try_parse_json`` into each
+    predicate: every line is parsed exactly once.
     """
     v = F.col(value_col)
     carry = [c for c in raw.columns if c != value_col]
     parsed = raw.where(v.isNotNull()).select(
         v.alias("value"), F.try_parse_json(v).alias("_j"), *carry)
-    item = F.try_variant_get(F.col("_j"), "$.Item", _ITEM_TYPE)
-    ts_text = get_string("_j", "ts")
-    ts = get_long("_j", "ts")
-    event = get_string("_j", "event")
+    rec = F.try_variant_get(F.col("_j"), "$", _LINE_TYPE)
+    ts = F.try_variant_get(F.col("_j"), "$.ts", "bigint")
+    parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts"))
+    r, item = F.col("_r"), F.col("_r.Item")
     fields = F.struct(
         F.col("value"), *[F.col(c) for c in carry],
-        get_string("_j", "deviceId").alias("deviceId"),
-        get_string("_j", "userCode").alias("userCode"),
-        event.alias("eventCode"),
-        event_type(event).alias("eventType"),
-        ts.alias("ts"),
+        r.getField("deviceId").alias("deviceId"),
+        r.getField("userCode").alias("userCode"),
+        r.getField("event").alias("eventCode"),
+        event_type(r.getField("event")).alias("eventType"),
+        F.col("_ts").alias("ts"),
         item.getField("resource_id").alias("resourceId"),
-        (F.col("_j").isNull() | item.isNull() | (ts_text.isNotNull() & ts.isNull()))
+        (item.isNull() | (r.getField("ts").isNotNull() & F.col("_ts").isNull()))
         .alias("is_dirty"),
     )
     return parsed.select(F.inline(F.array(fields)))

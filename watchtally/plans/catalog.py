@@ -350,27 +350,27 @@ def stream_completion(spark, d):
 
 @query("late_drop")
 def late_drop(spark, d):
-    """T5: replay the later half of the events first, then the earlier half.
+    """T5: deliver the later half of the events first, then the earlier half.
 
     A row is late once its window ended before the watermark of the batch
-    *before* the current one (Spark's rule for chained stateful operators), so
-    the later half is delivered as two interleaved micro-batches and the
-    earlier half after them: every earlier-half row is dropped, and the output
-    is exactly the closed sessions of the later half.
+    *before* the current one (Spark's rule for chained stateful operators).
+    The first run takes the later half and ends with a no-data batch that
+    moves the watermark to its last event; the second run of the same
+    checkpoint takes the earlier half, all of which is then behind it and
+    dropped. The output is exactly the closed sessions of the later half.
     """
     i = _inputs(spark, d)
     wide = P.dwd_video_wide(i, carry=False)
     mid = wide.agg(F.expr("(min(ts) + max(ts)) div 2")).first()[0]
-    late_half = wide.where(F.col("ts") >= mid)
-    even = F.col("ts") % 2 == 0
-    slices = [late_half.where(even), late_half.where(~even), wide.where(F.col("ts") < mid)]
-    # exactly k files per slice of the later half: one slice = one micro-batch
-    k = max(1, min(spark.sparkContext.defaultParallelism,
-                   slices[0].count(), slices[1].count()))
+    halves = [wide.where(F.col("ts") >= mid), wide.where(F.col("ts") < mid)]
     base = shared_dir(spark, "late_drop")
-    for n, part in enumerate(slices):       # successive writes: file times keep the order
-        write_json_lines(part.repartition(k), f"{base}/topic/s{n}", order_col="ts")
-    src = read_dwd(spark, "text", f"{base}/topic", stream=True,
-                   options={"maxFilesPerTrigger": str(k), "recursiveFileLookup": "true"})
-    return run_available_now(session_stream(src, i.gap_ms), "late_drop", spark,
-                             partitions=state_partitions(spark))
+    out = query = None
+    for n, part in enumerate(halves):   # one half per run, same checkpoint
+        write_json_lines(part, f"{base}/topic/h{n}", order_col="ts")
+        if query is None:
+            src = read_dwd(spark, "text", f"{base}/topic", stream=True,
+                           options={"recursiveFileLookup": "true"})
+            query = session_stream(src, i.gap_ms)
+        out = run_available_now(query, "late_drop", spark, base=base,
+                                partitions=state_partitions(spark))
+    return out

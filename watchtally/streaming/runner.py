@@ -28,14 +28,15 @@ def state_partitions(spark: SparkSession) -> int | None:
 
 def run_available_now(df: DataFrame, name: str, spark: SparkSession,
                       fmt: str = "parquet", timeout_s: int = 600,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over all available input, return its output.
 
     ``partitions`` fixes the query's shuffle/state partitions; a streaming
     query copies the session settings when it starts and keeps the count in
     its checkpoint, so the session's own value is restored right after.
+    Passing the same ``base`` again resumes the query from its checkpoint.
     """
-    base = shared_dir(spark, name)
+    base = base or shared_dir(spark, name)
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     if partitions:

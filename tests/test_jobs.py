@@ -46,3 +46,15 @@ def test_job1_then_job2_end_to_end(spark):
     # both epochs' topic files arrive as one batch here: every session but the last
     # 1002 session closes, so 1001 completes T1 and T2
     assert got == ["T1@1001", "T2@1001"]
+
+
+def test_replay_job(spark, tmpdir_run):
+    src = f"{tmpdir_run}/sample.json"
+    with open(src, "w") as f:
+        f.write("\n".join(golden.lines()) + "\n")
+    cfg = f"{tmpdir_run}/replay.json"
+    with open(cfg, "w") as f:
+        json.dump({"source": {"path": src},
+                   "sink": {"format": "text", "path": f"{tmpdir_run}/topic"}}, f)
+    jobs.JOBS["replay"](spark, json.load(open(cfg))).awaitTermination()
+    assert spark.read.text(f"{tmpdir_run}/topic").count() == 13

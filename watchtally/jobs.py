@@ -9,8 +9,10 @@ so the same job runs on Kafka/JDBC on a cluster and on files in tests; no
 endpoint or credential is built in. Checkpoints default to a folder under
 ``spark.checkpoint.dir``.
 
-job1: raw log lines -> dirty lines sink + enriched video topic (dwd_video_info)
-job2: dwd topic -> sessions -> rules -> emit-once completion results (JSON)
+job1:   raw log lines -> dirty lines sink + enriched video topic (dwd_video_info)
+job2:   dwd topic -> sessions -> rules -> emit-once completion results (JSON)
+tail:   print (or keep) every line of a topic
+replay: a line file -> a topic or any sink, as one batch job (no pacing)
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from watchtally.operators.sessions import REFERENCE_GAP_MS
-from watchtally.operators.sinks import result_json
+from watchtally.operators.sinks import replay_lines, result_json
 from watchtally.session import apply_defaults, build_spark, shared_dir
 from watchtally.sources.dims import DEFAULT_TTL_SECONDS, DimensionCache, read_dim
 from watchtally.sources.logs import read_dwd, read_lines
@@ -95,7 +97,21 @@ def start_tail(spark: SparkSession, cfg: dict):
     return tail_topic(spark, src["format"], opts, ckpt, cfg.get("sink", "console"))
 
 
-JOBS = {"job1": start_job1, "job2": start_job2, "tail": start_tail}
+class _Done:
+    """Stand-in query handle for the batch replay (already finished)."""
+
+    def awaitTermination(self, timeout=None):
+        return True
+
+
+def run_replay(spark: SparkSession, cfg: dict):
+    """Copy a line file to a sink in one Spark job."""
+    src, sink = cfg["source"], cfg["sink"]
+    replay_lines(spark, src["path"], sink["format"], sink.get("path"), sink.get("options"))
+    return _Done()
+
+
+JOBS = {"job1": start_job1, "job2": start_job2, "tail": start_tail, "replay": run_replay}
 
 
 def main(argv=None) -> None:

@@ -41,6 +41,7 @@ from watchtally.functions.scalar import half_up
 
 KEYS = ["userCode", "resourceId"]
 DAY_MS = 86_400_000
+BUCKET_GAPS = 64
 # Fixed values that must equal the reference: the session gap of job 2 and the
 # watch time one event stands for.
 REFERENCE_GAP_MS = 11_000
@@ -106,7 +107,10 @@ def raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     if gap_ms < 1:
         raise ValueError("gap must be at least 1 ms")
     if bucket_ms is None:
-        bucket_ms = max(DAY_MS, gap_ms)
+        # a day, or 64 gaps for long gaps: a window group holds at most
+        # max(day/gap, 64) cells, and only a bucket's two edge fragments are
+        # stitched again
+        bucket_ms = max(DAY_MS, BUCKET_GAPS * gap_ms)
     cells_per_bucket = max(1, -(-int(bucket_ms) // gap_ms))
 
     ev = event_time(dwd).select(*KEYS, "ts", *first_cols)

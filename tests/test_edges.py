@@ -24,6 +24,12 @@ EDGES = [
     ('{"event":"002","ts":5,"Item":{"resource_id":"7","video_id":"x","endTime":3}}',
      False, 5, "7", "video"),
     ('{"event":"004","ts":5,"Item":{"resource_id":9}}', False, 5, "9", "other"),
+    ('{"ts":"",' + ITEM + '}', False, None, "7", "other"),
+    ('{"ts":"null",' + ITEM + '}', False, None, "7", "other"),
+    ('{"ts":"5.9",' + ITEM + '}', False, 5, "7", "other"),
+    ('{"ts":5.9,' + ITEM + '}', False, 5, "7", "other"),
+    ('{"ts":{},' + ITEM + '}', True, None, None, None),
+    ('{"deviceId":[1],' + ITEM + '}', False, None, "7", "other"),
 ]
 
 

@@ -8,8 +8,9 @@ A line is *dirty* (kept verbatim in the dirty branch) when
 * it has no ``Item`` object (a missing, null, array or scalar ``Item``,
   or a top-level value that is not an object), or
 * ``ts`` is present but cannot be read as a long (``"abc"``, ``{}``).
-``Item: {}`` is clean with a null ``resourceId``; a missing ``ts`` is clean
-with a null ``ts``. A null payload is neither clean nor dirty (dropped at the
+``Item: {}`` is clean with a null ``resourceId``; a missing ``ts`` (or the
+text ``""`` / ``"null"``) is clean with a null ``ts``; ``"12"`` reads as 12
+and ``5.9`` / ``"5.9"`` as 5. A null payload is neither clean nor dirty (dropped at the
 source).
 """
 
@@ -44,8 +45,14 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
         v.alias("value"), F.try_parse_json(v).alias("_j"), *carry)
     rec = F.try_variant_get(F.col("_j"), "$", _LINE_TYPE)
     ts = F.try_variant_get(F.col("_j"), "$.ts", "bigint")
-    parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts"))
+    parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts0"))
     r, item = F.col("_r"), F.col("_r.Item")
+    # lenient long: text "" / "null" is no value; decimal text is truncated
+    ts_text = r.getField("ts")
+    no_ts = ts_text.isNull() | F.lower(ts_text).isin("", "null")
+    ts_dec = F.when(ts_text.contains("."), ts_text.try_cast("double").try_cast("bigint"))
+    parsed = parsed.select("*", F.when(~no_ts, F.coalesce(F.col("_ts0"), ts_dec)).alias("_ts"),
+                           no_ts.alias("_no_ts"))
     fields = F.struct(
         F.col("value"), *[F.col(c) for c in carry],
         r.getField("deviceId").alias("deviceId"),
@@ -54,8 +61,7 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
         event_type(r.getField("event")).alias("eventType"),
         F.col("_ts").alias("ts"),
         item.getField("resource_id").alias("resourceId"),
-        (item.isNull() | (r.getField("ts").isNotNull() & F.col("_ts").isNull()))
-        .alias("is_dirty"),
+        (item.isNull() | (~F.col("_no_ts") & F.col("_ts").isNull())).alias("is_dirty"),
     )
     return parsed.select(F.inline(F.array(fields)))
 

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from watchtally.functions.scalar import half_up
 
 KEYS = ["userCode", "resourceId"]
+FIRST_COLS = ("level", "video_length")      # taken from a session's earliest event
 DAY_MS = 86_400_000
 BUCKET_GAPS = 64
 # Fixed values that must equal the reference: the session gap of job 2 and the
@@ -65,9 +66,6 @@ def event_time(dwd: DataFrame, name: str = "et") -> DataFrame:
     return out.withColumn(name, F.timestamp_millis(ts))
 
 
-FIRST_COLS = ("level", "video_length")
-
-
 def _first_values(cols=FIRST_COLS) -> list[Column]:
     # A3: values of the earliest event. ``min_by`` keeps fixed-width buffers,
     # so the aggregate stays a hash aggregate (a struct ``min`` would force a

@@ -374,3 +374,51 @@ def late_drop(spark, d):
         out = run_available_now(query, "late_drop", spark, base=base,
                                 partitions=state_partitions(spark))
     return out
+
+
+@query("idle_flush")
+def idle_flush(spark, d):
+    """Sessions closed by the gap or, for the last one of each key, by a
+    wall-clock idle timer (no later event ever arrives).
+
+    Every session is emitted exactly once; which of the two closed it depends
+    on timing, so the output leaves that out. The run stops once the sink holds
+    as many sessions as the batch form finds (a Spark count) or fails after a
+    timeout; it never returns partial output.
+    """
+    import time
+    from watchtally.streaming.idle import idle_flush_sessions
+    i = _inputs(spark, d)
+    wide = P.dwd_video_wide(i, carry=False)
+    expected = sessions.raw_sessions(wide, i.gap_ms, first_cols=()).count()
+    base = shared_dir(spark, "idle_flush")
+    write_json_lines(wide, f"{base}/topic", order_col="ts")
+    src = read_dwd(spark, "text", f"{base}/topic", stream=True)
+    out = idle_flush_sessions(src, i.gap_ms, delay_ms=1000).select(
+        "userCode", F.col("resourceId").alias("videoId"), F.col("n").alias("logCount"),
+        F.col("t0").alias("s0"), (F.col("t1") + F.lit(i.gap_ms)).alias("s1"),
+        "level", F.col("video_length").alias("videoLength"))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions(spark) or before))
+    try:
+        q = (out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out")
+             .trigger(processingTime="1 second").start())
+    finally:
+        spark.conf.set(key, before)
+    try:
+        deadline = time.time() + 600
+        while True:
+            if q.exception():
+                raise q.exception()
+            done = q.lastProgress is not None and spark.read.schema(out.schema) \
+                .parquet(f"{base}/out").count() >= expected
+            if done:
+                break
+            if time.time() > deadline:
+                raise TimeoutError("idle_flush did not emit every session in time")
+            time.sleep(1)
+    finally:
+        q.stop()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")

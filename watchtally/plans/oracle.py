@@ -243,6 +243,9 @@ BODIES = {
                      strftime(make_timestamp(ts * 1000) + INTERVAL 8 HOUR, '%Y-%m-%d') AS text
               FROM clean)""",
     "stream_sessions": f"SELECT {SESSION_COLS} FROM closed_sessions",
+    "idle_flush": f"""
+        SELECT userCode, videoId, cast(n AS BIGINT) AS logCount, cast(t0 AS BIGINT) AS s0,
+               cast(t1 + {GAP} AS BIGINT) AS s1, level, videoLength FROM sess""",
     "late_drop": f"""
         , mid AS (SELECT (min(ts) + max(ts)) // 2 AS m FROM wide),
         a_ev AS (SELECT * FROM ev WHERE ts >= (SELECT m FROM mid)),

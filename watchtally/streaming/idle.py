@@ -91,7 +91,8 @@ class IdleFlushProcessor(StatefulProcessor):
 
 def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int) -> DataFrame:
     """Sessions per (user, video) closed by a gap or by ``delay_ms`` of idleness."""
-    ev = dwd.select("userCode", "resourceId", "ts", "level", "video_length")
+    from watchtally.operators.sessions import event_time
+    ev = event_time(dwd).select("userCode", "resourceId", "ts", "level", "video_length")
     return (ev.groupBy("userCode", "resourceId")
               .transformWithState(
                   statefulProcessor=IdleFlushProcessor(gap_ms, delay_ms),

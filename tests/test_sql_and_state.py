@@ -52,3 +52,20 @@ def test_tail_topic(spark):
     finally:
         q.stop()
     assert sorted(r.value for r in spark.table("tail_t").collect()) == ["x", "y"]
+
+
+def test_string_and_labelled_sinks(spark):
+    """S7 plain string sink (text stands in for a topic) and S8 labelled sink."""
+    from watchtally.operators.sinks import write_stream
+    base = shared_dir(spark, "t_sinks")
+    topic = local(base) + "/in"
+    put_file(topic, "a.txt", golden.lines())
+    src = spark.readStream.text(topic)
+    q1 = write_stream(src, "text", f"{base}/ck1", path=f"{base}/out",
+                      trigger={"availableNow": True})
+    q2 = write_stream(src, "memory", f"{base}/ck2", trigger={"availableNow": True},
+                      query_name="label_dwd")
+    q1.awaitTermination(120)
+    q2.awaitTermination(120)
+    assert spark.read.text(f"{base}/out").count() == 13
+    assert spark.table("label_dwd").count() == 13

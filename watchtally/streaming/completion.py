@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -98,7 +99,8 @@ def apply_completion(matched: DataFrame, measure_col: str = "videoLength") -> Da
     """Keyed-state completion on a (streaming) rule-matched DataFrame."""
     cols = ["userCode", "videoId", "taskCode", "s0", measure_col, "videoPercent",
             "ruleLength", "rulePercent"]
-    return (matched.select(*dict.fromkeys(cols))
+    usable = F.col("ruleLength").isNotNull() & F.col("rulePercent").isNotNull()
+    return (matched.where(usable).select(*dict.fromkeys(cols))       # Q10: JVM-side filter
                    .groupBy("userCode", "videoId", "taskCode")
                    .transformWithState(
                        statefulProcessor=CompletionProcessor(measure_col),

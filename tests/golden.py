@@ -28,7 +28,7 @@ def dims(spark):
 
 
 def inputs(spark):
-    from watchtally.plans.pipelines import Inputs
+    from watchtally.plans.composites import Inputs
     raw = spark.createDataFrame([(v,) for v in lines()], "value string")
     doctor, video, rule, task = dims(spark)
     return Inputs(raw, doctor, video, rule, task, gap_ms=11_000)

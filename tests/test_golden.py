@@ -2,7 +2,7 @@
 
 from tests import golden
 from watchtally.operators import completion, sinks
-from watchtally.plans import pipelines as P
+from watchtally.plans import composites as P
 
 
 def test_clean_and_wide(spark):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from watchtally.operators import enrich
-from watchtally.plans import pipelines as P
-from watchtally.plans.pipelines import Inputs
+from watchtally.plans import composites as P
+from watchtally.plans.composites import Inputs
 
 
 def plan(df) -> str:

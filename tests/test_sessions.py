@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
 from watchtally.operators import sessions
-from watchtally.plans import pipelines as P
-from watchtally.plans.pipelines import Inputs
+from watchtally.plans import composites as P
+from watchtally.plans.composites import Inputs
 
 
 def brute(events, gap):

@@ -3,12 +3,12 @@
 from tests import golden
 from tests.conftest import SF_SMALL
 from tests.test_streaming import golden_dwd_lines, local, put_file, run
-from watchtally.plans import pipelines as P
+from watchtally.plans import composites as P
 from watchtally.plans import sql as S
-from watchtally.plans.pipelines import Inputs
+from watchtally.plans.composites import Inputs
 from watchtally.session import shared_dir
 from watchtally.sources.logs import read_dwd
-from watchtally.streaming.pipelines import completion_stream
+from watchtally.streaming.flows import completion_stream
 from watchtally.streaming.state import completion_state_snapshot, tail_topic
 
 

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tests import golden
 from tests.conftest import SF_SMALL
 from watchtally.operators import sinks
-from watchtally.plans import pipelines as P
-from watchtally.plans.pipelines import Inputs
+from watchtally.plans import composites as P
+from watchtally.plans.composites import Inputs
 from watchtally.session import shared_dir
 from watchtally.sources.dims import DimensionCache
 from watchtally.sources.logs import read_dwd, read_lines
 from watchtally.streaming.idle import idle_flush_sessions
-from watchtally.streaming.pipelines import completion_stream, job1_batch_writer, session_stream
+from watchtally.streaming.flows import completion_stream, job1_batch_writer, session_stream
 from watchtally.streaming.runner import stream_stats
 
 _MTIME = [1_700_000_000]

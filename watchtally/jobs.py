@@ -27,7 +27,7 @@ from watchtally.operators.sinks import replay_lines, result_json
 from watchtally.session import apply_defaults, build_spark, shared_dir
 from watchtally.sources.dims import DEFAULT_TTL_SECONDS, DimensionCache, read_dim
 from watchtally.sources.logs import read_dwd, read_lines
-from watchtally.streaming.pipelines import completion_stream, job1_batch_writer
+from watchtally.streaming.flows import completion_stream, job1_batch_writer
 from watchtally.streaming.state import tail_topic
 
 

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from watchtally import functions as wf
 from watchtally.operators import completion, enrich, rules, sessions, sinks
-from watchtally.plans import pipelines as P
-from watchtally.plans.pipelines import Inputs
+from watchtally.plans import composites as P
+from watchtally.plans.composites import Inputs
 from watchtally.session import apply_defaults, shared_dir
 from watchtally.sources import fixtures
 from watchtally.sources.dims import DIMENSIONS
 from watchtally.sources.logs import parse_dwd, read_dwd
-from watchtally.streaming.pipelines import completion_stream, session_stream
+from watchtally.streaming.flows import completion_stream, session_stream
 from watchtally.streaming.runner import run_available_now, state_partitions, write_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]

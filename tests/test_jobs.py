@@ -24,7 +24,7 @@ def test_job1_then_job2_end_to_end(spark):
         "video_info": {"path": f"{base}/dims/video"},
         "wide_sink": {"format": "text", "path": f"{base}/topic"},
         "dirty_sink": {"format": "text", "path": f"{base}/dirty"},
-        "trigger": once, "name": "job1_t"})
+        "trigger": once, "name": "job1_t", "print": ["dirty"]})
     q1.awaitTermination(300)
     dirty = sorted(r.value for r in spark.read.text(f"{base}/dirty").collect())
     assert dirty == ["not json", "{}"]
@@ -39,8 +39,10 @@ def test_job1_then_job2_end_to_end(spark):
         "credit_task": {"path": f"{base}/dims/task"},
         "gap_ms": 11_000,
         "result_sink": {"format": "json", "path": f"{base}/result"},
-        "trigger": once, "name": "job2_t"})
+        "trigger": once, "name": "job2_t", "print": ["sessions"]})
     q2.awaitTermination(300)
+    for q in spark.streams.active:     # the labelled "sessions>>>>" console copy
+        q.awaitTermination(300)
     got = sorted(json.loads(r.value)["taskCode"] + "@" + json.loads(r.value)["videoId"]
                  for r in spark.read.json(f"{base}/result").collect())
     # both epochs' topic files arrive as one batch here: every session but the last

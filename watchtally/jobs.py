@@ -23,11 +23,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from watchtally.operators.sessions import REFERENCE_GAP_MS
-from watchtally.operators.sinks import replay_lines, result_json
+from watchtally.operators.rules import rule_match
+from watchtally.operators.sinks import replay_lines, result_json, write_stream
 from watchtally.session import apply_defaults, build_spark, shared_dir
 from watchtally.sources.dims import DEFAULT_TTL_SECONDS, DimensionCache, read_dim
 from watchtally.sources.logs import read_dwd, read_lines
-from watchtally.streaming.flows import completion_stream, job1_batch_writer
+from watchtally.streaming.flows import completion_stream, job1_batch_writer, session_stream
 from watchtally.streaming.state import tail_topic
 
 
@@ -64,7 +65,7 @@ def start_job1(spark: SparkSession, cfg: dict):
                             partition_by=["user_id"])
     video = DimensionCache(lambda: _dim(spark, "video_info", cfg["video_info"]), ttl)
     body = job1_batch_writer(doctor, video, epoch_writer(cfg["wide_sink"]),
-                             epoch_writer(cfg["dirty_sink"]))
+                             epoch_writer(cfg["dirty_sink"]), show=tuple(cfg.get("print", ())))
     ckpt = cfg.get("checkpoint") or shared_dir(spark, "job1") + "/checkpoint"
     return (lines.writeStream.foreachBatch(body).option("checkpointLocation", ckpt)
                  .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job1")).start())
@@ -77,11 +78,19 @@ def start_job2(spark: SparkSession, cfg: dict):
                    strict=cfg.get("strict", True))
     rule = _dim(spark, "credit_rule_config", cfg["credit_rule_config"])
     task = _dim(spark, "credit_task", cfg["credit_task"])
-    done = completion_stream(dwd, rule, task, cfg.get("gap_ms", REFERENCE_GAP_MS),
-                             cfg.get("watermark_delay", "0 seconds"),
-                             cfg.get("measure", "video_length"))
+    gap = cfg.get("gap_ms", REFERENCE_GAP_MS)
+    delay = cfg.get("watermark_delay", "0 seconds")
+    done = completion_stream(dwd, rule, task, gap, delay, cfg.get("measure", "video_length"))
     sink = cfg["result_sink"]
     ckpt = cfg.get("checkpoint") or shared_dir(spark, "job2") + "/checkpoint"
+    # Labelled console copies of intermediate stages, each its own query
+    stages = {"sessions": lambda: session_stream(dwd, gap, delay),
+              "rule_match": lambda: rule_match(session_stream(dwd, gap, delay), rule, task)}
+    for label in cfg.get("print", ()):
+        if label in stages:
+            write_stream(stages[label](), "console", f"{ckpt}-print-{label}",
+                         options={"truncate": "false"}, trigger=_trigger(cfg),
+                         query_name=f"{label}>>>>")
     w = (result_json(done).writeStream.format(sink["format"]).outputMode("append")
          .options(**sink.get("options", {})).option("checkpointLocation", ckpt)
          .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job2")))

@@ -55,18 +55,26 @@ def completion_stream(dwd: DataFrame, rule: DataFrame, task: DataFrame,
 
 def job1_batch_writer(doctor: DimensionCache, video: DimensionCache,
                       write_wide: Callable[[DataFrame, int], None],
-                      write_dirty: Callable[[DataFrame, int], None]):
+                      write_dirty: Callable[[DataFrame, int], None],
+                      show: tuple[str, ...] = (), show_rows: int = 20):
     """``foreachBatch`` body of job 1.
 
     The micro-batch is parsed once and persisted; the dirty branch and the
     enriched branch (as JSON topic records) are written from it; the
     dimension sides come from TTL caches (bounded staleness, no row cap).
+    ``show`` names branches ("dirty", "video") to print a bounded sample of,
+    under their label, for each micro-batch (S8).
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         parsed = parse_log(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_dirty(dirty_branch(parsed), epoch_id)
+            dirty = dirty_branch(parsed)
             wide = dwd_video_wide(clean_branch(parsed), doctor.get(), video.get())
+            for label, df in (("dirty", dirty), ("video", wide)):
+                if label in show:
+                    print(f"{label}>>>> epoch {epoch_id}")
+                    df.show(show_rows, truncate=False)
+            write_dirty(dirty, epoch_id)
             write_wide(to_json_value(wide), epoch_id)
         finally:
             parsed.unpersist()

@@ -70,3 +70,17 @@ def test_epoch_writer_is_idempotent(spark, tmpdir_run):
     write(df, 3)                       # retry of epoch 3
     write(df.limit(1), 4)
     assert spark.read.text(f"{tmpdir_run}/sink").count() == 3
+
+
+def test_read_dim_formats(spark, tmpdir_run):
+    """Dimensions from parquet or CSV come back with the declared schema."""
+    from watchtally.sources.dims import DIMENSIONS, read_dim
+    doctor, video, _, task = golden.dims(spark)
+    video.write.parquet(f"{tmpdir_run}/video")
+    task.write.options(header="true", quote='"', escape='"').csv(f"{tmpdir_run}/task")
+    v = read_dim(spark, "video_info", "parquet", f"{tmpdir_run}/video")
+    t = read_dim(spark, "credit_task", "csv", f"{tmpdir_run}/task",
+                 {"header": "true", "quote": '"', "escape": '"'})
+    assert v.schema == DIMENSIONS["video_info"] and v.count() == 3
+    assert t.schema == DIMENSIONS["credit_task"]
+    assert sorted(r.task_detail for r in t.collect()) == sorted(r.task_detail for r in task.collect())

@@ -84,3 +84,23 @@ def test_read_dim_formats(spark, tmpdir_run):
     assert v.schema == DIMENSIONS["video_info"] and v.count() == 3
     assert t.schema == DIMENSIONS["credit_task"]
     assert sorted(r.task_detail for r in t.collect()) == sorted(r.task_detail for r in task.collect())
+
+
+def test_cli_main_replay(spark, tmpdir_run):
+    src = f"{tmpdir_run}/in.txt"
+    with open(src, "w") as f:
+        f.write("a\nb\n")
+    cfg = f"{tmpdir_run}/cfg.json"
+    with open(cfg, "w") as f:
+        json.dump({"source": {"path": src}, "sink": {"format": "text", "path": f"{tmpdir_run}/o"}}, f)
+    jobs.main(["replay", "--config", cfg])
+    assert sorted(r.value for r in spark.read.text(f"{tmpdir_run}/o").collect()) == ["a", "b"]
+
+
+def test_dimension_cache_partitioning(spark):
+    from watchtally.sources.dims import DimensionCache
+    doctor, _, _, _ = golden.dims(spark)
+    c = DimensionCache(lambda: doctor, 3600, partition_by=["user_id"])
+    plan = c.get()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in plan
+    assert c.get().count() == 1

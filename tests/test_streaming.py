@@ -202,3 +202,17 @@ def test_job1_foreach_batch(spark):
     assert wide.count() == batch.count()
     assert wide.exceptAll(batch).count() == 0
     assert spark.read.text(f"{base}/dirty").count() == P.dirty_log(i).count()
+
+
+def test_watermark_delay_keeps_late_rows(spark):
+    """T2 option: with a delay, a row behind the max event time is still taken."""
+    base = shared_dir(spark, "t_delay")
+    topic = local(base) + "/topic"
+    row = {"deviceId": "d", "userCode": "u", "eventCode": "002", "resourceId": "v",
+           "level": 1, "video_length": 1000}
+    put_file(topic, "a.json", [json.dumps({**row, "ts": 100_000})])
+    put_file(topic, "b.json", [json.dumps({**row, "ts": 150_000})])
+    put_file(topic, "c.json", [json.dumps({**row, "ts": 80_000})])   # 70 s behind the max
+    src = read_dwd(spark, "text", topic, options={"maxFilesPerTrigger": "1"}, stream=True)
+    q = run(session_stream(src, 11_000, watermark_delay="2 minutes"), base)
+    assert stream_stats(q)["numRowsDroppedByWatermark"] == 0

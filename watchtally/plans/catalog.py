@@ -20,7 +20,7 @@ from watchtally.plans.composites import Inputs
 from watchtally.session import apply_defaults, shared_dir
 from watchtally.sources import fixtures
 from watchtally.sources.dims import DIMENSIONS
-from watchtally.sources.logs import parse_dwd, read_dwd
+from watchtally.sources.logs import read_dwd
 from watchtally.streaming.flows import completion_stream, session_stream
 from watchtally.streaming.runner import run_available_now, state_partitions, write_json_lines
 
@@ -71,9 +71,12 @@ for _qn, _dn in [("dim_doctor", "doctor_info"), ("dim_video", "video_info"),
 
 @query("dwd_roundtrip")
 def dwd_roundtrip(spark, d):
-    """Enriched rows -> JSON topic records -> strict parse back."""
+    """S5 -> S2/P11: enriched rows published as JSON topic records (a line-file
+    topic in the shared folder), read back by the topic source, strictly parsed."""
     wide = P.dwd_video_wide(_inputs(spark, d), carry=False)
-    return parse_dwd(sinks.to_json_value(wide), strict=True)
+    topic = shared_dir(spark, "dwd_roundtrip") + "/topic"
+    sinks.write_batch(sinks.to_json_value(wide), "text", topic, mode="overwrite")
+    return read_dwd(spark, "text", topic, strict=True)
 
 
 @query("upsert_latest")

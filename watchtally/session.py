@@ -55,13 +55,17 @@ def apply_defaults(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a private one only when unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no driver-side context (e.g. a Spark Connect session)
+        sc = None
+    root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         # Only reached in local runs and tests: nothing configured a shared folder.
         root = tempfile.mkdtemp(prefix="watchtally-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

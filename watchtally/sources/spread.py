@@ -14,7 +14,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no driver-side context (e.g. a Spark Connect session)
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)

@@ -22,7 +22,10 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
 def state_partitions(spark: SparkSession) -> int | None:
     """State-store partitions for a new query: the core count in local mode,
     otherwise whatever the cluster configured (None = keep the session's)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no driver-side context (e.g. a Spark Connect session)
+        return None
     return sc.defaultParallelism if sc.master.startswith("local") else None
 
 

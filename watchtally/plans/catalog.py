@@ -425,3 +425,34 @@ def idle_flush(spark, d):
     finally:
         q.stop()
     return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
+@query("stream_dwd_video_wide")
+def stream_dwd_video_wide(spark, d):
+    """Job 1 streaming: raw lines -> foreachBatch (one parse per micro-batch,
+    TTL-cached dimensions, dirty and enriched sinks written per epoch) ->
+    the published topic, read back."""
+    from watchtally.jobs import epoch_writer
+    from watchtally.sources.dims import DimensionCache
+    from watchtally.sources.logs import read_lines
+    from watchtally.streaming.flows import job1_batch_writer
+    i = _inputs(spark, d)
+    base = shared_dir(spark, "stream_dwd_video_wide")
+    sinks.write_batch(i.raw.where(F.col("value").isNotNull()).select("value"), "text",
+                      f"{base}/raw", mode="overwrite")
+    body = job1_batch_writer(DimensionCache(lambda: i.doctor, partition_by=["user_id"]),
+                             DimensionCache(lambda: i.video),
+                             epoch_writer({"format": "text", "path": f"{base}/topic"}),
+                             epoch_writer({"format": "text", "path": f"{base}/dirty"}))
+    src = read_lines(spark, "text", f"{base}/raw", stream=True)
+    q = (src.writeStream.foreachBatch(body).option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start())
+    try:
+        if not q.awaitTermination(600):
+            raise TimeoutError("stream_dwd_video_wide did not finish in time")
+        if q.exception():
+            raise q.exception()
+    finally:
+        if q.isActive:
+            q.stop()
+    return read_dwd(spark, "text", f"{base}/topic", strict=True)

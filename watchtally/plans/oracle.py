@@ -159,6 +159,7 @@ BODIES = {
     "dim_rule": "SELECT rule_code, doctor_level FROM rule",
     "dim_task": "SELECT code, rule_code, task_detail FROM task",
     "dwd_roundtrip": f"SELECT {DWD_COLS} FROM wide",
+    "stream_dwd_video_wide": f"SELECT {DWD_COLS} FROM wide",
     "upsert_latest": """
         SELECT concat('{"userCode":"', userCode, '","videoId":"', videoId, '"}') AS key,
                concat('{"userCode":"', userCode, '","level":', level, ',"videoId":"', videoId,

@@ -422,7 +422,7 @@ def idle_flush(spark, d):
             if time.time() > deadline:
                 raise TimeoutError("idle_flush did not emit every session in time")
             time.sleep(1)
-        idle_by = time.time() + 30          # stop between triggers, not mid-write
+        idle_by = time.time() + 5           # prefer stopping between triggers
         while q.status.get("isTriggerActive") and time.time() < idle_by:
             time.sleep(0.1)
     finally:

@@ -20,7 +20,7 @@ from watchtally.plans.composites import Inputs
 from watchtally.session import apply_defaults, shared_dir
 from watchtally.sources import fixtures
 from watchtally.sources.dims import DIMENSIONS
-from watchtally.sources.logs import read_dwd
+from watchtally.sources.logs import read_dwd, read_lines
 from watchtally.streaming.flows import completion_stream, session_stream
 from watchtally.streaming.runner import run_available_now, state_partitions, write_json_lines
 
@@ -52,8 +52,11 @@ def _inputs(spark, d) -> Inputs:
 
 @query("raw_log_not_null")
 def raw_log_not_null(spark, d):
-    """Raw lines, null payloads dropped."""
-    return fixtures.raw_log(spark, d).where(F.col("value").isNotNull())
+    """Raw lines published to a topic that can hold null payloads (parquet in
+    the shared folder), read back by the line source, which drops the nulls."""
+    topic = shared_dir(spark, "raw_log") + "/topic"
+    sinks.write_batch(fixtures.raw_log(spark, d), "parquet", topic, mode="overwrite")
+    return read_lines(spark, "parquet", topic, keep=("event_id",))
 
 
 def _dim(name):
@@ -437,7 +440,6 @@ def stream_dwd_video_wide(spark, d):
     the published topic, read back."""
     from watchtally.jobs import epoch_writer
     from watchtally.sources.dims import DimensionCache
-    from watchtally.sources.logs import read_lines
     from watchtally.streaming.flows import job1_batch_writer
     i = _inputs(spark, d)
     base = shared_dir(spark, "stream_dwd_video_wide")

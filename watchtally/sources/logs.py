@@ -15,16 +15,15 @@ from watchtally.sources.spread import spread
 
 
 def read_lines(spark: SparkSession, fmt: str = "text", path: str | None = None,
-               options: dict | None = None, stream: bool = False) -> DataFrame:
-    """Raw lines as ``value`` (kafka: ``cast(value as string)``), nulls dropped."""
+               options: dict | None = None, stream: bool = False,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw lines as ``value`` (kafka: ``cast(value as string)``), nulls dropped.
+
+    ``keep`` carries source columns along (e.g. kafka ``offset``, an id)."""
     r = spark.readStream if stream else spark.read
     r = r.format(fmt).options(**(options or {}))
-    df = r.load(path) if path else r.load()
-    df = spread(df)
-    if fmt == "kafka":
-        df = df.selectExpr("CAST(value AS STRING) AS value")
-    else:
-        df = df.select(F.col("value").cast("string").alias("value"))
+    df = spread(r.load(path) if path else r.load())
+    df = df.select(F.col("value").cast("string").alias("value"), *keep)
     return df.where(F.col("value").isNotNull())
 
 

@@ -216,3 +216,28 @@ def test_watermark_delay_keeps_late_rows(spark):
     src = read_dwd(spark, "text", topic, options={"maxFilesPerTrigger": "1"}, stream=True)
     q = run(session_stream(src, 11_000, watermark_delay="2 minutes"), base)
     assert stream_stats(q)["numRowsDroppedByWatermark"] == 0
+
+
+def test_completion_with_state_ttl(spark):
+    """Q16 option: a state TTL (processing time) leaves results of a short run unchanged.
+
+    TTL needs the processing-time mode, which keeps triggering, so the query
+    runs on a processing-time trigger and is stopped once its output is in."""
+    base = shared_dir(spark, "t_ttl")
+    topic = local(base) + "/topic"
+    for k, line in enumerate(golden_dwd_lines(spark)):
+        put_file(topic, f"f{k:03d}.json", [line])
+    src = read_dwd(spark, "text", topic, stream=True)
+    _, _, rule, task = golden.dims(spark)
+    q = (completion_stream(src, rule, task, 11_000, state_ttl_ms=3_600_000)
+         .writeStream.format("memory").queryName("ttl_t").outputMode("append")
+         .option("checkpointLocation", f"{base}/ckpt")
+         .trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and spark.table("ttl_t").count() < 2:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = sorted((r.videoId, r.taskCode) for r in spark.table("ttl_t").collect())
+    assert got == [("1001", "T1"), ("1001", "T2")]

@@ -80,7 +80,8 @@ def start_job2(spark: SparkSession, cfg: dict):
     task = _dim(spark, "credit_task", cfg["credit_task"])
     gap = cfg.get("gap_ms", REFERENCE_GAP_MS)
     delay = cfg.get("watermark_delay", "0 seconds")
-    done = completion_stream(dwd, rule, task, gap, delay, cfg.get("measure", "video_length"))
+    done = completion_stream(dwd, rule, task, gap, delay, cfg.get("measure", "video_length"),
+                             cfg.get("state_ttl_ms"))
     sink = cfg["result_sink"]
     ckpt = cfg.get("checkpoint") or shared_dir(spark, "job2") + "/checkpoint"
     # Labelled console copies of intermediate stages, each its own query

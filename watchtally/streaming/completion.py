@@ -70,11 +70,13 @@ class CompletionProcessor(StatefulProcessor):
     micro-batch; one state read and one write per key and batch.
     """
 
-    def __init__(self, measure_col: str = "videoLength"):
+    def __init__(self, measure_col: str = "videoLength", state_ttl_ms: int | None = None):
         self.measure_col = measure_col
+        self.state_ttl_ms = state_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(STATE_NAME, STATE_SCHEMA)
+        # optional expiry of idle keys
+        self.state = handle.getValueState(STATE_NAME, STATE_SCHEMA, self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         rows = sorted((r for r in rows
@@ -95,15 +97,19 @@ class CompletionProcessor(StatefulProcessor):
         pass
 
 
-def apply_completion(matched: DataFrame, measure_col: str = "videoLength") -> DataFrame:
-    """Keyed-state completion on a (streaming) rule-matched DataFrame."""
+def apply_completion(matched: DataFrame, measure_col: str = "videoLength",
+                     state_ttl_ms: int | None = None) -> DataFrame:
+    """Keyed-state completion on a (streaming) rule-matched DataFrame.
+
+    ``state_ttl_ms`` lets a key's state expire after that long without updates
+    (processing time); by default state is kept forever like the reference."""
     cols = ["userCode", "videoId", "taskCode", "s0", measure_col, "videoPercent",
             "ruleLength", "rulePercent"]
     usable = F.col("ruleLength").isNotNull() & F.col("rulePercent").isNotNull()
     return (matched.where(usable).select(*dict.fromkeys(cols))       # Q10: JVM-side filter
                    .groupBy("userCode", "videoId", "taskCode")
                    .transformWithState(
-                       statefulProcessor=CompletionProcessor(measure_col),
+                       statefulProcessor=CompletionProcessor(measure_col, state_ttl_ms),
                        outputStructType=OUTPUT_SCHEMA,
                        outputMode="Append",
-                       timeMode="None"))
+                       timeMode="ProcessingTime" if state_ttl_ms else "None"))

@@ -45,12 +45,13 @@ def session_stream(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
 
 def completion_stream(dwd: DataFrame, rule: DataFrame, task: DataFrame,
                       gap_ms: int = REFERENCE_GAP_MS, watermark_delay: str = "0 seconds",
-                      measure: str = "video_length") -> DataFrame:
+                      measure: str = "video_length",
+                      state_ttl_ms: int | None = None) -> DataFrame:
     """Job 2 end to end: one output row per completed (user, video, task)."""
     sessions = session_stream(dwd, gap_ms, watermark_delay)
     matched = rule_match(sessions, rule, task)
     col = "videoLength" if measure == "video_length" else "duration"
-    return apply_completion(matched, col)
+    return apply_completion(matched, col, state_ttl_ms)
 
 
 def job1_batch_writer(doctor: DimensionCache, video: DimensionCache,

@@ -31,8 +31,9 @@ def main() -> None:
 
     spark = build_spark(f"local[{cpus}]", shuffle_partitions=cpus)
     reg = registry()
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     rows: dict[str, int] = {}
+    errors: dict[str, str] = {}
     selected = os.environ.get("BENCH_QUERIES")
     for name in (selected.split(",") if selected else HEADLINE):
         fn = reg[name]
@@ -41,22 +42,32 @@ def main() -> None:
             df = fn(spark, sf_dir)
             df.write.format("noop").mode("overwrite").save()
 
-        once()                                            # warm-up
-        samples = []
-        for _ in range(runs):
-            t = time.perf_counter()
-            once()
-            samples.append(time.perf_counter() - t)
-        times[name] = round(statistics.median(samples), 3)
-        rows[name] = fn(spark, sf_dir).count()
+        try:
+            once()                                        # warm-up
+            samples = []
+            for _ in range(runs):
+                t = time.perf_counter()
+                once()
+                samples.append(time.perf_counter() - t)
+            times[name] = round(statistics.median(samples), 3)
+            rows[name] = fn(spark, sf_dir).count()
+        except Exception as e:  # keep the one-line contract; report the failure
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    print(json.dumps({
-        "metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
+    record = {
+        "metric": "headline_total_sec",
+        "value": round(sum(t for t in times.values() if t is not None), 3), "unit": "sec",
         "queries": times, "rows": rows, "input_events": events, "sf": sf, "cpus": cpus,
         "shuffle_partitions": cpus, "spark": spark.version,
-    }))
+    }
+    if errors:
+        record["errors"] = errors
+    print(json.dumps(record))
     spark.stop()
+    if errors:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, packing, quality, secrets, tokenfile, warc
+from . import html, jaccard, packing, quality, secrets, tokenfile, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -25,6 +25,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -60,7 +64,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_html_extraction, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
+    op2_best_fit_packing, op3_html_extraction, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
 
 #: DuckDB SQL where SQL can express a whole result.
 ORACLE_SQL: dict[str, str] = {}

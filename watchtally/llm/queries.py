@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, jaccard, packing, quality, secrets, tokenfile, warc
+from . import decontaminate, html, jaccard, packing, quality, secrets, tokenfile, toxicity, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -25,6 +25,23 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read_table(spark, sf_dir, "pages"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.fit(docs, labels)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    evidence = F.transform(F.slice("neighbours", 1, 5), lambda x: x["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", evidence.alias("evidence"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_common", "containment")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read_table(spark, sf_dir, "documents"))
 
@@ -64,7 +81,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_html_extraction, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
+    op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
 
 #: DuckDB SQL where SQL can express a whole result.
 ORACLE_SQL: dict[str, str] = {}

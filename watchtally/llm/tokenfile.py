@@ -66,7 +66,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
         from pyspark import TaskContext
 
         encoder = word_encoder(tokenizer)
-        width = 2 if max(len(encoder.length), end_id + 1) <= 1 << 16 else 4
+        width = 2 if max(encoder.n_ids, end_id + 1) <= 1 << 16 else 4
         fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}"

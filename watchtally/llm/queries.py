@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, jaccard, packing, quality, secrets, tokenfile, toxicity, warc
+from . import decontaminate, html, jaccard, packing, quality, repeats, secrets, tokenfile, toxicity, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -17,6 +17,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID, 1024)
 
@@ -81,7 +85,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
+    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
 
 #: DuckDB SQL where SQL can express a whole result.
 ORACLE_SQL: dict[str, str] = {}

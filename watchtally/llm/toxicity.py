@@ -7,7 +7,7 @@ vote into a probability. The neighbours are returned as evidence.
 
 Terms are lower-cased words and word beginnings of 4 to 7 bytes. Vectors use the
 terms that tell the labels apart on the examples (chi-square of at least
-``least_chi2``, the best ``terms`` of them); inverse document frequencies count all
+``least_chi2`` and a ratio of at least ``least_lift``, the best ``terms`` of them); inverse document frequencies count all
 documents of the corpus.
 
 Search: a block-max inverted index. Examples are numbered by their strongest term
@@ -49,6 +49,8 @@ class ToxicityConfig:
     terms: int = 4096
     least_chi2: float = 24.0
     least_examples: int = 3
+    #: How many times commoner a term must be under one label than under the other.
+    least_lift: float = 4.0
     neighbours: int = 15
     block: int = 64
 
@@ -215,8 +217,10 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
     a, b = F.col("pos").cast("double"), F.col("neg").cast("double")
     p, q, n = float(n_pos), float(n_neg), float(n_pos + n_neg)
     chi2 = n * (a * (q - b) - b * (p - a)) ** 2 / (p * q * (a + b) * (n - a - b) + F.lit(1e-9))
+    lift = ((a + 0.5) / (p + 1)) / ((b + 0.5) / (q + 1))
     top = (map_arrow(examples.select("doc_id", "text", "toxic"), count, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-           .where(F.col("pos") + F.col("neg") >= c.least_examples).withColumn("chi2", chi2).where(F.col("chi2") >= c.least_chi2)
+           .where(F.col("pos") + F.col("neg") >= c.least_examples).withColumn("chi2", chi2)
+           .where(F.col("chi2") >= c.least_chi2).where(F.greatest(lift, 1 / lift) >= c.least_lift)
            .orderBy(F.desc("chi2"), "term").limit(c.terms).collect())
     terms = np.sort(unsigned([r.term for r in top]))
 

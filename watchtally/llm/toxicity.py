@@ -156,18 +156,26 @@ def _near_copies(rows) -> set[int]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not below 0) and offset by Newton's method, smoothed targets and a weak pull to 0."""
+    """Slope (not below 0) and offset by Newton's method with halved steps, smoothed targets and a weak pull to 0."""
     pos, neg = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    theta = np.array([1.0, math.log((pos + 1) / (neg + 1))])
     design = np.stack([x, np.ones(len(x))], axis=1)
-    pull = np.diag([1e-2, 1e-4])
-    for _ in range(100):
+    pull = np.array([1e-2, 1e-4])
+
+    def loss(theta):
+        z = design @ theta
+        return (np.logaddexp(0, z) - target * z).sum() + (pull * theta * theta).sum() / 2
+
+    theta = np.array([0.0, math.log((pos + 1) / (neg + 1))])
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(design @ theta, -40, 40)))
-        g = design.T @ (p - target) + pull @ theta
-        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + pull + 1e-9 * np.eye(2), g)
-        theta -= np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
+        g = design.T @ (p - target) + pull * theta
+        step = np.linalg.solve(design.T @ (design * (p * (1 - p))[:, None]) + np.diag(pull), g)
+        t = 1.0
+        while t > 1e-6 and loss(theta - t * step) > loss(theta):
+            t /= 2
+        theta = theta - t * step
+        if np.abs(t * step).max() < 1e-9:
             break
     return max(0.0, float(theta[0])), float(theta[1])
 
@@ -264,31 +272,47 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
     return model
 
 
+NEIGHBOURS = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
+
+
+def _scored(m: Model, texts: list[bytes]) -> tuple[np.ndarray, list[list[dict]]]:
+    n = len(texts)
+    value, near = np.full(n, m.probability(0.0)), [[] for _ in range(n)]
+    if m.index is not None:
+        doc, at, count = counts_of(texts, m.terms)
+        split = np.searchsorted(doc, np.arange(n + 1))
+        for i in np.flatnonzero(np.diff(split)):
+            own = slice(split[i], split[i + 1])
+            got = m.index.nearest(at[own], m.vector(at[own], count[own]), m.config.neighbours)
+            value[i] = m.probability(m.vote(got))
+            near[i] = [{"doc_id": int(m.ids[j]), "similarity": s, "toxic": int(m.toxic[j])} for s, j in got]
+    return value, near
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted and the neighbours (example's doc_id, similarity, label) of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = sent.value
-        plain = m.probability(0.0)
         for batch, texts in groups(batches):
-            n = len(texts)
-            value = np.full(n, plain)
-            near: list[list] = [[] for _ in range(n)]
-            if m.index is not None:
-                doc, at, count = counts_of(texts, m.terms)
-                split = np.searchsorted(doc, np.arange(n + 1))
-                for i in np.flatnonzero(np.diff(split)):
-                    own = slice(split[i], split[i + 1])
-                    got = m.index.nearest(at[own], m.vector(at[own], count[own]), m.config.neighbours)
-                    value[i] = m.probability(m.vote(got))
-                    near[i] = [{"doc_id": int(m.ids[j]), "similarity": s, "toxic": int(m.toxic[j])} for s, j in got]
-            yield {"doc_id": batch.column("doc_id"), "score": value, "predicted": (value >= 0.5).astype(np.int32),
-                   "neighbours": pa.array(near, pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))}
+            value, near = _scored(sent.value, texts)
+            yield {"doc_id": batch.column("doc_id"), "score": value, "predicted": (value >= 0.5).astype(np.int32), "neighbours": pa.array(near, NEIGHBOURS)}
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, score double, predicted int, neighbours array<struct<doc_id: long, similarity: double, toxic: int>>")
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, that aren't predicted toxic."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch, texts in groups(batches):
+            value, _ = _scored(sent.value, texts)
+            yield batch.filter(pa.array(value < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows that labels are never learnt from (one in five, by the CRC of the id as text)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

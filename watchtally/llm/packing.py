@@ -51,11 +51,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, w
         from pyspark import TaskContext
 
         encoder, task, seen = byte_encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for a in range(0, len(texts), 256):
+        for whole in batches:
+            for a in range(0, whole.num_rows, 256):
+                batch = whole.slice(a, 256)
                 out = {k: [] for k in ("row", "piece", "start", "length", "ids_crc32", "number", "ids")}
-                for r, x in enumerate(encoder.encode(texts[a : a + 256]), a):
+                for r, x in enumerate(encoder.encode([x or "" for x in batch.column("text").to_pylist()])):
                     ids = np.append(x, end_id).astype("<u4")
                     for p, (s, n) in enumerate(cut_points(len(ids), capacity)):
                         part = ids[s : s + n]

@@ -90,8 +90,8 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 
 def _scan(batches):
-    for batch in batches:
-        d = batch.to_pydict()
+    for batch, a in ((b, a) for b in batches for a in range(0, b.num_rows, 512)):
+        d = batch.slice(a, 512).to_pydict()
         yield {"blob": d["blob"], "rule_version": [RULE_VERSION] * len(d["blob"]), "spans": [joined(find(t or "")) for t in d["text"]]}
 
 

@@ -75,9 +75,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
         def write(out):
             for batch in batches:
                 ids.extend(NO_ID if x is None else x for x in batch.column("doc_id").to_pylist())
-                texts = [x or "" for x in batch.column("text").to_pylist()]
-                for a in range(0, len(texts), 256):
-                    for x in encoder.encode(texts[a : a + 256]):
+                for a in range(0, batch.num_rows, 256):
+                    for x in encoder.encode([x or "" for x in batch.column("text").slice(a, 256).to_pylist()]):
                         sizes.append(len(x) + 1)
                         out.write(np.append(x, end_id).astype(f"<u{width}").tobytes())
 

@@ -17,7 +17,7 @@ import json
 import os
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -120,9 +120,7 @@ class ByteEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.fast = Tokenizer.from_file(path), None
+        self.path, self.fast = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -138,6 +136,13 @@ class ByteEncoder:
             ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded when it is needed."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each whole text."""
         return [np.array(self.fast.encode_ordinary(t) if self.fast and not any(s in t for s in self.special)

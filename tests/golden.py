@@ -1,28 +1,31 @@
-"""The 13-row sample log and the invented dimensions of FIXTURES.md §3."""
+"""A small invented log with hand-computed results, and the dimensions it needs.
+
+User kim watches alpha (12 s long) in one session of five events, beta (5 s) in
+two sessions of two events, and gamma (2 s) in one of two; the gap is 11 s.
+"""
 
 import json
 
-T = 1682412298614
-# (resource, offset ms, event) for rows 1-13 of the sample log
-ROWS = ([("1001", 9000 * i, e) for i, e in enumerate(["001"] + ["002"] * 5 + ["003"])]
-        + [("1003", 54000, "001"), ("1003", 63000, "002"), ("1003", 72000, "003"),
-           ("1002", 72000, "001"), ("1002", 81000, "003"), ("1002", 681000, "003")])
+T = 1_700_000_000_000
+# (video, seconds after T, event)
+ROWS = [("alpha", 0, "001"), ("alpha", 4, "002"), ("alpha", 8, "002"), ("alpha", 12, "002"),
+        ("alpha", 16, "003"), ("beta", 20, "001"), ("beta", 24, "003"), ("gamma", 26, "001"),
+        ("gamma", 30, "003"), ("beta", 300, "001"), ("beta", 305, "003")]
 
 
 def lines():
-    return [json.dumps({"deviceId": "abcd", "userCode": "1001", "event": e, "ts": T + off,
-                        "Item": {"resource_id": r}}, separators=(",", ":"))
-            for r, off, e in ROWS]
+    return [json.dumps({"deviceId": "tablet", "userCode": "kim", "event": e, "ts": T + 1000 * s,
+                        "Item": {"resource_id": v}}, separators=(",", ":")) for v, s, e in ROWS]
 
 
 def dims(spark):
-    doctor = spark.createDataFrame([("1001", 1)], "user_id string, level int")
-    video = spark.createDataFrame([("1001", 10000), ("1002", 4000), ("1003", 3000)],
+    doctor = spark.createDataFrame([("kim", 3)], "user_id string, level int")
+    video = spark.createDataFrame([("alpha", 12000), ("beta", 5000), ("gamma", 2000)],
                                   "video_id string, video_length int")
-    rule = spark.createDataFrame([("R1", 1)], "rule_code string, doctor_level int")
+    rule = spark.createDataFrame([("basic", 3)], "rule_code string, doctor_level int")
     task = spark.createDataFrame([
-        ("T1", "R1", '{"watchVideoLengthOfTime":9000,"watchVideoWatchLengthOfTimePercentage":0.6}'),
-        ("T2", "R1", '{"watchVideoLengthOfTime":8000,"watchVideoWatchLengthOfTimePercentage":0.7}'),
+        ("long", "basic", '{"watchVideoLengthOfTime":10000,"watchVideoWatchLengthOfTimePercentage":0.4}'),
+        ("half", "basic", '{"watchVideoLengthOfTime":4000,"watchVideoWatchLengthOfTimePercentage":0.5}'),
     ], "code string, rule_code string, task_detail string")
     return doctor, video, rule, task
 

@@ -30,6 +30,11 @@ EDGES = [
     ('{"ts":5.9,' + ITEM + '}', False, 5, "7", "other"),
     ('{"ts":{},' + ITEM + '}', True, None, None, None),
     ('{"deviceId":[1],' + ITEM + '}', False, None, "7", "other"),
+    ('{"ts":1,' + ITEM + '}{"ts":2,' + ITEM + '}', True, None, None, None),
+    ('{"ts":1,' + ITEM + '},{"ts":2,' + ITEM + '}', True, None, None, None),
+    ('{"ts":1,' + ITEM + '} trailing', True, None, None, None),
+    ('{"ts":1,"ts":2,' + ITEM + '}', False, 2, "7", "other"),
+    ('1], [2', True, None, None, None),
 ]
 
 
@@ -67,17 +72,17 @@ def test_half_up(spark, x, expected):
 
 
 def test_time_functions(spark):
-    df = spark.createDataFrame([(1682412298614,)], "ts bigint")
+    df = spark.createDataFrame([(1700000000123,)], "ts bigint")
     r = df.select(wf.fmt_datetime("ts").alias("a"), wf.fmt_date("ts").alias("b"),
                   wf.fmt_datetime("ts", "+08:00").alias("c"),
                   wf.ts_from_text(wf.fmt_datetime("ts", "+08:00")).alias("d"),
-                  wf.ts_from_date(F.lit("2023-04-25")).alias("e"),
+                  wf.ts_from_date(F.lit("2023-11-15")).alias("e"),
                   wf.ts_from_text(F.lit("garbage")).alias("f")).first()
-    assert r.a == "2023-04-25 08:44:58:614"
-    assert r.b == "2023-04-25"
-    assert r.c == "2023-04-25 16:44:58:614"
-    assert r.d == 1682412298614
-    assert r.e == 1682352000000                      # 2023-04-25 00:00 at +08:00
+    assert r.a == "2023-11-14 22:13:20:123"
+    assert r.b == "2023-11-14"
+    assert r.c == "2023-11-15 06:13:20:123"
+    assert r.d == 1700000000123
+    assert r.e == 1699977600000                      # 2023-11-15 00:00 at +08:00
     assert r.f is None
 
 
@@ -89,10 +94,22 @@ def test_state_key_and_bool(spark):
 
 
 def test_getters(spark):
-    df = spark.createDataFrame([('{"a":"12","b":5.9,"c":"x"}',)], "s string") \
+    df = spark.createDataFrame([('{"a":"12","b":5.9,"c":"x","d":"5.9"}',)], "s string") \
               .select(F.try_parse_json("s").alias("j"))
     r = df.select(wf.get_long("j", "a").alias("a"), wf.get_long("j", "b").alias("b"),
                   wf.get_int_value("j", "c").alias("c"), wf.get_long_value("j", "z").alias("z"),
-                  wf.get_double_value("j", "a").alias("d"), wf.get_string("j", "b").alias("e")
-                  ).first()
-    assert (r.a, r.b, r.c, r.z, r.d, r.e) == (12, 5, 0, 0, 12.0, "5.9")
+                  wf.get_double_value("j", "a").alias("d"), wf.get_string("j", "b").alias("e"),
+                  wf.get_long("j", "d").alias("f"), wf.get_int_value("j", "d").alias("g")).first()
+    assert (r.a, r.b, r.c, r.z, r.d, r.e, r.f, r.g) == (12, 5, 0, 0, 12.0, "5.9", 5, 5)
+
+
+def test_topic_records(spark):
+    """Coerced like the log lines; strict fails on what is no object, lenient leaves it aside."""
+    import pytest
+    from watchtally.sources.logs import bad_dwd, parse_dwd
+    df = spark.createDataFrame([('{"ts":"12","level":"1","userCode":7}',), ("not json",), ("[1]",)], "value string")
+    rows = parse_dwd(df, strict=False).collect()
+    assert [(r.ts, r.level, r.userCode, r.video_length) for r in rows] == [(12, 1, "7", None)]
+    assert bad_dwd(df).count() == 2
+    with pytest.raises(Exception, match="not a topic record"):
+        parse_dwd(df).collect()

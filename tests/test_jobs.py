@@ -11,8 +11,8 @@ from watchtally.session import shared_dir
 def test_job1_then_job2_end_to_end(spark):
     base = shared_dir(spark, "t_jobs")
     root = local(base)
-    put_file(f"{root}/raw", "a.txt", golden.lines()[:7] + ["not json", "{}"])
-    put_file(f"{root}/raw", "b.txt", golden.lines()[7:])
+    put_file(f"{root}/raw", "a.txt", golden.lines()[:5] + ["not json", "{}"])
+    put_file(f"{root}/raw", "b.txt", golden.lines()[5:])
     doctor, video, rule, task = golden.dims(spark)
     for name, df in [("doctor", doctor), ("video", video), ("rule", rule), ("task", task)]:
         df.write.parquet(f"{base}/dims/{name}")
@@ -29,8 +29,8 @@ def test_job1_then_job2_end_to_end(spark):
     dirty = sorted(r.value for r in spark.read.text(f"{base}/dirty").collect())
     assert dirty == ["not json", "{}"]
     wide = spark.read.text(f"{base}/topic")
-    assert wide.count() == 13
-    assert json.loads(wide.first().value)["video_length"] in (10000, 4000, 3000)
+    assert wide.count() == 11
+    assert json.loads(wide.first().value)["video_length"] in (12000, 5000, 2000)
 
     q2 = jobs.start_job2(spark, {
         "source": {"format": "text", "path": f"{root}/topic",
@@ -39,15 +39,17 @@ def test_job1_then_job2_end_to_end(spark):
         "credit_task": {"path": f"{base}/dims/task"},
         "gap_ms": 11_000,
         "result_sink": {"format": "json", "path": f"{base}/result"},
-        "trigger": once, "name": "job2_t", "print": ["sessions"]})
+        "trigger": once, "name": "job2_t", "print": ["sessions", "result"],
+        "session_quarantine_sink": {"format": "json", "path": f"{base}/bad_sessions"},
+        "threshold_quarantine_sink": {"format": "json", "path": f"{base}/bad_matches"}})
     q2.awaitTermination(300)
     for q in spark.streams.active:     # the labelled "sessions>>>>" console copy
         q.awaitTermination(300)
     got = sorted(json.loads(r.value)["taskCode"] + "@" + json.loads(r.value)["videoId"]
                  for r in spark.read.json(f"{base}/result").collect())
     # both epochs' topic files arrive as one batch here: every session but the last
-    # 1002 session closes, so 1001 completes T1 and T2
-    assert got == ["T1@1001", "T2@1001"]
+    # of beta closes
+    assert got == ["long@alpha"]
 
 
 def test_replay_job(spark, tmpdir_run):
@@ -59,7 +61,7 @@ def test_replay_job(spark, tmpdir_run):
         json.dump({"source": {"path": src},
                    "sink": {"format": "text", "path": f"{tmpdir_run}/topic"}}, f)
     jobs.JOBS["replay"](spark, json.load(open(cfg))).awaitTermination()
-    assert spark.read.text(f"{tmpdir_run}/topic").count() == 13
+    assert spark.read.text(f"{tmpdir_run}/topic").count() == 11
 
 
 def test_epoch_writer_is_idempotent(spark, tmpdir_run):
@@ -104,3 +106,107 @@ def test_dimension_cache_partitioning(spark):
     plan = c.get()._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in plan
     assert c.get().count() == 1
+
+
+def _job2_cfg(base, **more):
+    return {"source": {"format": "text", "path": f"{base}/topic"},
+            "credit_rule_config": {"path": f"{base}/dims/rule"},
+            "credit_task": {"path": f"{base}/dims/task"}, "gap_ms": 11_000,
+            "result_sink": {"format": "json", "path": f"{base}/result"},
+            "trigger": {"availableNow": True}, **more}
+
+
+def _event(user, video, second, length=12000):
+    return json.dumps({"deviceId": "d", "userCode": user, "eventCode": "002", "resourceId": video,
+                       "ts": golden.T + 1000 * second, "level": 3, "video_length": length})
+
+
+def test_restart_with_default_checkpoint(spark):
+    """Both jobs continue after a second start with default settings: each result once."""
+    base = shared_dir(spark, "t_restart_jobs")
+    root = local(base)
+    name = base.rsplit("-", 1)[-1]
+    for k, df in zip(("doctor", "video", "rule", "task"), golden.dims(spark)):
+        df.write.parquet(f"{base}/dims/{k}")
+    cfg = {"source": {"format": "text", "path": f"{root}/raw"},
+           "doctor_info": {"path": f"{base}/dims/doctor"},
+           "video_info": {"path": f"{base}/dims/video"},
+           "wide_sink": {"format": "text", "path": f"{base}/wide"},
+           "dirty_sink": {"format": "text", "path": f"{base}/dirty"},
+           "trigger": {"availableNow": True}, "name": f"job1-{name}"}
+    for k, part in enumerate((golden.lines()[:6], golden.lines()[6:] + ["{} {}"])):
+        put_file(f"{root}/raw", f"{k}.txt", part)
+        jobs.start_job1(spark, cfg).awaitTermination(300)
+    assert spark.read.option("recursiveFileLookup", "true").text(f"{base}/wide").count() == 11
+    assert spark.read.option("recursiveFileLookup", "true").text(f"{base}/dirty").count() == 1
+
+    cfg = _job2_cfg(root, name=f"job2-{name}")
+    watch = lambda user, at: [_event(user, "alpha", at + 4 * k) for k in range(5)]
+    put_file(f"{root}/topic", "a.json", watch("u1", 0) + [_event("u1", "other", 500)])
+    jobs.start_job2(spark, cfg).awaitTermination(300)
+    put_file(f"{root}/topic", "b.json", watch("u2", 520) + [_event("u2", "other", 900)])
+    jobs.start_job2(spark, cfg).awaitTermination(300)
+    got = sorted(json.loads(r.value)["userCode"] for r in spark.read.json(f"{base}/result").collect()
+                 if json.loads(r.value)["videoId"] == "alpha")
+    assert got == ["u1", "u2"]
+
+
+def test_new_task_is_seen_after_a_refresh(spark):
+    """A task added while the job runs counts from the next start of its query."""
+    base = shared_dir(spark, "t_refresh")
+    root = local(base)
+    _, _, rule, task = golden.dims(spark)
+    rule.write.parquet(f"{base}/dims/rule")
+    task.where("code = 'half'").write.parquet(f"{base}/dims/task")
+    cfg = _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1])
+    put_file(f"{root}/topic", "a.json", [_event("u1", "alpha", 4 * k) for k in range(5)] + [_event("u1", "z", 100)])
+    jobs.run_job2(spark, cfg)
+    assert spark.read.schema("value string").json(f"{base}/result").count() == 0
+    task.where("code = 'long'").write.mode("append").parquet(f"{base}/dims/task")
+    put_file(f"{root}/topic", "b.json", [_event("u2", "alpha", 120 + 4 * k) for k in range(5)] + [_event("u2", "z", 300)])
+    jobs.run_job2(spark, cfg)
+    rows = [json.loads(r.value) for r in spark.read.json(f"{base}/result").collect()]
+    assert [(r["userCode"], r["taskCode"], r["videoId"]) for r in rows] == [("u2", "long", "alpha")]
+
+
+def test_quarantine_sinks(spark):
+    """Main output and quarantine together hold every closed session and match."""
+    base = shared_dir(spark, "t_quarantine")
+    root = local(base)
+    _, _, rule, task = golden.dims(spark)
+    rule.write.parquet(f"{base}/dims/rule")
+    task.union(spark.createDataFrame([("bad", "basic", "not json")], task.schema)).write.parquet(f"{base}/dims/task")
+    rows = [_event("u1", "alpha", 0), _event("u1", "flat", 1, 0), _event("u1", "none", 2, None), _event("u1", "end", 500)]
+    put_file(f"{root}/topic", "a.json", rows)
+    sink = lambda k: {"format": "json", "path": f"{base}/{k}"}
+    q = jobs.start_job2(spark, _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1],
+                                         session_quarantine_sink=sink("sessions"), threshold_quarantine_sink=sink("matches")))
+    q.awaitTermination(300)
+    for other in spark.streams.active:
+        other.awaitTermination(300)
+    assert sorted(r.videoId for r in spark.read.json(f"{base}/sessions").collect()) == ["flat", "none"]
+    assert [(r.videoId, r.taskCode) for r in spark.read.json(f"{base}/matches").collect()] == [("alpha", "bad")]
+
+
+def test_unknown_print_labels(spark):
+    import pytest
+    from watchtally.streaming.flows import job1_batch_writer
+    with pytest.raises(ValueError):
+        job1_batch_writer(None, None, None, None, show=("everything",))
+
+
+def test_tail_prints_every_line_whole(tmpdir_run):
+    """50 long lines come out complete (a run of its own, to read what it prints)."""
+    import os
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    lines = [f"{k:02d} " + "x" * 300 for k in range(50)]
+    put_file(f"{tmpdir_run}/topic", "a.txt", lines)
+    with open(f"{tmpdir_run}/cfg.json", "w") as f:
+        json.dump({"source": {"format": "text", "path": f"{tmpdir_run}/topic"}, "trigger": {"availableNow": True},
+                   "checkpoint": f"{tmpdir_run}/ckpt"}, f)
+    run = subprocess.run([sys.executable, "-m", "watchtally.jobs", "tail", "--config", f"{tmpdir_run}/cfg.json", "--master", "local[2]"],
+                         cwd=ROOT, env=os.environ | {"WT_DRIVER_MEMORY": "1g"}, capture_output=True, text=True, timeout=240)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert sorted(x for x in (run.stdout + run.stderr).splitlines() if x[:2].isdigit() and x[3:4] == "x") == lines

@@ -15,7 +15,7 @@ from watchtally.plans.composites import Inputs
 from watchtally.session import shared_dir
 from watchtally.sources.dims import DimensionCache
 from watchtally.sources.logs import read_dwd, read_lines
-from watchtally.streaming.idle import idle_flush_sessions
+from watchtally.streaming.idle import _fold, idle_flush_sessions, run_until_idle
 from watchtally.streaming.flows import completion_stream, job1_batch_writer, session_stream
 from watchtally.streaming.runner import stream_stats
 
@@ -59,12 +59,12 @@ def test_golden_stream(spark):
     _, _, rule, task = golden.dims(spark)
     s = run(session_stream(src, 11_000), base + "/s")
     sess = sorted((r.videoId, r.logCount) for r in spark.read.parquet(f"{base}/s/out").collect())
-    assert sess == [("1001", 7), ("1002", 2), ("1003", 3)]      # row 13 still open
+    assert sess == [("alpha", 5), ("beta", 2), ("gamma", 2)]    # the last beta session is open
     assert stream_stats(s)["numRowsDroppedByWatermark"] == 0
     src = read_dwd(spark, "text", topic, options={"maxFilesPerTrigger": "1"}, stream=True)
     run(completion_stream(src, rule, task, 11_000), base + "/c")
     got = sorted((r.videoId, r.taskCode) for r in spark.read.parquet(f"{base}/c/out").collect())
-    assert got == [("1001", "T1"), ("1001", "T2")]             # 1002/T2 needs row 13 closed
+    assert got == [("alpha", "long")]                          # beta needs its last session
 
 
 def _fixture_slices(spark, n):
@@ -162,6 +162,39 @@ def test_idle_flush(spark):
     assert got == [(1, 30_000, "idle"), (2, 0, "gap")]
 
 
+def test_idle_flush_across_micro_batches(spark):
+    """A session that crosses micro-batches is one; rows after an idle close are late."""
+    base = shared_dir(spark, "t_idle2")
+    topic = local(base) + "/topic"
+    row = {"deviceId": "d", "userCode": "u", "eventCode": "002", "resourceId": "v",
+           "level": 1, "video_length": 1000}
+    for k, ts in enumerate((5000, 0, 10_000)):            # 5 s apart, out of order
+        put_file(topic, f"{k}.json", [json.dumps({**row, "ts": ts})])
+    src = read_dwd(spark, "text", topic, stream=True, options={"maxFilesPerTrigger": "1"})
+    out = run_until_idle(idle_flush_sessions(src, 11_000, 8000), spark, base, 8000)
+    assert [(r.n, r.t0, r.t1) for r in out.collect()] == [(3, 0, 10_000)]
+    put_file(topic, "late.json", [json.dumps({**row, "ts": 12_000}), json.dumps({**row, "ts": 40_000})])
+    out = run_until_idle(idle_flush_sessions(src, 11_000, 2000), spark, base, 2000)
+    assert sorted((r.n, r.t0) for r in out.collect()) == [(1, 40_000), (3, 0)]
+
+
+def test_sessions_fold_like_brute_force():
+    import random
+    rng = random.Random(1)
+    for _ in range(300):
+        ts = [rng.randrange(200) for _ in range(rng.randrange(1, 30))]
+        runs, starts = [], []
+        for t in ts:
+            _fold(runs, starts, [1, t, t, 1, 1], 7)
+        want = []
+        for t in sorted(ts):
+            if want and t - want[-1][2] <= 7:
+                want[-1] = [want[-1][0] + 1, want[-1][1], t]
+            else:
+                want.append([1, t, t])
+        assert [r[:3] for r in runs] == want
+
+
 def test_dimension_cache_ttl(spark):
     now = [0.0]
     calls = []
@@ -235,9 +268,9 @@ def test_completion_with_state_ttl(spark):
          .trigger(processingTime="1 second").start())
     try:
         deadline = time.time() + 120
-        while time.time() < deadline and spark.table("ttl_t").count() < 2:
+        while time.time() < deadline and spark.table("ttl_t").count() < 1:
             time.sleep(1)
     finally:
         q.stop()
     got = sorted((r.videoId, r.taskCode) for r in spark.table("ttl_t").collect())
-    assert got == [("1001", "T1"), ("1001", "T2")]
+    assert got == [("alpha", "long")]

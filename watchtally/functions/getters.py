@@ -19,16 +19,28 @@ def get_string(j, field: str) -> Column:
     return F.try_variant_get(_v(j), f"$.{field}", "string")
 
 
+def lenient_long(value: Column, text: Column) -> Column:
+    """A long from a VARIANT's ``bigint`` read and its text: no value for absent,
+    ``""`` and ``"null"``; decimal text is truncated; null when unusable."""
+    blank = text.isNull() | F.lower(text).isin("", "null")
+    cut = F.when(text.contains("."), text.try_cast("double").try_cast("bigint"))
+    return F.when(~blank, F.coalesce(value, cut))
+
+
 def get_long(j, field: str) -> Column:
-    return F.try_variant_get(_v(j), f"$.{field}", "bigint")
+    return lenient_long(F.try_variant_get(_v(j), f"$.{field}", "bigint"), get_string(j, field))
 
 
 def get_long_value(j, field: str) -> Column:
     return F.coalesce(get_long(j, field), F.lit(0).cast("bigint"))
 
 
+def get_int(j, field: str) -> Column:
+    return get_long(j, field).try_cast("int")
+
+
 def get_int_value(j, field: str) -> Column:
-    return F.coalesce(F.try_variant_get(_v(j), f"$.{field}", "int"), F.lit(0))
+    return F.coalesce(get_int(j, field), F.lit(0))
 
 
 def get_double_value(j, field: str) -> Column:

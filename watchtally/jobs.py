@@ -7,7 +7,8 @@
 A config names every source and sink by ``format`` + ``options`` (+ ``path``),
 so the same job runs on Kafka/JDBC on a cluster and on files in tests; no
 endpoint or credential is built in. Checkpoints default to a folder under
-``spark.checkpoint.dir``.
+``spark.checkpoint.dir`` that depends on the job's name alone, so a restarted job
+continues where it stopped.
 
 job1:   raw log lines -> dirty lines sink + enriched video topic (dwd_video_info)
 job2:   dwd topic -> sessions -> rules -> emit-once completion results (JSON)
@@ -24,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from watchtally.operators.sessions import REFERENCE_GAP_MS
 from watchtally.operators.rules import rule_match
-from watchtally.operators.sinks import replay_lines, result_json, write_stream
-from watchtally.session import apply_defaults, build_spark, shared_dir
+from watchtally.operators.sinks import replay_lines, result_json, to_json_value, write_stream
+from watchtally.session import apply_defaults, build_spark, job_folder
 from watchtally.sources.dims import DEFAULT_TTL_SECONDS, DimensionCache, read_dim
 from watchtally.sources.logs import read_dwd, read_lines
-from watchtally.streaming.flows import completion_stream, job1_batch_writer, session_stream
-from watchtally.streaming.state import tail_topic
+from watchtally.streaming.flows import (
+    completion_stream, job1_batch_writer, quarantine_streams, session_stream,
+)
+from watchtally.streaming.state import print_stream, tail_topic
 
 
 def _dim(spark: SparkSession, name: str, spec: dict) -> DataFrame:
@@ -52,6 +55,11 @@ def epoch_writer(spec: dict):
     return write
 
 
+def _checkpoint(spark: SparkSession, cfg: dict, job: str) -> str:
+    """The same folder at every start of a named job, so that it continues."""
+    return cfg.get("checkpoint") or job_folder(spark, cfg.get("name", job)) + "/checkpoint"
+
+
 def _trigger(cfg: dict) -> dict:
     return cfg.get("trigger", {"processingTime": "10 seconds"})
 
@@ -66,7 +74,7 @@ def start_job1(spark: SparkSession, cfg: dict):
     video = DimensionCache(lambda: _dim(spark, "video_info", cfg["video_info"]), ttl)
     body = job1_batch_writer(doctor, video, epoch_writer(cfg["wide_sink"]),
                              epoch_writer(cfg["dirty_sink"]), show=tuple(cfg.get("print", ())))
-    ckpt = cfg.get("checkpoint") or shared_dir(spark, "job1") + "/checkpoint"
+    ckpt = _checkpoint(spark, cfg, "job1")
     return (lines.writeStream.foreachBatch(body).option("checkpointLocation", ckpt)
                  .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job1")).start())
 
@@ -83,15 +91,26 @@ def start_job2(spark: SparkSession, cfg: dict):
     done = completion_stream(dwd, rule, task, gap, delay, cfg.get("measure", "video_length"),
                              cfg.get("state_ttl_ms"))
     sink = cfg["result_sink"]
-    ckpt = cfg.get("checkpoint") or shared_dir(spark, "job2") + "/checkpoint"
-    # Labelled console copies of intermediate stages, each its own query
+    ckpt = _checkpoint(spark, cfg, "job2")
+    # Stages printed under their label, each its own query, every row whole
     stages = {"sessions": lambda: session_stream(dwd, gap, delay),
-              "rule_match": lambda: rule_match(session_stream(dwd, gap, delay), rule, task)}
+              "rule_match": lambda: rule_match(session_stream(dwd, gap, delay), rule, task),
+              "result": lambda: result_json(done)}
+    unknown = set(cfg.get("print", ())) - set(stages)
+    if unknown:
+        raise ValueError(f"unknown print labels: {sorted(unknown)}")
+    name = cfg.get("name", "job2")
     for label in cfg.get("print", ()):
-        if label in stages:
-            write_stream(stages[label](), "console", f"{ckpt}-print-{label}",
-                         options={"truncate": "false"}, trigger=_trigger(cfg),
-                         query_name=f"{label}>>>>")
+        print_stream(stages[label](), f"{ckpt}-print-{label}", f"{name} {label}", _trigger(cfg))
+    # Q5, Q10: what the result leaves out
+    aside = [k for k in ("session_quarantine", "threshold_quarantine") if f"{k}_sink" in cfg]
+    if aside:
+        streams = quarantine_streams(dwd, rule, task, gap, delay)
+        for k in aside:
+            own = cfg[f"{k}_sink"]
+            rows = streams[k] if own["format"] != "text" else to_json_value(streams[k])
+            write_stream(rows, own["format"], f"{ckpt}-{k}", own.get("path"), own.get("options"),
+                         trigger=_trigger(cfg), query_name=f"{name} {k}")
     w = (result_json(done).writeStream.format(sink["format"]).outputMode("append")
          .options(**sink.get("options", {})).option("checkpointLocation", ckpt)
          .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job2")))
@@ -103,8 +122,29 @@ def start_tail(spark: SparkSession, cfg: dict):
     opts = dict(src.get("options", {}))
     if src.get("path"):
         opts["path"] = src["path"]
-    ckpt = cfg.get("checkpoint") or shared_dir(spark, "tail") + "/checkpoint"
-    return tail_topic(spark, src["format"], opts, ckpt, cfg.get("sink", "console"))
+    return tail_topic(spark, src["format"], opts, _checkpoint(spark, cfg, "tail"),
+                      cfg.get("sink", "print"), trigger=cfg.get("trigger"), path=cfg.get("path"))
+
+
+def run_job2(spark: SparkSession, cfg: dict) -> None:
+    """Job 2 with its rules and tasks no staler than ``dim_ttl_seconds``.
+
+    A stream's static sides are fixed when it starts, so the query is stopped between
+    triggers and started again from its checkpoint, which re-reads them and checks
+    their sizes anew; offsets, sessions and completion state go on.
+    """
+    ttl = cfg.get("dim_ttl_seconds", DEFAULT_TTL_SECONDS)
+    while True:
+        q = start_job2(spark, cfg)
+        try:
+            if q.awaitTermination(ttl):
+                return
+            while q.isActive and q.status.get("isTriggerActive"):
+                q.awaitTermination(1)
+        finally:
+            for own in spark.streams.active:
+                if (own.name or "").split(" ")[0] == cfg.get("name", "job2"):
+                    own.stop()
 
 
 class _Done:
@@ -134,7 +174,10 @@ def main(argv=None) -> None:
         cfg = json.load(f)
     spark = build_spark(a.master) if a.master else SparkSession.builder.getOrCreate()
     apply_defaults(spark)
-    JOBS[a.job](spark, cfg).awaitTermination()
+    if a.job == "job2" and "availableNow" not in cfg.get("trigger", {}):
+        run_job2(spark, cfg)
+    else:
+        JOBS[a.job](spark, cfg).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -21,12 +21,12 @@ _checked: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictiona
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else a sort-merge join.
 
-    The count reads at most ``max_rows + 1`` rows of the dimension side, once
-    per DataFrame object. Above the bound the side carries a ``merge`` hint, so
+    The size is a parallel ``count()`` (each task sends one number), once per
+    DataFrame object. Above the bound the side carries a ``merge`` hint, so
     Spark never broadcasts it from an estimate (file sizes understate in-memory
     size); the shuffle join then gets AQE's skew-partition splitting.
     """
     seen = _checked.setdefault(df, {})
     if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        seen[max_rows] = df.count() <= max_rows
     return F.broadcast(df) if seen[max_rows] else df.hint("merge")

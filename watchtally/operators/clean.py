@@ -4,13 +4,14 @@ One ``try_parse_json`` per line; every field is then a cheap path lookup on
 the VARIANT value. The JSON is never re-parsed, and no Python runs per row.
 
 A line is *dirty* (kept verbatim in the dirty branch) when
-* it is not JSON at all, or
+* it is not exactly one JSON value (not JSON, two objects on one line, text
+  after the closing brace), or
 * it has no ``Item`` object (a missing, null, array or scalar ``Item``,
   or a top-level value that is not an object), or
 * ``ts`` is present but cannot be read as a long (``"abc"``, ``{}``).
 ``Item: {}`` is clean with a null ``resourceId``; a missing ``ts`` (or the
 text ``""`` / ``"null"``) is clean with a null ``ts``; ``"12"`` reads as 12
-and ``5.9`` / ``"5.9"`` as 5. A null payload is neither clean nor dirty (dropped at the
+and ``5.9`` / ``"5.9"`` as 5; of a repeated key the last value counts. A null payload is neither clean nor dirty (dropped at the
 source).
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from watchtally.functions.getters import lenient_long
 from watchtally.functions.scalar import event_type
 
 # the fields a line is read for; everything else in the object is ignored
@@ -29,7 +31,8 @@ _LINE_TYPE = ("struct<deviceId:string,userCode:string,event:string,ts:string,"
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw lines -> parsed columns plus ``is_dirty``; keeps ``value``.
 
-    Two lookups on the parsed VARIANT: one cast of the whole object to the
+    The line is parsed inside ``[...]``: a line with more than one value, or with
+    text after it, is no array of one element. Lookups on the parsed VARIANT: one cast of the whole object to the
     line's struct (text fields read leniently, numbers as their text; null when
     the line is not an object or ``Item`` is not an object) and one lenient
     ``bigint`` read of ``ts``.
@@ -42,16 +45,16 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     v = F.col(value_col)
     carry = [c for c in raw.columns if c != value_col]
     parsed = raw.where(v.isNotNull()).select(
-        v.alias("value"), F.try_parse_json(v).alias("_j"), *carry)
-    rec = F.try_variant_get(F.col("_j"), "$", _LINE_TYPE)
-    ts = F.try_variant_get(F.col("_j"), "$.ts", "bigint")
-    parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts0"))
+        v.alias("value"), F.try_parse_json(F.concat(F.lit("["), v, F.lit("]"))).alias("_j"),
+        *carry)
+    rec = F.try_variant_get(F.col("_j"), "$[0]", _LINE_TYPE)
+    ts = F.try_variant_get(F.col("_j"), "$[0].ts", "bigint")
+    more = F.try_variant_get(F.col("_j"), "$[1]", "variant").isNotNull()
+    parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts0"), more.alias("_more"))
     r, item = F.col("_r"), F.col("_r.Item")
-    # lenient long: text "" / "null" is no value; decimal text is truncated
     ts_text = r.getField("ts")
     no_ts = ts_text.isNull() | F.lower(ts_text).isin("", "null")
-    ts_dec = F.when(ts_text.contains("."), ts_text.try_cast("double").try_cast("bigint"))
-    parsed = parsed.select("*", F.when(~no_ts, F.coalesce(F.col("_ts0"), ts_dec)).alias("_ts"),
+    parsed = parsed.select("*", lenient_long(F.col("_ts0"), ts_text).alias("_ts"),
                            no_ts.alias("_no_ts"))
     fields = F.struct(
         F.col("value"), *[F.col(c) for c in carry],
@@ -61,7 +64,7 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
         event_type(r.getField("event")).alias("eventType"),
         F.col("_ts").alias("ts"),
         item.getField("resource_id").alias("resourceId"),
-        (item.isNull() | (~F.col("_no_ts") & F.col("_ts").isNull())).alias("is_dirty"),
+        (item.isNull() | F.col("_more") | (~F.col("_no_ts") & F.col("_ts").isNull())).alias("is_dirty"),
     )
     return parsed.select(F.inline(F.array(fields)))
 

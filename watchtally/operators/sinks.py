@@ -28,14 +28,14 @@ def result_json(completed: DataFrame) -> DataFrame:
 def upsert_latest(df: DataFrame, key_cols: list[str], order_col: str) -> DataFrame:
     """Latest row per key as (key JSON, value JSON).
 
-    ``max_by`` is an ordinary aggregate with map-side partial aggregation, so
-    a hot key is reduced before the shuffle (no per-key row buffering).
+    One ``max_by`` per column is an ordinary aggregate with map-side partial
+    aggregation, so a hot key is reduced before the shuffle. ``order_col`` must be
+    unique within a key (a session's start is).
     """
-    latest = F.max_by(F.struct(*df.columns), F.col(order_col))
-    g = df.groupBy(*key_cols).agg(latest.alias("_row"))
-    return g.select(F.to_json(F.struct(*[F.col(f"_row.{k}").alias(k) for k in key_cols]))
-                    .alias("key"),
-                    F.to_json(F.col("_row")).alias("value"))
+    rest = [c for c in df.columns if c not in key_cols]
+    g = df.groupBy(*key_cols).agg(*[F.max_by(c, order_col).alias(c) for c in rest])
+    return g.select(F.to_json(F.struct(*key_cols)).alias("key"),
+                    F.to_json(F.struct(*df.columns)).alias("value"))
 
 
 def upsert_batch_writer(key_cols: list[str], order_col: str, write):

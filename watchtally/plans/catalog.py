@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from watchtally import functions as wf
 from watchtally.operators import completion, enrich, rules, sessions, sinks
 from watchtally.plans import composites as P
+from watchtally.plans import sql
 from watchtally.plans.composites import Inputs
 from watchtally.session import apply_defaults, shared_dir
 from watchtally.sources import fixtures
-from watchtally.sources.dims import DIMENSIONS
-from watchtally.sources.logs import read_dwd, read_lines
+from watchtally.sources.dims import read_dim
+from watchtally.sources.logs import drop_null_lines, read_dwd, read_lines
 from watchtally.streaming.flows import completion_stream, session_stream
-from watchtally.streaming.runner import run_available_now, state_partitions, write_json_lines
+from watchtally.streaming.runner import (
+    run_available_now, state_partitions, write_json_lines, write_time_slices,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -44,6 +47,12 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+# micro-batches that a replayed topic is met in
+SLICES = 3
+# longer than the time between two micro-batches, so that no session is cut between them
+IDLE_DELAY_MS = 15_000
+
+
 def _inputs(spark, d) -> Inputs:
     return Inputs.from_fixtures(spark, d)
 
@@ -52,18 +61,34 @@ def _inputs(spark, d) -> Inputs:
 
 @query("raw_log_not_null")
 def raw_log_not_null(spark, d):
-    """Raw lines published to a topic that can hold null payloads (parquet in
-    the shared folder), read back by the line source, which drops the nulls."""
-    topic = shared_dir(spark, "raw_log") + "/topic"
-    sinks.write_batch(fixtures.raw_log(spark, d), "parquet", topic, mode="overwrite")
-    return read_lines(spark, "parquet", topic, keep=("event_id",))
+    """What the line source keeps of raw lines with null payloads."""
+    return drop_null_lines(fixtures.raw_log(spark, d), keep=("event_id",))
+
+
+@query("replay_topic")
+def replay_topic(spark, d):
+    """Raw lines in a file, replayed to a topic (files) as one job, read back."""
+    base = shared_dir(spark, "replay")
+    lines = drop_null_lines(fixtures.raw_log(spark, d))
+    sinks.write_batch(lines, "text", f"{base}/lines", mode="overwrite")
+    sinks.replay_lines(spark, f"{base}/lines", "text", f"{base}/topic")
+    return read_lines(spark, "text", f"{base}/topic")
+
+
+@query("string_sink")
+def string_sink(spark, d):
+    """Result lines written as plain strings, read back."""
+    topic = shared_dir(spark, "string_sink") + "/topic"
+    sinks.write_batch(sinks.result_json(P.completion_once(_inputs(spark, d))), "text", topic)
+    return read_lines(spark, "text", topic)
 
 
 def _dim(name):
     def q(spark, d):
-        df = fixtures.dims(spark, d)[name]
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in DIMENSIONS[name].fields])
-    q.__doc__ = f"S4: dimension {name} with its declared schema."
+        path = shared_dir(spark, name) + "/table"
+        fixtures.dims(spark, d)[name].write.parquet(path)
+        return read_dim(spark, name, "parquet", path)
+    q.__doc__ = f"S4: dimension {name} stored and read with its declared schema."
     return q
 
 
@@ -89,10 +114,50 @@ def upsert_latest(spark, d):
     return sinks.upsert_latest(s, ["userCode", "videoId"], "s0")
 
 
+@query("stored_flags")
+def stored_flags(spark, d):
+    """completion flags kept as text (a JSON state store) and read back."""
+    state = completion.completion_state(P.rule_match(_inputs(spark, d), by_key=True))
+    path = shared_dir(spark, "stored_flags") + "/state"
+    key = ["userCode", "videoId", "taskCode"]
+    text = F.struct(*key, F.col("complete").cast("string").alias("complete"))
+    sinks.write_batch(state.select(F.to_json(text).alias("value")), "text", path)
+    fields = [F.get_json_object("value", f"$.{k}").alias(k) for k in (*key, "complete")]
+    back = read_lines(spark, "text", path).select(*fields)
+    return back.select(*key, F.col("complete").alias("flagText"),
+                       wf.parse_bool("complete").alias("complete"))
+
+
+@query("session_quarantine")
+def session_quarantine(spark, d):
+    """Q5: sessions whose video length is unusable."""
+    s = P.session_quarantine(_inputs(spark, d))
+    return s.select("userCode", "level", "videoId", "logCount", "videoLength", "s0")
+
+
+@query("threshold_quarantine")
+def threshold_quarantine(spark, d):
+    """Q10: matches whose thresholds are unusable."""
+    m = completion.threshold_quarantine(P.rule_match(_inputs(spark, d)))
+    return m.select("userCode", "videoId", "taskCode", "s0", "ruleLength", "rulePercent")
+
+
+@query("dwd_video_wide_sql")
+def dwd_video_wide_sql(spark, d):
+    """Job 1's enrichment as Spark SQL over named views."""
+    return sql.enriched_by_sql(spark, _inputs(spark, d))
+
+
+@query("rule_match_sql")
+def rule_match_sql(spark, d):
+    """Job 2's rule match as Spark SQL over named views."""
+    return sql.matched_by_sql(spark, _inputs(spark, d))
+
+
 @query("completion_state")
 def completion_state(spark, d):
     """Stored state of every (user, video, task) key."""
-    return completion.completion_state(P.rule_match(_inputs(spark, d)))
+    return completion.completion_state(P.rule_match(_inputs(spark, d), by_key=True))
 
 
 # --- 2.2 projections, filters, conversions --------------------------------------
@@ -144,6 +209,9 @@ def result_json(spark, d):
 def typed_getters(spark, d):
     """Typed getters over the JSON topic records (missing -> null / 0)."""
     wide = P.dwd_video_wide(_inputs(spark, d), carry=False)
+    # numbers sent as text, decimal too, read like numbers
+    wide = wide.withColumns({"tsText": F.concat(F.col("ts").cast("string"), F.lit(".9")),
+                             "lengthText": F.col("video_length").cast("string")})
     v = sinks.to_json_value(wide).select(F.try_parse_json("value").alias("j"))
     return v.select(
         wf.get_string("j", "userCode").alias("userCode"),
@@ -153,6 +221,8 @@ def typed_getters(spark, d):
         wf.get_long("j", "missing").alias("missing_long"),
         wf.get_long_value("j", "missing").alias("missing_long_value"),
         wf.get_double_value("j", "video_length").alias("length_double"),
+        wf.get_long("j", "tsText").alias("text_long"),
+        wf.get_int_value("j", "lengthText").alias("text_int"),
     )
 
 
@@ -255,7 +325,7 @@ def session_first_value(spark, d):
 @query("running_progress")
 def running_progress(spark, d):
     """Running totals per key up to its completion."""
-    return completion.running_progress(P.rule_match(_inputs(spark, d)))
+    return completion.running_progress(P.rule_match(_inputs(spark, d), by_key=True))
 
 
 @query("completion_once")
@@ -267,7 +337,7 @@ def completion_once(spark, d):
 @query("completion_first")
 def completion_first(spark, d):
     """Keys complete on their first session."""
-    return completion.completion_first(P.rule_match(_inputs(spark, d)))
+    return completion.completion_first(P.rule_match(_inputs(spark, d), by_key=True))
 
 
 @query("event_time")
@@ -290,7 +360,7 @@ def json_thresholds(spark, d):
 @query("state_key")
 def state_key(spark, d):
     """the text key of every (user, video, task) state."""
-    st = completion.completion_state(P.rule_match(_inputs(spark, d)))
+    st = completion.completion_state(P.rule_match(_inputs(spark, d), by_key=True))
     return st.select("userCode", "videoId", "taskCode",
                      wf.state_key("userCode", "videoId", "taskCode").alias("stateKey"))
 
@@ -331,8 +401,14 @@ def ts_from_date(spark, d):
 def _dwd_stream(spark, i: Inputs, name: str):
     """Publish the enriched rows as a JSON topic replay and read it as a stream."""
     path = shared_dir(spark, name) + "/topic"
-    write_json_lines(P.dwd_video_wide(i, carry=False), path, order_col="ts")
-    return read_dwd(spark, "text", path, stream=True)
+    write_time_slices(P.dwd_video_wide(i, carry=False), path, SLICES)
+    return _read_slices(spark, path)
+
+
+def _read_slices(spark, path: str):
+    """One file, and so one time slice, per micro-batch."""
+    return read_dwd(spark, "text", path, stream=True,
+                    options={"recursiveFileLookup": "true", "maxFilesPerTrigger": "1"})
 
 
 @query("stream_sessions")
@@ -387,50 +463,21 @@ def idle_flush(spark, d):
     """Sessions closed by the gap or, for the last one of each key, by a
     wall-clock idle timer (no later event ever arrives).
 
-    Every session is emitted exactly once; which of the two closed it depends
-    on timing, so the output leaves that out. The run stops once the sink holds
-    as many sessions as the batch form finds (a Spark count) or fails after a
-    timeout; it never returns partial output.
+    The topic arrives in several micro-batches, with sessions that cross them.
+    Every session is emitted exactly once; which of the two closed it depends on
+    timing, so the output leaves that out. The run ends once a trigger has run
+    later than the idle delay after the last input, when every timer is due.
     """
-    import time
-    from watchtally.streaming.idle import idle_flush_sessions
+    from watchtally.streaming.idle import idle_flush_sessions, run_until_idle
     i = _inputs(spark, d)
-    wide = P.dwd_video_wide(i, carry=False)
-    expected = sessions.raw_sessions(wide, i.gap_ms, first_cols=()).count()
     base = shared_dir(spark, "idle_flush")
-    write_json_lines(wide, f"{base}/topic", order_col="ts")
-    src = read_dwd(spark, "text", f"{base}/topic", stream=True)
-    out = idle_flush_sessions(src, i.gap_ms, delay_ms=1000).select(
+    write_time_slices(P.dwd_video_wide(i, carry=False), f"{base}/topic", SLICES)
+    out = idle_flush_sessions(_read_slices(spark, f"{base}/topic"), i.gap_ms,
+                              delay_ms=IDLE_DELAY_MS).select(
         "userCode", F.col("resourceId").alias("videoId"), F.col("n").alias("logCount"),
         F.col("t0").alias("s0"), (F.col("t1") + F.lit(i.gap_ms)).alias("s1"),
         "level", F.col("video_length").alias("videoLength"))
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions(spark) or before))
-    try:
-        q = (out.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out")
-             .trigger(processingTime="1 second").start())
-    finally:
-        spark.conf.set(key, before)
-    try:
-        deadline = time.time() + 600
-        while True:
-            if q.exception():
-                raise q.exception()
-            done = q.lastProgress is not None and spark.read.schema(out.schema) \
-                .parquet(f"{base}/out").count() >= expected
-            if done:
-                break
-            if time.time() > deadline:
-                raise TimeoutError("idle_flush did not emit every session in time")
-            time.sleep(1)
-        idle_by = time.time() + 5           # prefer stopping between triggers
-        while q.status.get("isTriggerActive") and time.time() < idle_by:
-            time.sleep(0.1)
-    finally:
-        q.stop()
-    return spark.read.schema(out.schema).parquet(f"{base}/out")
+    return run_until_idle(out, spark, base, IDLE_DELAY_MS, state_partitions(spark))
 
 
 @query("stream_dwd_video_wide")
@@ -453,8 +500,7 @@ def stream_dwd_video_wide(spark, d):
     q = (src.writeStream.foreachBatch(body).option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True).start())
     try:
-        if not q.awaitTermination(600):
-            raise TimeoutError("stream_dwd_video_wide did not finish in time")
+        q.awaitTermination()
         if q.exception():
             raise q.exception()
     finally:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from watchtally.operators import clean, completion, enrich, rules, sessions
+from watchtally.operators.broadcast import bounded_broadcast
 from watchtally.sources import fixtures
 
 
@@ -51,8 +52,27 @@ def dwd_video_wide(i: Inputs, carry: bool = True) -> DataFrame:
     return enrich.dwd_video_wide(clean_log(i), i.doctor, i.video, keep=keep)
 
 
+def _late(raw: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str) -> DataFrame:
+    """Join a dimension to sessions as if it had been joined to their events."""
+    one = bounded_broadcast(dim.groupBy(dim_key).agg(F.min(value).alias(value),
+                                                     F.count(F.lit(1)).alias("_times")))
+    return (raw.join(one, raw[key] == one[dim_key], "inner")
+               .withColumn("n", F.col("n") * F.col("_times")).drop(dim_key, "_times"))
+
+
 def session_metrics(i: Inputs, bucket_ms: int | None = None,
                     late_join: bool = True) -> DataFrame:
+    """Sessions with a usable video length (see :func:`all_sessions`)."""
+    return all_sessions(i, bucket_ms, late_join).where(F.col("videoLength") > 0)
+
+
+def session_quarantine(i: Inputs) -> DataFrame:
+    """Sessions whose video length is missing or not positive."""
+    length = F.col("videoLength")
+    return all_sessions(i).where(length.isNull() | (length <= 0))
+
+
+def all_sessions(i: Inputs, bucket_ms: int | None = None, late_join: bool = True) -> DataFrame:
     """Jobs 1+2 in batch: sessions per (user, video) with watch metrics.
 
     ``late_join`` (default) sessionizes the clean video events first and joins
@@ -60,27 +80,33 @@ def session_metrics(i: Inputs, bucket_ms: int | None = None,
     join above an aggregation by itself; doing it here means the possibly
     large user dimension is joined to sessions, not to every event, which
     removes an event-level shuffle when that dimension is too large to
-    broadcast. It gives the same rows as the event-level order because both
-    dimensions have one row per key (their declared primary keys) and the
-    session key contains both join keys: a session's events share one level
-    and one video length, and unknown users or videos drop whole sessions.
+    broadcast. It gives the same rows as the event-level order because the
+    session key contains both join keys: a session's events share one user and
+    one video, and unknown ones drop whole sessions. Keys are declared unique but
+    not enforced, so each dimension is reduced to one row per key with its
+    multiplicity, by which an event-level join would repeat every event.
     """
     if not late_join:
-        return sessions.session_metrics(dwd_video_wide(i, carry=False), i.gap_ms,
-                                        bucket_ms=bucket_ms)
+        raw = sessions.raw_sessions(dwd_video_wide(i, carry=False), i.gap_ms, bucket_ms)
+        return sessions.session_rows(raw, i.gap_ms)
     video_events = enrich.filter_video(clean_log(i)).select("userCode", "resourceId", "ts")
     raw = sessions.raw_sessions(video_events, i.gap_ms, bucket_ms, first_cols=())
-    raw = enrich.lookup_video(enrich.lookup_doctor(raw, i.doctor), i.video)
+    raw = _late(_late(raw, i.doctor, "userCode", "user_id", "level"),
+                i.video, "resourceId", "video_id", "video_length")
     raw = raw.select(*[F.coalesce(c, F.lit(0)).alias(c) if c in sessions.FIRST_COLS
                        else F.col(c) for c in raw.columns])    # P13 as in job 2's input
-    return (sessions.session_rows(raw, i.gap_ms)
-            .where(F.col("videoLength") > 0))
+    return sessions.session_rows(raw, i.gap_ms)
 
 
-def rule_match(i: Inputs) -> DataFrame:
-    return rules.rule_match(session_metrics(i), i.rule, i.task)
+def rule_match(i: Inputs, by_key: bool = False) -> DataFrame:
+    """``by_key`` deals the sessions by (user, video) before the rule join, so that
+    windows per (user, video, task) need no shuffle of the joined rows."""
+    s = session_metrics(i)
+    if by_key:
+        s = s.repartition("userCode", "videoId")
+    return rules.rule_match(s, i.rule, i.task)
 
 
 def completion_once(i: Inputs, measure: str = "video_length") -> DataFrame:
     """Flagship: each completed (user, video, task) exactly once."""
-    return completion.completion_once(rule_match(i), measure)
+    return completion.completion_once(rule_match(i, by_key=True), measure)

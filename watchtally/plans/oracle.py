@@ -21,37 +21,54 @@ WITH log AS (
          CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'video' ELSE 'other' END
            AS eventType,
          epoch_us(ts) // 1000 AS ts,
-         cast(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS VARCHAR)
-           AS resourceId,
+         cast(user_id * 14 + TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 10
+              AS VARCHAR) AS resourceId,
          event_id
   FROM events),
 rawlog AS (
   SELECT event_id,
-         CASE WHEN event_id % 50 = 0 THEN '{{"deviceId'
-              WHEN event_id % 50 = 1 THEN '{{}}'
-              WHEN event_id % 50 = 2 THEN NULL
-              ELSE concat('{{"deviceId":"', deviceId, '","userCode":"', userCode,
-                          '","event":"', eventCode, '","ts":', ts,
-                          ',"Item":{{"resource_id":"', resourceId, '"}}}}') END AS value
-  FROM log),
-clean AS (SELECT * FROM log WHERE event_id % 50 NOT IN (0, 1, 2)),
+         CASE event_id % 50
+              WHEN 0 THEN '{{"deviceId'
+              WHEN 1 THEN '{{}}'
+              WHEN 2 THEN NULL
+              WHEN 3 THEN concat(js, js)
+              WHEN 4 THEN concat(js, ' and more')
+              WHEN 5 THEN concat('{{"ts":1,"userCode":"nobody",', substring(js, 2))
+              WHEN 6 THEN concat(head, event, '"ts":"', ts, '"', tail)
+              WHEN 7 THEN concat(head, event, '"ts":"abc"', tail)
+              WHEN 8 THEN concat(head, event, '"ts":', ts, ',"Item":[]}}')
+              WHEN 9 THEN concat(head, '"ts":', ts, tail)
+              WHEN 10 THEN concat(head, event, '"ts":', ts, ',"Item":{{}}}}')
+              WHEN 11 THEN concat(head, event, '"ts":"', ts, '.9"', tail)
+              ELSE js END AS value
+  FROM (SELECT *, concat(head, event, '"ts":', ts, tail) AS js FROM (
+          SELECT *, concat('{{"deviceId":"', deviceId, '","userCode":"', userCode, '",') AS head,
+                 concat('"event":"', eventCode, '",') AS event,
+                 concat(',"Item":{{"resource_id":"', resourceId, '"}}}}') AS tail FROM log))),
+clean AS (
+  SELECT deviceId, userCode, CASE WHEN event_id % 50 = 9 THEN NULL ELSE eventCode END AS eventCode,
+         CASE WHEN event_id % 50 = 9 THEN 'other' ELSE eventType END AS eventType, ts,
+         CASE WHEN event_id % 50 = 10 THEN NULL ELSE resourceId END AS resourceId, event_id
+  FROM log WHERE event_id % 50 NOT IN (0, 1, 2, 3, 4, 7, 8)),
 doctor AS (
-  SELECT cast(c_custkey AS VARCHAR) AS user_id, cast(c_nationkey % 5 AS INTEGER) AS level
-  FROM customer WHERE c_acctbal >= 0),
+  SELECT CASE WHEN c_acctbal >= 0 THEN cast(c_custkey AS VARCHAR)
+              ELSE concat('debt-', c_custkey) END AS user_id,
+         cast(c_nationkey % 20 AS INTEGER) AS level FROM customer),
 video AS (
-  SELECT cast(p_partkey AS VARCHAR) AS video_id, cast(p_size * 1000 AS INTEGER) AS video_length
-  FROM part WHERE p_partkey < 8),
+  SELECT cast(p_partkey AS VARCHAR) AS video_id,
+         cast(CASE WHEN p_size = 25 THEN 0 WHEN p_size < 50 THEN p_size * 1000 END AS INTEGER)
+           AS video_length
+  FROM part),
 rule AS (
-  SELECT concat('R', n_regionkey) AS rule_code,
-         cast((n_nationkey + CASE WHEN n_nationkey >= 5 THEN 1 ELSE 0 END) % 5 AS INTEGER)
-           AS doctor_level
-  FROM nation WHERE n_nationkey < 10),
+  SELECT concat('R', n_nationkey) AS rule_code, cast(n_nationkey % 20 AS INTEGER) AS doctor_level
+  FROM nation),
 task AS (
-  SELECT concat('T', s_suppkey) AS code, concat('R', s_suppkey % 5) AS rule_code,
-         concat('{{"watchVideoLengthOfTime":', (s_suppkey + 1) * 9000,
-                ',"watchVideoWatchLengthOfTimePercentage":',
-                cast(0.05 * (s_suppkey + 1) AS DECIMAL(4, 2)), '}}') AS task_detail
-  FROM supplier WHERE s_suppkey < 10),
+  SELECT concat('T', s_suppkey) AS code, concat('R', s_nationkey) AS rule_code,
+         concat('{{', CASE WHEN s_suppkey % 10 < 9 THEN
+                  concat('"watchVideoLengthOfTime":', (s_suppkey % 10 + 1) * 9000, ',') END,
+                '"watchVideoWatchLengthOfTimePercentage":',
+                cast(0.05 * (s_suppkey % 10 + 1) AS DECIMAL(4, 2)), '}}') AS task_detail
+  FROM supplier),
 thresholds AS (
   SELECT code AS taskCode, rule_code,
          TRY_CAST(json_extract_string(task_detail, '$.watchVideoLengthOfTime') AS INTEGER)
@@ -70,7 +87,8 @@ wide AS (
   FROM leveled l JOIN video v ON l.resourceId = v.video_id
   WHERE l.eventType = 'video'),
 ev AS (
-  SELECT userCode, resourceId, coalesce(ts, 0) AS ts, level, video_length, event_id FROM wide),
+  SELECT userCode, resourceId, coalesce(ts, 0) AS ts, coalesce(level, 0) AS level,
+         coalesce(video_length, 0) AS video_length, event_id FROM wide),
 flagged AS (
   SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > {GAP} THEN 1 ELSE 0 END
               AS brk
@@ -171,7 +189,7 @@ BODIES = {
     "completion_state": """SELECT userCode, videoId, taskCode, complete, videoLength,
                                   videoPercent, ruleLength, rulePercent FROM state""",
     "clean_log": f"SELECT {LOG_COLS} FROM clean",
-    "dirty_log": "SELECT value, event_id FROM rawlog WHERE event_id % 50 IN (0, 1)",
+    "dirty_log": "SELECT value, event_id FROM rawlog WHERE event_id % 50 IN (0, 1, 3, 4, 7, 8)",
     "classify_event": "SELECT event_id, eventCode, eventType FROM clean",
     "nested_resource": "SELECT event_id, resourceId FROM clean",
     "proctime_column": "SELECT event_id, true AS has_pt FROM clean",
@@ -180,9 +198,11 @@ BODIES = {
         SELECT concat('{"userCode":"', userCode, '","taskCode":"', taskCode,
                       '","eventType":"video","videoId":"', videoId, '"}') AS value FROM done""",
     "typed_getters": """
-        SELECT userCode, ts, level, video_length, CAST(NULL AS BIGINT) AS missing_long,
+        SELECT userCode, ts, level, coalesce(video_length, 0) AS video_length,
+               CAST(NULL AS BIGINT) AS missing_long,
                CAST(0 AS BIGINT) AS missing_long_value,
-               cast(video_length AS DOUBLE) AS length_double FROM wide""",
+               cast(coalesce(video_length, 0) AS DOUBLE) AS length_double, ts AS text_long,
+               coalesce(video_length, 0) AS text_int FROM wide""",
     "threshold_check": """
         SELECT userCode, videoId, taskCode, s0,
                coalesce(videoLength >= ruleLength AND videoPercent >= rulePercent, false)
@@ -209,7 +229,9 @@ BODIES = {
         FROM task t JOIN rule r ON t.rule_code = r.rule_code""",
     "rule_match": f"""SELECT {SESSION_COLS}, taskCode, ruleCode, ruleLength, rulePercent
                       FROM matched""",
-    "session_windows": "SELECT userCode, videoId, s0, s1, logCount FROM sessions",
+    "session_windows": f"""
+        SELECT userCode, videoId, cast(t0 AS BIGINT) AS s0, cast(t1 + {GAP} AS BIGINT) AS s1,
+               cast(n AS BIGINT) AS logCount FROM sess""",
     "session_count": "SELECT userCode, videoId, s0, logCount FROM sessions",
     "session_metrics": f"SELECT {SESSION_COLS} FROM sessions",
     "session_first_value": "SELECT userCode, videoId, s0, level, videoLength FROM sessions",
@@ -270,6 +292,22 @@ BODIES = {
                cast(t0 AS BIGINT) AS s0, cast(t1 + {GAP} AS BIGINT) AS s1
         FROM a_sess
         WHERE videoLength > 0 AND t1 + {GAP} <= (SELECT max(ts) FROM a_ev)""",
+    "session_quarantine": """
+        SELECT userCode, level, videoId, cast(n AS BIGINT) AS logCount, videoLength,
+               cast(t0 AS BIGINT) AS s0 FROM sess WHERE coalesce(videoLength, 0) <= 0""",
+    "threshold_quarantine": f"""
+        SELECT userCode, videoId, taskCode, s0, ruleLength, rulePercent FROM matched
+        WHERE ruleLength IS NULL OR rulePercent IS NULL""",
+    "dwd_video_wide_sql": f"SELECT {DWD_COLS} FROM wide",
+    "rule_match_sql": f"""SELECT {SESSION_COLS}, taskCode, ruleCode, ruleLength, rulePercent
+                          FROM matched""",
+    "stored_flags": """
+        SELECT userCode, videoId, taskCode, cast(complete AS VARCHAR) AS flagText, complete
+        FROM state""",
+    "replay_topic": "SELECT value FROM rawlog WHERE value IS NOT NULL",
+    "string_sink": """
+        SELECT concat('{"userCode":"', userCode, '","taskCode":"', taskCode,
+                      '","eventType":"video","videoId":"', videoId, '"}') AS value FROM done""",
     "stream_completion": f"SELECT {RESULT_COLS} FROM cdone",
 }
 

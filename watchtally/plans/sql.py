@@ -1,60 +1,39 @@
-"""P6, P9, J1–J4 in the SQL form: temp views + ``spark.sql``.
+"""Named views and Spark SQL over them.
 
-The reference writes its lookups as SQL over registered views; the same
-statements run on Spark SQL over the views registered here, and Catalyst
-plans them exactly like the DataFrame versions (filter pushed below the
-joins, small sides broadcast, one parse per line).
+Both statements read the cleaned operators' outputs under view names of their
+own and give the rows of ``composites.dwd_video_wide`` and ``rule_match``;
+Catalyst plans them like the DataFrame forms.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from watchtally.operators.clean import clean_branch, parse_log
-from watchtally.operators.enrich import with_proctime
-from watchtally.operators.rules import LENGTH_PATH, PERCENT_PATH
+from watchtally.operators.rules import task_thresholds
+from watchtally.plans import composites as P
+from watchtally.plans.composites import Inputs
 
 
-def register_job1_views(spark: SparkSession, raw: DataFrame, doctor: DataFrame,
-                        video: DataFrame) -> None:
-    """``main_table`` (clean log + pt), ``doctor_info``, ``video_info``."""
-    with_proctime(clean_branch(parse_log(raw))).createOrReplaceTempView("main_table")
-    doctor.createOrReplaceTempView("doctor_info")
-    video.createOrReplaceTempView("video_info")
-
-
-def dwd_video_wide_sql(spark: SparkSession) -> DataFrame:
-    """J1 then J2 with the video filter, as two stacked views."""
-    spark.sql("""
-        SELECT mt.deviceId, mt.userCode, mt.eventCode, mt.eventType, mt.ts, mt.resourceId,
-               mt.pt, di.level
-        FROM main_table AS mt JOIN doctor_info AS di ON mt.userCode = di.user_id
-    """).createOrReplaceTempView("level_table")
+def enriched_by_sql(spark: SparkSession, i: Inputs) -> DataFrame:
+    """Video events with user level and video length."""
+    for name, df in {"wt_events": P.clean_log(i), "wt_users": i.doctor, "wt_videos": i.video}.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql("""
+        WITH watched AS (SELECT * FROM wt_events WHERE eventType = 'video'),
+             graded AS (SELECT watched.*, wt_users.level
+                        FROM watched INNER JOIN wt_users ON user_id = userCode)
+        SELECT graded.deviceId, userCode, eventCode, ts, resourceId, level, video_length
+        FROM graded INNER JOIN wt_videos ON video_id = resourceId""")
+
+
+def matched_by_sql(spark: SparkSession, i: Inputs) -> DataFrame:
+    """Sessions with the tasks of their level's rules and the tasks' thresholds."""
+    views = {"wt_sessions": P.session_metrics(i), "wt_rules": i.rule,
+             "wt_thresholds": task_thresholds(i.task)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
     return spark.sql("""
-        SELECT lt.deviceId, lt.userCode, lt.eventCode, lt.ts, lt.resourceId, lt.level,
-               vi.video_length
-        FROM level_table AS lt JOIN video_info AS vi ON lt.resourceId = vi.video_id
-        WHERE lt.eventType = 'video'
-    """)
-
-
-def register_job2_views(spark: SparkSession, sessions: DataFrame, rule: DataFrame,
-                        task: DataFrame) -> None:
-    """``video_table`` (sessions + pt), ``credit_rule_config``, ``credit_task``."""
-    with_proctime(sessions).createOrReplaceTempView("video_table")
-    rule.createOrReplaceTempView("credit_rule_config")
-    task.createOrReplaceTempView("credit_task")
-
-
-def rule_match_sql(spark: SparkSession) -> DataFrame:
-    """J3 + J4 + F1 as one SQL statement over the job-2 views."""
-    return spark.sql(f"""
-        SELECT vt.userCode, vt.level, vt.videoId, vt.logCount, vt.duration, vt.videoLength,
-               vt.videoPercent, vt.s0, vt.s1, ct.code AS taskCode, ct.rule_code AS ruleCode,
-               try_cast(get_json_object(ct.task_detail, '{LENGTH_PATH}') AS INT) AS ruleLength,
-               try_cast(get_json_object(ct.task_detail, '{PERCENT_PATH}') AS DOUBLE)
-                 AS rulePercent
-        FROM video_table AS vt
-        JOIN credit_rule_config AS crc ON vt.level = crc.doctor_level
-        JOIN credit_task AS ct ON ct.rule_code = crc.rule_code
-    """)
+        WITH goals AS (SELECT doctor_level, taskCode, r.rule_code AS ruleCode, ruleLength, rulePercent
+                       FROM wt_rules r INNER JOIN wt_thresholds t ON t.rule_code = r.rule_code)
+        SELECT s.*, g.taskCode, g.ruleCode, g.ruleLength, g.rulePercent
+        FROM wt_sessions s INNER JOIN goals g ON g.doctor_level = s.level""")

@@ -21,6 +21,8 @@ SQL_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a repeated key in a log line keeps its last value
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -53,15 +55,31 @@ def apply_defaults(spark: SparkSession) -> None:
             pass
 
 
+def job_folder(spark: SparkSession, name: str) -> str:
+    """The folder of a named job, the same at every start (so a restart resumes).
+
+    Spark appends a fresh folder name to ``spark.checkpoint.dir`` at each start of
+    an application; a job's checkpoint therefore hangs on the configured folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        own = spark.sparkContext.getCheckpointDir()
+        root = own.rstrip("/").rsplit("/", 1)[0] if own else None
+    if not root:
+        raise ValueError(f"job {name}: set spark.checkpoint.dir or the job's \"checkpoint\"")
+    return f"{root.rstrip('/')}/watchtally-jobs/{name}"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only when unset."""
+    """The cluster's shared checkpoint folder; in local mode a private one when unset."""
     try:
         sc = spark.sparkContext
     except Exception:  # no driver-side context (e.g. a Spark Connect session)
         sc = None
     root = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Only reached in local runs and tests: nothing configured a shared folder.
+        if sc and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="watchtally-ckpt-")
         if sc:
             sc.setCheckpointDir(root)

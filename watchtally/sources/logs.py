@@ -7,10 +7,12 @@ one ``value: string`` column; null payloads are dropped (S1).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from watchtally import schemas
+from watchtally.functions.getters import get_int, get_long, get_string
 from watchtally.sources.spread import spread
 
 
@@ -23,19 +25,45 @@ def read_lines(spark: SparkSession, fmt: str = "text", path: str | None = None,
     r = spark.readStream if stream else spark.read
     r = r.format(fmt).options(**(options or {}))
     df = spread(r.load(path) if path else r.load())
+    return drop_null_lines(df, keep)
+
+
+def drop_null_lines(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Payloads as text, null ones dropped."""
     df = df.select(F.col("value").cast("string").alias("value"), *keep)
     return df.where(F.col("value").isNotNull())
 
 
 def parse_dwd(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """JSON topic rows -> DWD_VIDEO_INFO columns.
+    """JSON topic rows -> DWD_VIDEO_INFO columns, read with the lenient
+    getters (``"12"`` reads as 12).
 
-    ``strict`` fails the query on a malformed line like the reference's
-    unguarded parse; otherwise malformed lines give null fields.
+    A line that is no JSON object fails the query under ``strict``, like the
+    reference's unguarded parse; otherwise it gives no row (``bad_dwd`` has it).
     """
-    opts = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE"}
-    j = F.from_json(F.col("value"), schemas.DWD_VIDEO_INFO, opts)
-    return lines.select(j.alias("r")).select("r.*")
+    j = F.col("_j")
+    parsed = lines.select("value", F.try_parse_json("value").alias("_j"))
+    bad = _no_object(j)
+    if strict:
+        message = F.concat(F.lit("not a topic record: "), F.col("value"))
+        parsed = parsed.select(F.when(bad, F.raise_error(message).cast("variant")).otherwise(j)
+                               .alias("_j"))
+    else:
+        parsed = parsed.where(~bad)
+    read = {T.StringType: get_string, T.LongType: get_long, T.IntegerType: get_int}
+    fields = F.struct(*[read[type(f.dataType)](j, f.name).alias(f.name)
+                        for f in schemas.DWD_VIDEO_INFO.fields])
+    # one parse per line: nothing is pushed below the generator (see operators.clean)
+    return parsed.select(F.inline(F.array(fields)))
+
+
+def _no_object(j) -> Column:
+    return F.try_variant_get(j, "$", "map<string,variant>").isNull()
+
+
+def bad_dwd(lines: DataFrame) -> DataFrame:
+    """Topic lines that are no JSON object (what a lenient read leaves out)."""
+    return lines.where(_no_object(F.try_parse_json("value")))
 
 
 def read_dwd(spark: SparkSession, fmt: str = "text", path: str | None = None,

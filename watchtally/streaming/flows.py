@@ -6,7 +6,7 @@ and so the dimension sides can be refreshed on a TTL (J6/J7).
 
 Job 2 (sessions, rule match, completion) is a single streaming query:
 watermark -> ``session_window`` aggregation -> broadcast rule join ->
-keyed state (``transformWithStateInPandas``) -> append sink.
+keyed state (``transformWithState``) -> append sink.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from watchtally.operators.clean import clean_branch, dirty_branch, parse_log
+from watchtally.operators.completion import threshold_quarantine
 from watchtally.operators.enrich import dwd_video_wide
 from watchtally.operators.rules import rule_match
 from watchtally.operators.sessions import (
@@ -26,6 +27,7 @@ from watchtally.operators.sessions import (
 from watchtally.operators.sinks import to_json_value
 from watchtally.sources.dims import DimensionCache
 from watchtally.streaming.completion import apply_completion
+from watchtally.streaming.state import print_rows
 
 
 def session_stream(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
@@ -43,6 +45,18 @@ def session_stream(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     return session_rows(raw, gap_ms, ms_per_event).where(F.col("videoLength") > 0)
 
 
+def quarantine_streams(dwd: DataFrame, rule: DataFrame, task: DataFrame,
+                       gap_ms: int = REFERENCE_GAP_MS,
+                       watermark_delay: str = "0 seconds") -> dict[str, DataFrame]:
+    """What job 2 leaves out: closed sessions with an unusable video length, and
+    (session, task) matches whose thresholds are unusable."""
+    rows = session_rows(stream_raw_sessions(dwd, gap_ms, watermark_delay), gap_ms)
+    length = F.col("videoLength")
+    matched = rule_match(rows.where(length > 0), rule, task)
+    return {"session_quarantine": rows.where(length.isNull() | (length <= 0)),
+            "threshold_quarantine": threshold_quarantine(matched)}
+
+
 def completion_stream(dwd: DataFrame, rule: DataFrame, task: DataFrame,
                       gap_ms: int = REFERENCE_GAP_MS, watermark_delay: str = "0 seconds",
                       measure: str = "video_length",
@@ -57,15 +71,19 @@ def completion_stream(dwd: DataFrame, rule: DataFrame, task: DataFrame,
 def job1_batch_writer(doctor: DimensionCache, video: DimensionCache,
                       write_wide: Callable[[DataFrame, int], None],
                       write_dirty: Callable[[DataFrame, int], None],
-                      show: tuple[str, ...] = (), show_rows: int = 20):
+                      show: tuple[str, ...] = ()):
     """``foreachBatch`` body of job 1.
 
     The micro-batch is parsed once and persisted; the dirty branch and the
     enriched branch (as JSON topic records) are written from it; the
     dimension sides come from TTL caches (bounded staleness, no row cap).
-    ``show`` names branches ("dirty", "video") to print a bounded sample of,
-    under their label, for each micro-batch (S8).
+    ``show`` names branches ("dirty", "video") whose rows are printed, every one and
+    whole, under their label (S8).
     """
+    unknown = set(show) - {"dirty", "video"}
+    if unknown:
+        raise ValueError(f"unknown print labels: {sorted(unknown)}")
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         parsed = parse_log(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -73,8 +91,7 @@ def job1_batch_writer(doctor: DimensionCache, video: DimensionCache,
             wide = dwd_video_wide(clean_branch(parsed), doctor.get(), video.get())
             for label, df in (("dirty", dirty), ("video", wide)):
                 if label in show:
-                    print(f"{label}>>>> epoch {epoch_id}")
-                    df.show(show_rows, truncate=False)
+                    print_rows(df, f"{label} {epoch_id}")
             write_dirty(dirty, epoch_id)
             write_wide(to_json_value(wide), epoch_id)
         finally:

@@ -6,16 +6,26 @@ time, so a user who stops sending events still gets a result. Spark's
 session windows only close on the watermark, so this is a keyed processor
 with a processing-time timer per (user, video):
 
-* rows extend the open session while they are within ``gap`` of it; a row
-  more than ``gap`` after it closes it (emitted) and opens a new one; a row
-  more than ``gap`` before it belongs to an emitted session and is dropped;
+* rows are folded into the key's open sessions (intervals that grow and merge),
+  so what a micro-batch holds of a key is its sessions, not its events;
+* a session with a later one of its key behind the gap is emitted;
 * every update moves the timer to ``now + delay`` (wall clock, not the
-  reference's event-time-based timer: SURVEY Q18);
-* when the timer fires the open session is emitted once and cleared.
+  reference's event-time-based timer: SURVEY Q18); when it fires, the open session
+  is emitted;
+* the end of the last emitted session stays in the state: a row within ``gap`` of
+  it, or before it, belongs to what was counted already and is late (dropped). A
+  session is never emitted twice nor reopened, so job 2 can't count it twice.
+
+Choose ``delay`` longer than the time between micro-batches: an idle close is a
+decision, rows of the same session that come after it are late. Timers are in
+processing time, and such a query has no watermark: other users' progress closes
+no session here; ``streaming.flows.session_stream`` is the event-time form.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from datetime import datetime
 from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -28,6 +38,7 @@ OPEN_SCHEMA = T.StructType([
     T.StructField("t1", T.LongType()),
     T.StructField("level", T.IntegerType()),
     T.StructField("video_length", T.IntegerType()),
+    T.StructField("emitted", T.LongType()),     # end of the last emitted session
 ])
 
 OUTPUT_SCHEMA = T.StructType([
@@ -61,34 +72,80 @@ class IdleFlushProcessor(StatefulProcessor):
         self.handle.registerTimer(now_ms + self.delay_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        cur = self.open.get()
-        cur = tuple(cur) if cur is not None else None
-        for r in sorted(rows, key=lambda r: r["ts"]):
+        old = self.open.get()
+        emitted = old[5] if old is not None else None
+        # sessions (n, t0, t1, level, video_length) in time order, more than a gap apart
+        runs = [list(old[:5])] if old is not None and old[0] else []
+        starts = [r[1] for r in runs]
+        for r in rows:
             ts = int(r["ts"])
-            if cur is not None and cur[1] - ts > self.gap_ms:
-                continue                      # belongs to an earlier, emitted session: late
-            if cur is not None and ts - cur[2] > self.gap_ms:
-                yield self._emit(key, cur, "gap")
-                cur = None
-            if cur is None:
-                cur = (1, ts, ts, r["level"], r["video_length"])
-            elif ts < cur[1]:                 # earlier than the session start: new first event
-                cur = (cur[0] + 1, ts, cur[2], r["level"], r["video_length"])
-            else:
-                cur = (cur[0] + 1, cur[1], max(cur[2], ts), cur[3], cur[4])
-        self.open.update(cur)
-        self._reset_timer(timerValues.getCurrentProcessingTimeInMs())
+            if emitted is not None and ts - emitted <= self.gap_ms:
+                continue                                  # late
+            _fold(runs, starts, [1, ts, ts, r["level"], r["video_length"]], self.gap_ms)
+        for s in runs[:-1]:
+            emitted = int(s[2])
+            yield self._emit(key, s, "gap")
+        last = runs[-1] if runs else [0, None, None, None, None]
+        self.open.update((*last, emitted))
+        if runs:
+            self._reset_timer(timerValues.getCurrentProcessingTimeInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         cur = self.open.get()
-        if cur is not None:
-            self.open.clear()
+        if cur is not None and cur[0]:
+            self.open.update((0, None, None, None, None, int(cur[2])))
             yield self._emit(key, tuple(cur), "idle")
 
     def close(self) -> None:
         pass
 
 
+def _fold(runs: list[list], starts: list[int], new: list, gap_ms: int) -> None:
+    """Merge one event into sorted sessions that lie more than a gap apart."""
+    lo = hi = bisect_right(starts, new[1])
+    if lo and new[1] - runs[lo - 1][2] <= gap_ms:
+        lo -= 1
+    if hi < len(runs) and runs[hi][1] - new[2] <= gap_ms:
+        hi += 1
+    near = sorted([*runs[lo:hi], new], key=lambda s: (s[1], s[3] or 0, s[4] or 0))
+    runs[lo:hi] = [[sum(s[0] for s in near), near[0][1], max(s[2] for s in near), *near[0][3:5]]]
+    starts[lo:hi] = [near[0][1]]
+
+
+def run_until_idle(out: DataFrame, spark, base: str, delay_ms: int,
+                   partitions: int | None = None) -> DataFrame:
+    """Run an idle-flush stream into files until its input is read and every idle timer
+    that the input set has come due, then stop it and return the output."""
+    import time
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(partitions))
+    try:
+        q = (out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out")
+             .trigger(processingTime="1 second").start())
+    finally:
+        spark.conf.set(key, before)
+
+    def last():
+        if q.exception():
+            raise q.exception()
+        time.sleep(0.3)
+        return q.lastProgress
+
+    try:
+        while (p := last()) is None or any(x.startOffset != x.endOffset for x in p.sources):
+            pass                                          # input is still being read
+        due = time.time() + delay_ms / 1000
+        # until a trigger that began after every timer was due has ended
+        while datetime.fromisoformat(last().timestamp.replace("Z", "+00:00")).timestamp() <= due:
+            pass
+    finally:
+        q.stop()
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
 def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int) -> DataFrame:
     """Sessions per (user, video) closed by a gap or by ``delay_ms`` of idleness."""
     from watchtally.operators.sessions import event_time

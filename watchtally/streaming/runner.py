@@ -19,6 +19,24 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
     out.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_time_slices(df: DataFrame, path: str, slices: int, order_col: str = "ts") -> None:
+    """Write a replay topic as files in event-time order, one write per time slice, so
+    that a stream with ``maxFilesPerTrigger`` meets them in that order."""
+    kept = df.persist()
+    try:
+        lo, hi = kept.agg(F.min(order_col), F.max(order_col)).first()
+        if lo is None:
+            write_json_lines(kept, f"{path}/slice=0")
+            return
+        width = max(1, -(-(hi - lo + 1) // slices))
+        at = F.floor((F.coalesce(order_col, F.lit(lo)) - F.lit(lo)) / F.lit(width))
+        for k in range(slices):
+            part = kept.where(at == k).coalesce(1)
+            write_json_lines(part, f"{path}/slice={k}", order_col)
+    finally:
+        kept.unpersist()
+
+
 def state_partitions(spark: SparkSession) -> int | None:
     """State-store partitions for a new query: the core count in local mode,
     otherwise whatever the cluster configured (None = keep the session's)."""
@@ -30,7 +48,7 @@ def state_partitions(spark: SparkSession) -> int | None:
 
 
 def run_available_now(df: DataFrame, name: str, spark: SparkSession,
-                      fmt: str = "parquet", timeout_s: int = 600,
+                      fmt: str = "parquet", timeout_s: float | None = None,
                       partitions: int | None = None, base: str | None = None) -> DataFrame:
     """Run a streaming DataFrame over all available input, return its output.
 
@@ -38,6 +56,7 @@ def run_available_now(df: DataFrame, name: str, spark: SparkSession,
     query copies the session settings when it starts and keeps the count in
     its checkpoint, so the session's own value is restored right after.
     Passing the same ``base`` again resumes the query from its checkpoint.
+    There is no time limit unless ``timeout_s`` is given.
     """
     base = base or shared_dir(spark, name)
     key = "spark.sql.shuffle.partitions"
@@ -54,8 +73,8 @@ def run_available_now(df: DataFrame, name: str, spark: SparkSession,
     finally:
         spark.conf.set(key, before)
     try:
-        finished = q.awaitTermination(timeout_s)
-        if not finished:
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if finished is False:
             raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
         if q.exception():
             raise q.exception()

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from watchtally.streaming.completion import STATE_NAME
 
@@ -12,25 +15,51 @@ def completion_state_snapshot(spark: SparkSession, checkpoint: str,
     """Every (user, video, task) state of a job-2 query, read from its checkpoint
     (``key``, ``value`` structs) — the stream's counterpart of the reference's
     key listing. Finds the keyed-state operator when ``operator_id`` is not given."""
-    ids = [operator_id] if operator_id is not None else range(8)
-    last = None
-    for op in ids:
-        try:
-            df = (spark.read.format("statestore").option("operatorId", op)
-                  .option("stateVarName", STATE_NAME).load(checkpoint))
-            df.schema  # resolves now: fails for operators without this state variable
-            return df.select("key.*", "value.*")
-        except Exception as e:  # noqa: BLE001 - try the next operator
-            last = e
-    raise ValueError(f"no completion state in {checkpoint}") from last
+    if operator_id is None:
+        meta = spark.read.format("state-metadata").load(checkpoint)
+        own = [r.operatorId for r in meta.select("operatorId", "operatorName").distinct().collect()
+               if r.operatorName.startswith("transformWithState")]
+        if len(own) != 1:
+            raise ValueError(f"{len(own)} keyed-state operators in {checkpoint}")
+        operator_id = own[0]
+    df = (spark.read.format("statestore").option("operatorId", operator_id)
+          .option("stateVarName", STATE_NAME).load(checkpoint))
+    return df.select("key.*", "value.*")
+
+
+def _print_row(label: str, row) -> None:
+    print(f"[{label}] {row[0]}" if label else row[0], flush=True)
+
+
+def print_rows(df: DataFrame, label: str = "") -> None:
+    """Print every row of a batch, whole, on the executors that hold it."""
+    df.select(F.to_json(F.struct(*df.columns))).foreach(partial(_print_row, label))
+
+
+def print_stream(df: DataFrame, checkpoint: str, label: str = "", trigger: dict | None = None):
+    """Print every row of a stream, whole, on the executors that hold it
+    (a single ``value`` column as it is, other rows as JSON)."""
+    text = df if df.columns == ["value"] else df.select(F.to_json(F.struct(*df.columns)))
+    w = (text.writeStream.foreach(partial(_print_row, label))
+         .option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.queryName(label).start() if label else w.start()
 
 
 def tail_topic(spark: SparkSession, fmt: str, options: dict, checkpoint: str,
-               sink: str = "console", query_name: str | None = None):
-    """Print (or keep in memory) every line of a topic as it arrives."""
+               sink: str = "print", query_name: str | None = None,
+               trigger: dict | None = None, path: str | None = None):
+    """Print every line of a topic as it arrives, whole, or hand it to another sink."""
     from watchtally.sources.logs import read_lines
-    w = (read_lines(spark, fmt, options=options, stream=True).writeStream
-         .format(sink).option("checkpointLocation", checkpoint))
+    lines = read_lines(spark, fmt, options=options, stream=True)
+    if sink == "print":
+        return print_stream(lines, checkpoint, query_name or "", trigger)
+    w = lines.writeStream.format(sink).option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    if path:
+        w = w.option("path", path)
     if query_name:
         w = w.queryName(query_name)
     return w.start()

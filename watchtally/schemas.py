@@ -1,4 +1,8 @@
-"""Declared schemas of every entity."""
+"""Declared schemas of every entity.
+
+Fixed values: the names of tables, topics and fields are those of the data that the
+jobs meet, so they can't be chosen here.
+"""
 
 from pyspark.sql import types as T
 

@@ -35,7 +35,7 @@ def build_spark(master: str | None = None, shuffle_partitions: int = 8,
     b = b.config("spark.ui.enabled", "false")
     b = b.config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("WT_DRIVER_MEMORY", "16g"))
+    b = b.config("spark.driver.memory", os.environ.get("WT_DRIVER_MEMORY", "8g"))
     for k, v in SQL_DEFAULTS.items():
         b = b.config(k, v)
     for k, v in (extra or {}).items():

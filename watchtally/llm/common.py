@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 U64 = np.uint64
 #: Texts are handled in groups of about so many bytes, to bound memory.
 GROUP_BYTES = 1 << 20
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MOST_ROWS = 2000
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -181,6 +183,10 @@ def map_arrow(df: DataFrame, f, schema: str) -> DataFrame:
     from pyspark.sql.types import StructType
 
     arrow = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
+    # Rows here are whole texts or sets: a batch of Spark's default 10,000 takes too much of a worker.
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_ROWS)) > MOST_ROWS:
+        conf.set(BATCH_ROWS, str(MOST_ROWS))
 
     def run(batches):
         for columns in f(batches):

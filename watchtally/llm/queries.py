@@ -87,5 +87,31 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
 
-#: DuckDB SQL where SQL can express a whole result.
-ORACLE_SQL: dict[str, str] = {}
+def _shingles(table: str, key: str) -> str:
+    """SQL for the distinct shingles of a table, as in operator 5."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+')"
+    return f"""
+        SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+                                           WHEN len(w) > 0 THEN [concat('<', array_to_string(w, ' '))] ELSE [] END) AS s
+        FROM (SELECT {key}, {words} AS w FROM {table})"""
+
+
+#: DuckDB SQL where SQL can express a whole result. The other operators' results depend on
+#: tokenizers, fitted models, layout, added rules or components and are tested against plain versions.
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": f"""
+        WITH d AS ({_shingles('documents', 'doc_id')}), i AS ({_shingles('benchmark', 'item_id')}),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
+        SELECT doc_id, item_id, n_shingles, count(*) AS n_common, round(count(*) / n_shingles, 6) AS containment
+        FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles
+        HAVING 100 * count(*) >= 80 * n_shingles""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(url, '') AS url, cast(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                          sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        g AS (SELECT payload_digest, min(page_id) AS smallest FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, url, payload_bytes, payload_digest,
+               CASE WHEN smallest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN smallest <> page_id THEN smallest END AS refers_to
+        FROM p LEFT JOIN g USING (payload_digest)""",
+}

@@ -138,11 +138,20 @@ def stream_raw_sessions(dwd: DataFrame, gap_ms: int = REFERENCE_GAP_MS,
     """T2/T3 streaming form: watermark + ``session_window`` aggregation.
 
     Works on batch DataFrames too (without the watermark) and gives the same
-    sessions as :func:`raw_sessions`.
+    sessions as :func:`raw_sessions`. A stream merges the sessions of each input
+    partition before the shuffle; a batch merges gap cells instead, so that a hot
+    key's events are reduced before they meet in one task.
     """
     ev = event_time(dwd)
-    if dwd.isStreaming:
-        ev = ev.withWatermark("et", watermark_delay)
+    if not dwd.isStreaming:
+        cells = (ev.withColumn("_cell", _floordiv("ts", int(gap_ms))).groupBy(*KEYS, "_cell")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"), F.max("ts").alias("t1"),
+                      *_first_values()))
+        gap = F.concat((F.col("t1") - F.col("t0") + F.lit(int(gap_ms))).cast("string"),
+                       F.lit(" milliseconds"))
+        timed = cells.withColumn("et", F.timestamp_millis("t0"))
+        return timed.groupBy(*KEYS, F.session_window("et", gap).alias("sw")).agg(*_merge_aggs(FIRST_COLS))
+    ev = ev.withWatermark("et", watermark_delay)
     g = ev.groupBy(*KEYS, F.session_window("et", f"{int(gap_ms)} milliseconds").alias("sw"))
     return g.agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"),
                  F.max("ts").alias("t1"), *_first_values())

@@ -496,7 +496,8 @@ def stream_dwd_video_wide(spark, d):
                              DimensionCache(lambda: i.video),
                              epoch_writer({"format": "text", "path": f"{base}/topic"}),
                              epoch_writer({"format": "text", "path": f"{base}/dirty"}))
-    src = read_lines(spark, "text", f"{base}/raw", stream=True)
+    src = read_lines(spark, "text", f"{base}/raw", stream=True,
+                     options={"maxFilesPerTrigger": "2"})
     q = (src.writeStream.foreachBatch(body).option("checkpointLocation", f"{base}/checkpoint")
             .trigger(availableNow=True).start())
     try:

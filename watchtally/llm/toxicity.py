@@ -23,7 +23,7 @@ corpus, and are sent to the tasks. Scores cover all documents.
 
 Defined cases: a null or empty text, like any text without a known term, has no
 neighbours and gets the score of an empty vote; rows without a label or with a
-null doc_id are no examples; without examples of both labels every score is the
+null doc_id are no examples, and of rows that repeat a doc_id the smallest text is; without examples of both labels every score is the
 share of toxic ones (0 without any); repeated rows are scored each; extra columns
 are ignored; an empty table gives no rows.
 """
@@ -186,7 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
     docs = docs.select("doc_id", "text")
     chosen = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(c.examples))
-    sample = stored(docs.join(F.broadcast(chosen), "doc_id"), "toxicity-examples")
+    # One row a doc_id, however often a table repeats it.
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = stored(one, "toxicity-examples")
 
     def marks(batches):
         for batch, texts in groups(batches):
@@ -205,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
         return flat
 
     ids = spark.createDataFrame([(i,) for i in sorted(kept)], "doc_id long")
-    examples = sample.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    examples = sample.join(F.broadcast(ids), "doc_id")
 
     def count(batches):
         parts = []

@@ -53,22 +53,22 @@ clean AS (
 doctor AS (
   SELECT CASE WHEN c_acctbal >= 0 THEN cast(c_custkey AS VARCHAR)
               ELSE concat('debt-', c_custkey) END AS user_id,
-         cast(c_nationkey % 20 AS INTEGER) AS level FROM customer),
+         cast(c_custkey // 2 AS INTEGER) AS level FROM customer),
 video AS (
   SELECT cast(p_partkey AS VARCHAR) AS video_id,
          cast(CASE WHEN p_size = 25 THEN 0 WHEN p_size < 50 THEN p_size * 1000 END AS INTEGER)
            AS video_length
   FROM part),
 rule AS (
-  SELECT concat('R', n_nationkey) AS rule_code, cast(n_nationkey % 20 AS INTEGER) AS doctor_level
-  FROM nation),
+  SELECT concat('R', s_nationkey % 5) AS rule_code, cast(s_suppkey AS INTEGER) AS doctor_level
+  FROM supplier),
 task AS (
-  SELECT concat('T', s_suppkey) AS code, concat('R', s_nationkey) AS rule_code,
-         concat('{{', CASE WHEN s_suppkey % 10 < 9 THEN
-                  concat('"watchVideoLengthOfTime":', (s_suppkey % 10 + 1) * 9000, ',') END,
+  SELECT concat('T', n_nationkey) AS code, concat('R', n_regionkey) AS rule_code,
+         concat('{{', CASE WHEN n_nationkey % 10 < 9 THEN
+                  concat('"watchVideoLengthOfTime":', (n_nationkey % 10 + 1) * 9000, ',') END,
                 '"watchVideoWatchLengthOfTimePercentage":',
-                cast(0.05 * (s_suppkey % 10 + 1) AS DECIMAL(4, 2)), '}}') AS task_detail
-  FROM supplier),
+                cast(0.05 * (n_nationkey % 10 + 1) AS DECIMAL(4, 2)), '}}') AS task_detail
+  FROM nation),
 thresholds AS (
   SELECT code AS taskCode, rule_code,
          TRY_CAST(json_extract_string(task_detail, '$.watchVideoLengthOfTime') AS INTEGER)

@@ -89,7 +89,7 @@ def doctor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.when(F.col("c_acctbal") >= 0, key).otherwise(F.concat(F.lit("debt-"), key))
          .alias("user_id"),
-        (F.col("c_nationkey") % 20).cast("int").alias("level"))
+        F.expr("c_custkey div 2").cast("int").alias("level"))
 
 
 def video_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,25 +102,25 @@ def video_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def credit_rule_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rule a nation; levels 0 to 4 have two rules, the others one."""
-    return _read(spark, sf_dir, "nation").select(
-        F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("rule_code"),
-        (F.col("n_nationkey") % 20).cast("int").alias("doctor_level"))
+    """One level a supplier, with the rule of its nation modulo five."""
+    return _read(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("R"), (F.col("s_nationkey") % 5).cast("string")).alias("rule_code"),
+        F.col("s_suppkey").cast("int").alias("doctor_level"))
 
 
 def credit_task(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One task a supplier, for the rule of its nation; ten kinds of thresholds, the
-    tenth without a length (unusable)."""
-    k = F.col("s_suppkey")
+    """One task a nation, for the rule of its region: five tasks a session at any scale.
+    Ten kinds of thresholds, the tenth without a length (unusable)."""
+    k = F.col("n_nationkey")
     kind = k % 10 + 1
     pct = (F.lit(0.05) * kind).cast("decimal(4,2)").cast("string")
     length = F.when(kind < 10, F.concat(F.lit('"watchVideoLengthOfTime":'),
                                         (kind * 9000).cast("string"), F.lit(",")))
     detail = F.concat(F.lit("{"), F.coalesce(length, F.lit("")),
                       F.lit('"watchVideoWatchLengthOfTimePercentage":'), pct, F.lit("}"))
-    return _read(spark, sf_dir, "supplier").select(
+    return _read(spark, sf_dir, "nation").select(
         F.concat(F.lit("T"), k.cast("string")).alias("code"),
-        F.concat(F.lit("R"), F.col("s_nationkey").cast("string")).alias("rule_code"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("rule_code"),
         detail.alias("task_detail"))
 
 

@@ -8,6 +8,7 @@ looped per word in Python.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -177,6 +178,15 @@ def groups(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = GR
             yield batch.slice(a), texts[a:]
 
 
+def give_back() -> None:
+    """Return freed memory to the system at a task's end; workers are used again for other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every system's C library has it
+        pass
+
+
 def map_arrow(df: DataFrame, f, schema: str) -> DataFrame:
     """mapInArrow for a generator of dicts of columns; ``schema`` is a DDL string."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -189,6 +199,12 @@ def map_arrow(df: DataFrame, f, schema: str) -> DataFrame:
         conf.set(BATCH_ROWS, str(MOST_ROWS))
 
     def run(batches):
+        try:
+            yield from records(batches)
+        finally:
+            give_back()
+
+    def records(batches):
         for columns in f(batches):
             arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, type=t.type) for x, t in ((columns[t.name], t) for t in arrow)]
             if len(arrays[0]):

@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,9 +133,16 @@ def redacted(docs: DataFrame, ledger: DataFrame) -> DataFrame:
            .select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")))
     with_spans = docs.withColumn("_blob", key).join(now, "_blob", "left")
 
-    @F.pandas_udf("string")
-    def clean(text, spans):
-        import pandas as pd
-        return pd.Series([redact(t, parse(s)) if t and s else t for t, s in zip(text, spans)], dtype=object)
+    columns = docs.columns
 
-    return with_spans.withColumn("text", F.when(F.col("_spans").isNotNull(), clean("text", "_spans")).otherwise(F.col("text"))).select(*docs.columns)
+    def clean(batches):
+        for whole, a in ((b, a) for b in batches for a in range(0, b.num_rows, 256)):
+            batch = whole.slice(a, 256)
+            spans = batch.column("_spans").to_pylist()
+            if any(spans):
+                texts = [redact(t, parse(x)) if t and x else t for t, x in zip(batch.column("text").to_pylist(), spans)]
+                at = batch.schema.get_field_index("text")
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield batch.select(columns)
+
+    return with_spans.select(*docs.columns, "_spans").mapInArrow(clean, docs.schema)

@@ -228,6 +228,30 @@ def test_pipeline(spark):
     assert max(room.values()) <= 1024 and sum(room.values()) > 0.99 * 1024 * (len(room) - 2)
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    """Of linked rows one stays, whatever their ids; unrelated rows of the same id, null or not, stay."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcde")
+    near = lambda t: t + " more"
+    rows = [(1, a), (None, near(a)), (None, b), (None, near(b)), (None, b.upper()), (None, c), (2, d), (2, near(a)), (None, e), (3, e), (3, near(e)), (4, ""), (None, ""), (None, None)]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, _n int").repartition(3)
+    out = corpus_pipeline.drop_near_copies(spark, df, "")
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    of_b = [x for x in got if x[0] is None and x[1] and x[1].lower().startswith("b0")]
+    of_e = [x for x in got if x[1] and x[1].startswith("e0")]
+    assert len(of_b) == 1 and len(of_e) == 1 and of_e[0][0] == 3 and out.columns == df.columns
+    assert Counter(got) == Counter([(1, a), (None, c), (2, d), (4, ""), (None, ""), (None, None), *of_b, *of_e])
+
+
+def test_contaminated_rows_of_null_and_repeated_ids(spark):
+    """Only rows that hold an item go; other rows of the same id, null or not, stay."""
+    item = " ".join(f"i{k}" for k in range(30))
+    rows = [(None, f"before {item} after"), (None, "some other words that are clean here"), (None, None), (None, ""), (7, item), (7, "clean words under the same id as the item"), (8, item.upper()), (9, "clean")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, _n int").repartition(3)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = decontaminate.clean(df, items)
+    assert sorted(r._n for r in out.collect()) == [1, 2, 3, 5, 7] and out.columns == df.columns
+
+
 def test_pipeline_stages_on_edges(spark, edge_docs, tmp_path):
     """Every stage takes nulls, empty and long texts, repeated rows, extra columns and empty tables."""
     both = edge_docs.unionByName(edge_docs.limit(4))

@@ -94,7 +94,13 @@ def _test(filt: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def search(docs: DataFrame, items: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
     """doc_id, doc (fingerprint of its shingles), item_id, n_shingles, n_common, containment of every pair at or above the threshold."""
-    c, spark = config, docs.sparkSession
+    return _search(docs.select("doc_id", "text"), items, config)[0]
+
+
+def _search(docs: DataFrame, items: DataFrame, c: SearchConfig) -> tuple[DataFrame, DataFrame]:
+    """The pairs, and the documents' hits with the columns of ``docs`` but text (a text_id on one hit of each row only)."""
+    spark = docs.sparkSession
+    by_text = "text_id" in docs.columns
     own = cut(item_shingles(items, c))
     sketch = own.where("in_sketch")
     sent = spark.sparkContext.broadcast((bit_filter(sketch, c.filter_bits), bit_filter(own, c.filter_bits)))
@@ -110,22 +116,27 @@ def search(docs: DataFrame, items: DataFrame, config: SearchConfig = SearchConfi
             if not hit.any():
                 continue
             chosen = np.flatnonzero(hit)
-            out = {"row": [], "doc": [], "shingle": [], "sketched": []}
+            out = {"row": [], "first": [], "doc": [], "shingle": [], "sketched": []}
             for i, s in zip(chosen, Words([texts[i] for i in chosen], PUNCT, lower=True).shingles(c.words)):
                 sketched = _test(of_sketch, s)
                 if sketched.any():
                     keep = _test(of_items, s)
                     out["row"].append(np.full(keep.sum(), i))
+                    out["first"].append(np.arange(keep.sum()) == 0)
                     out["doc"].append(np.full(keep.sum(), _name(s)))
                     out["shingle"].append(signed(s[keep]))
                     out["sketched"].append(sketched[keep])
             if out["row"]:
-                rows = np.concatenate(out["row"])
-                yield {k: np.concatenate(v) for k, v in out.items() if k != "row"} | {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64()))}
-
-    hits = cut(map_arrow(docs.select("doc_id", "text"), run, "doc_id long, doc long, shingle long, sketched boolean"))
+                rows = pa.array(np.concatenate(out["row"]), pa.int64())
+                made = {k: np.concatenate(v) for k, v in out.items() if k != "row"} | {"doc_id": batch.column("doc_id").take(rows)}
+                if by_text:
+                    own = pa.array(np.concatenate(out["row"]), pa.int64(), mask=~made["first"])
+                    made["text_id"] = batch.column("text_id").take(own)
+                yield made
+
+    every = cut(map_arrow(docs, run, "doc_id long, doc long, shingle long, sketched boolean" + ", text_id string" * by_text))
     # Rows of one text and id repeat when documents do; pairs are counted once.
-    hits = hits.groupBy("doc_id", "doc", "shingle").agg(F.max("sketched").alias("sketched"))
+    hits = every.groupBy("doc_id", "doc", "shingle").agg(F.max("sketched").alias("sketched"))
     pairs = (hits.where("sketched").join(sketch.select("shingle", "item_id", "item", "n").hint("merge"), "shingle")
              .select("doc_id", "doc", "item_id", "item", "n").distinct())
     # Each candidate's shingles are those of the item found among the document's hits.
@@ -135,11 +146,17 @@ def search(docs: DataFrame, items: DataFrame, config: SearchConfig = SearchConfi
     found = a.join(h.hint("merge"), (F.col("a.shingle") == F.col("h.shingle")) & (F.col("a.doc") == F.col("h.doc")) & F.col("a.doc_id").eqNullSafe(F.col("h.doc_id")))
     counted = found.groupBy("a.doc_id", "a.doc", "a.item_id", "a.item", "a.n").agg(F.count("*").alias("n_common"))
     best = counted.where(f"100 * n_common >= {c.percent} * n")
-    return (best.groupBy("doc_id", "doc", "item_id").agg(F.max_by("n", "n_common").cast("long").alias("n_shingles"), F.max("n_common").alias("n_common"))
+    best = (best.groupBy("doc_id", "doc", "item_id").agg(F.max_by("n", "n_common").cast("long").alias("n_shingles"), F.max("n_common").alias("n_common"))
             .withColumn("containment", F.round(F.col("n_common") / F.col("n_shingles"), 6)))
+    return best, every
 
 
 def clean(docs: DataFrame, items: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
-    """``docs`` without the documents that contain a test item."""
-    bad = search(docs, items, config).select(F.col("doc_id").alias("_id")).distinct().hint("merge")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]), "left_anti")
+    """``docs`` without the documents that contain a test item; rows of one doc_id, null or not, are judged by their own text."""
+    pairs, hits = _search(docs.select("doc_id", "text", F.md5("text").alias("text_id")), items, config)
+    found = pairs.select(F.col("doc_id").alias("_id"), F.col("doc").alias("_doc")).distinct().hint("merge")
+    texts = hits.where("text_id is not null").select("doc_id", "doc", "text_id").distinct()
+    bad = (texts.join(found, texts["doc_id"].eqNullSafe(found["_id"]) & (texts["doc"] == found["_doc"]), "left_semi")
+           .select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_bad")).hint("merge"))
+    named = docs.withColumn("_text_id", F.md5("text"))
+    return named.join(bad, named["doc_id"].eqNullSafe(bad["_id"]) & (named["_text_id"] == bad["_bad"]), "left_anti").select(*docs.columns)

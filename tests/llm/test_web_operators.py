@@ -38,6 +38,25 @@ def test_broken_pages_never_fail():
     assert html.to_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_formulas_drawings_and_fallbacks_are_visible():
+    assert html.to_text("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow>"
+                        "<annotation encoding='t'>x=\\frac</annotation></semantics></math> holds") == "so x= 1 2 holds"
+    page = "<p>a<svg><title/><title>no</title><desc>no</desc><metadata>no</metadata><defs><text>no</text></defs><defs/><g><path d='M0'/><text>one</text><text>two <tspan>more</tspan></text></g></svg>b"
+    assert html.to_text(page) == "a\none\ntwo more\nb"
+    assert html.to_text("<svg><g display='none'><text>no</text></g><foreignObject><p>yes</p></foreignObject></svg>") == "yes"
+    assert html.to_text("<object data=x><param name=a>fall <b>back</b></object><noscript><style>no</style>needs script</noscript>") == "fall backneeds script"
+    assert html.to_text("<svg><defs><g><p>after an unclosed drawing") == "after an unclosed drawing"
+    assert html.to_text("<iframe>no</iframe><template>no</template><datalist><option>no</datalist>yes") == "yes"
+
+
+def test_hidden_elements_below_the_depth_limit():
+    for depth in (0, 150, 199, 200, 201, 300, 5000):
+        page = "<div>" * depth + "<div hidden>no<div>no</div>no</div><p style='display:none'>no</p><script>no</script>yes<table><tr><td>a<td>b</table>" + "</div>" * depth + "end"
+        assert html.to_text(page).split() == ["yes", "a", "b", "end"], depth
+    assert html.to_text("<div hidden>" + "<div>" * 400 + "</div>" * 400 + "no</div>yes") == "yes"
+    assert html.to_text("<div>" * 60_000 + "x" + "</div>" * 60_000) == "x"
+
+
 def test_extract_query(spark):
     got = queries.op3_html_extraction(spark, SF_SMALL)
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/pages.parquet").count()

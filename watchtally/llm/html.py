@@ -4,13 +4,18 @@ A small tree builder (implied and optional end tags, void and raw-text elements)
 and a renderer that emits all visible text: blocks on lines of their own with
 blank lines around paragraphs and headings, list items with markers and
 indentation, table cells in aligned columns, preformatted text as it is.
-Hidden are script, style, template, head parts but the title, elements with
-``hidden``, ``aria-hidden="true"``, ``display:none`` or ``visibility:hidden`` and hidden
-inputs; comments and declarations. Nothing else is judged or dropped.
+Hidden are script, style, template, datalist, iframe, noembed and noframes, head parts
+but the title, elements with ``hidden``, ``aria-hidden="true"``, ``display:none`` or
+``visibility:hidden``, closed dialogs and hidden inputs; in svg and math the elements of
+``FOREIGN_HIDDEN`` (descriptions, definitions, annotations); comments and declarations.
+Nothing else is judged or dropped: formulas, labels of drawings and the fallback of
+object and noscript are text. Parts of a formula that stand above, below or beside each
+other get spaces between them; what ``use`` repeats of a drawing isn't looked up.
 
 Defined cases: null or empty html gives the empty text; unclosed and stray tags
-never fail; text outside a body counts; repeated rows are each rendered; nesting
-beyond ``MAX_DEPTH`` is flattened into its parent, keeping the text.
+never fail; text outside a body counts; repeated rows are each rendered; elements
+nested deeper than ``MAX_DEPTH`` keep their text, line ends and hidden parts, but get no
+list markers, indentation or columns.
 """
 
 from __future__ import annotations
@@ -27,7 +32,14 @@ MAX_DEPTH = 200
 # Element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-HIDDEN = frozenset("script style template noscript noembed noframes iframe svg math object datalist meta link base".split())
+HIDDEN = frozenset("script style template noembed noframes iframe datalist meta link base".split())
+# In svg and math: never shown; where HTML goes on; HTML elements that end an unclosed one; parts that don't run on.
+FOREIGN_HIDDEN = frozenset("title desc metadata defs symbol clippath mask pattern marker annotation annotation-xml mphantom".split())
+INTEGRATION = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small "
+    "span strong strike sub sup table tt u ul var".split())
+SPACED = frozenset("mfrac msup msub msubsup munder mover munderover mmultiscripts mroot mtr mlabeledtr".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = PARAGRAPH | frozenset(
     "html head body title address article aside main nav section header footer div form fieldset details summary dialog li dt dd figcaption "
@@ -54,13 +66,15 @@ SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "items")
+    __slots__ = ("tag", "attrs", "items", "foreign", "deep")
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.items = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str], foreign: bool = False, deep: bool = False):
+        self.tag, self.attrs, self.items, self.foreign, self.deep = tag, attrs, [], foreign, deep
 
     def hidden(self) -> bool:
         a = self.attrs
+        if self.foreign and (self.tag in FOREIGN_HIDDEN or a and (a.get("display", "").strip() == "none" or a.get("visibility", "").strip() in ("hidden", "collapse"))):
+            return True
         return self.tag in HIDDEN or bool(a) and ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(INVISIBLE.search(a.get("style", "")))
                                                   or self.tag == "input" and a.get("type", "").lower() == "hidden" or self.tag == "dialog" and "open" not in a)
 
@@ -69,17 +83,26 @@ def build(source: str) -> Node:
     """The element tree; end tags may be missing, stray or out of order."""
     root = Node("#root", {})
     stack, at, n = [root], 0, len(source)
+    places: dict[str, list[int]] = {}  # of the open elements of each tag
+
+    def place(tags) -> int:
+        """Of the last open element with one of the tags; 0 is none."""
+        return max([places[t][-1] for t in tags if places.get(t)], default=0)
+
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
+    def cut_at(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop().tag].pop()
 
     def close(tags, borders) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                last = i
-                while last > 1 and stack[last - 1].tag in tags:
-                    last -= 1
-                del stack[last:]
-                return
-            if stack[i].tag in borders:
-                return
+        last = place(tags)
+        if last and last >= place(borders):
+            while last > 1 and stack[last - 1].tag in tags:
+                last -= 1
+            cut_at(last)
 
     while at < n:
         m = TOKEN.search(source, at)
@@ -93,31 +116,34 @@ def build(source: str) -> Node:
             tag = m[1].lower()
             if tag == "br":
                 stack[-1].items.append(Node("br", {}))
-            elif tag == "p" and not any(x.tag == "p" for x in stack):
+            elif tag == "p" and not places.get("p"):
                 stack[-1].items.append(Node("p", {}))
             else:
                 borders = SCOPE - {tag} if tag not in ("table", "tr", "tbody", "thead", "tfoot", "html", "body") else frozenset(["table"]) - {tag}
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in borders:
-                        break
+                i = place((tag,))
+                if i and i > place(borders):
+                    cut_at(i)
         elif m[2] or m[4]:  # the second form has an unclosed quote
             tag, raw = (m[2] or m[4]).lower(), m[3] or m[5] or ""
-            if tag in CLOSES:
+            if tag in BREAKOUT:
+                while stack[-1].foreign and stack[-1].tag not in INTEGRATION:
+                    cut_at(len(stack) - 1)
+            foreign = tag in ("svg", "math") or stack[-1].foreign and stack[-1].tag not in INTEGRATION
+            if tag in CLOSES and not foreign:
                 close(*CLOSES[tag])
             if tag in P_CLOSERS:
                 close({"p"}, P_BORDERS)
             attrs = {a[0].lower(): _entities.unescape(a[1] or a[2] or a[3] or "") for a in ATTRIBUTE.findall(raw)} if raw and not raw.isspace() else {}
-            node = Node(tag, attrs)
+            node = Node(tag, attrs, foreign, len(stack) > MAX_DEPTH)
             stack[-1].items.append(node)
-            if tag in RAW:
+            if foreign and raw.endswith("/"):
+                continue
+            if tag in RAW and (not foreign or tag in ("script", "style")):
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)[^>]*>?", re.I).search(source, at)
                 node.items.append(source[at : end.start() if end else n])
                 at = end.end() if end else n
-            elif tag not in VOID and len(stack) < MAX_DEPTH and not (raw.endswith("/") and tag in ("svg", "math")):
-                stack.append(node)
+            elif foreign or tag not in VOID:
+                push(node)
     return root
 
 
@@ -257,7 +283,11 @@ def block(node: Node, page: Page, pre: bool) -> None:
     if node.hidden():
         return
     tag = node.tag
-    if tag == "br":
+    if node.deep:
+        flat(node, page, pre)
+    elif node.foreign:
+        drawn(node, page, pre)
+    elif tag == "br":
         page.end(True)
     elif tag == "hr":
         page.apart()
@@ -320,6 +350,51 @@ def block(node: Node, page: Page, pre: bool) -> None:
         emit(node, page, pre)
 
 
+def drawn(node: Node, page: Page, pre: bool) -> None:
+    """An element of svg or math: a label or matrix row is a line, parts of a formula that don't run on get spaces."""
+    if node.tag in ("text", "mtable", "mtr", "mlabeledtr", "foreignobject"):
+        page.end()
+    apart = node.tag in SPACED
+    if node.tag == "tspan" and node.attrs.keys() & {"x", "y", "dx", "dy"}:
+        page.text(" ")
+    for item in node.items:
+        if isinstance(item, Node):
+            if apart and not item.hidden():
+                page.text(" ")
+            block(item, page, pre)
+        else:
+            page.verbatim(item) if pre else page.text(item)
+    if apart:
+        page.text(" ")
+    if node.tag in ("text", "mtable", "mtr", "mlabeledtr", "foreignobject"):
+        page.end()
+
+
+def flat(node: Node, page: Page, pre: bool) -> None:
+    """Text and line ends of a visible element at any depth, without recursion."""
+    todo: list[tuple[Node | str | None, bool]] = [(node, pre)]
+    while todo:
+        x, pre = todo.pop()
+        if x is None:
+            page.end()
+        elif isinstance(x, str):
+            page.verbatim(x) if pre else page.text(x)
+        elif x.hidden():
+            continue
+        elif x.tag in ("br", "img", "input") and not x.foreign:
+            block(Node(x.tag, x.attrs), page, pre)
+        else:
+            if own_line := x.tag in (BLOCK if not x.foreign else ("text", "mtable", "mtr", "mlabeledtr", "foreignobject")):
+                page.end()
+                todo.append((None, pre))
+            inner = pre or x.tag in ("pre", "textarea")
+            spaced = not own_line and (x.tag in ("td", "th", "tspan") or x.foreign) or x.tag in SPACED
+            for item in reversed(x.items):
+                todo += [(" ", False), (item, inner), (" ", False)] if spaced and not isinstance(item, str) else [(item, inner)]
+            if x.tag in ("td", "th"):
+                todo.append((" ", False))
+
+
 def emit(node: Node, page: Page, pre: bool) -> None:
     for item in node.items:
         if isinstance(item, Node):

@@ -58,6 +58,34 @@ def test_repeats_of_periodic_texts(spark):
     check_repeats(spark, rows, shard_bytes=300)
 
 
+def test_repeats_of_hot_keys(spark, monkeypatch):
+    """A phrase shorter than the span in ever different surroundings fills no bucket; repeated strings around it are found."""
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    phrase, ends = letters(45), [letters(30) for _ in range(40)]
+    rows = [(i, letters(60) + phrase + (rng.choice(ends) if i % 3 == 0 else "") + letters(60)) for i in range(1500)]
+    rows += [(None, rows[7][1]), (2000, "x" + rows[9][1]), (2001, (phrase + ends[0]) * 3)]
+    rng.shuffle(rows)
+    grouped = type(spark.range(1).groupBy("id"))
+    plain = grouped.applyInArrow
+
+    def limited(self, f, schema):
+        if f.__name__ != "merge":
+            return plain(self, f, schema)
+
+        def merge(part):
+            assert sum(map(len, part.column("data").to_pylist())) < 60_000
+            return f(part)
+
+        return plain(self, merge, schema)
+
+    monkeypatch.setattr(grouped, "applyInArrow", limited)
+    got = check_repeats(spark, rows, shard_bytes=5_000, hot=100)
+    assert sum(r.n_removed > 0 for r in got) > 400
+    monkeypatch.undo()
+    check_repeats(spark, near_copies(), shard_bytes=3_000, hot=3)
+
+
 def test_repeats_extra_columns_and_empty(spark, edge_docs, empty_docs):
     assert repeats.remove_repeats(edge_docs).count() == edge_docs.count()
     assert repeats.remove_repeats(empty_docs).count() == 0

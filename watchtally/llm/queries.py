@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, jaccard, packing, quality, repeats, secrets, tokenfile, toxicity, warc
+from . import decontaminate, html, jaccard, packing, quality, repeats, secrets, sentencepieces, tokenfile, toxicity, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -84,8 +84,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_arrow(found, digest, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    coded = sentencepieces.decode(sentencepieces.encode(read_table(spark, sf_dir, "documents"), model), model)
+    decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"), "agrees")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans)}
+    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans, op13_sentencepiece)}
 
 def _shingles(table: str, key: str) -> str:
     """SQL for the distinct shingles of a table, as in operator 5."""

@@ -74,6 +74,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, jaccard, packing, quality, repeats, secrets, sentencepieces, tokenfile, toxicity, warc
+from . import collocations, decontaminate, html, jaccard, packing, quality, repeats, secrets, sentencepieces, tokenfile, toxicity, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -84,6 +84,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_arrow(found, digest, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     coded = sentencepieces.decode(sentencepieces.encode(read_table(spark, sf_dir, "documents"), model), model)
@@ -92,12 +96,14 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans, op13_sentencepiece)}
+    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans, op11_collocations, op13_sentencepiece)}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def _shingles(table: str, key: str) -> str:
     """SQL for the distinct shingles of a table, as in operator 5."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+')"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+')"
     return f"""
         SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
                                            WHEN len(w) > 0 THEN [concat('<', array_to_string(w, ' '))] ELSE [] END) AS s
@@ -121,4 +127,22 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN smallest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN smallest <> page_id THEN smallest END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    "op11_collocations": f"""
+        WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+                   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, cast(count(*) AS BIGINT) AS f
+              FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (SELECT unnest([1, 2, 3]) AS k)
+              WHERE i + k - 1 <= len(w) GROUP BY ALL),
+        n AS (SELECT lang, cast(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 10),
+        inside AS (SELECT DISTINCT c.lang, c.phrase
+                   FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3) AS o
+                   JOIN c ON c.lang = o.lang AND c.phrase = o.part WHERE 100 * o.a >= 50 * c.a),
+        s AS (SELECT o.lang, o.phrase, o.a, o.cut, x.f AS l, y.f AS r, cast((1000000::HUGEINT * o.a * o.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+              FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS o
+              JOIN g AS x ON x.lang = o.lang AND x.phrase = array_to_string(o.w[1:o.cut], ' ')
+              JOIN g AS y ON y.lang = o.lang AND y.phrase = array_to_string(o.w[o.cut + 1:], ' ')),
+        b AS (SELECT * FROM s ANTI JOIN inside USING (lang, phrase) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM b JOIN n USING (lang) QUALIFY rank <= 2000""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, html, jaccard, packing, quality, repeats, secrets, sentencepieces, tokenfile, toxicity, warc
+from . import collocations, decontaminate, html, jaccard, packing, quality, repeats, secrets, sentencepieces, tokenfile, toxicity, vectorcodes, warc
 from .common import map_arrow, read_table
 
 END_ID = 2
@@ -88,6 +88,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(read_table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(read_table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     coded = sentencepieces.decode(sentencepieces.encode(read_table(spark, sf_dir, "documents"), model), model)
@@ -96,7 +100,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans, op11_collocations, op13_sentencepiece)}
+    op1_suffix_array_dedup, op2_best_fit_packing, op3_html_extraction, op4_toxicity, op5_decontamination, op6_jaccard_join, op7_quality_rules, op8_warc, op9_token_ids, op10_secret_scans, op11_collocations, op12_vector_codes, op13_sentencepiece)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -110,6 +114,29 @@ def _shingles(table: str, key: str) -> str:
         FROM (SELECT {key}, {words} AS w FROM {table})"""
 
 
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """SQL for operator 12: every distance of every part, round by round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS (SELECT p.vec_id, p.part, min(list_sum(list_transform(list_zip(p.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * {entries} + e.entry) AS m
+                 FROM p JOIN e{i} AS e USING (part) GROUP BY ALL)""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} AS (SELECT part, entry, i, sum(v)::HUGEINT AS s, count(*) AS c
+                 FROM (SELECT a{i}.part, m % {entries} AS entry, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS v FROM a{i} JOIN p USING (vec_id, part)) GROUP BY ALL),
+        m{i} AS (SELECT part, entry, list(cast((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY i) AS x FROM s{i} GROUP BY ALL),
+        e{i + 1} AS (SELECT e.part, e.entry, coalesce(m{i}.x, e.x) AS x FROM e{i} AS e LEFT JOIN m{i} USING (part, entry))""")
+    return f"""
+        WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * x::DOUBLE) AS BIGINT)) AS q FROM embeddings
+                   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT vec_id, part, q[part * len(q) // {parts} + 1:(part + 1) * len(q) // {parts}] AS x FROM v, range({parts}) AS t(part)),
+        e0 AS (SELECT part, r - 1 AS entry, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM v QUALIFY r <= {entries}) USING (vec_id)),{",".join(steps)},
+        c AS (SELECT vec_id, string_agg(printf('%02x', m % {entries}), '' ORDER BY part) AS code, cast(sum(m // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+        h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e{rounds})
+        SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c JOIN v USING (vec_id), h"""
+
+
 #: DuckDB SQL where SQL can express a whole result. The other operators' results depend on
 #: tokenizers, fitted models, layout, added rules or components and are tested against plain versions.
 ORACLE_SQL: dict[str, str] = {
@@ -127,6 +154,7 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN smallest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN smallest <> page_id THEN smallest END AS refers_to
         FROM p LEFT JOIN g USING (payload_digest)""",
+    "op12_vector_codes": _codes(),
     "op11_collocations": f"""
         WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
                    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),

@@ -106,10 +106,29 @@ def test_getters(spark):
 def test_topic_records(spark):
     """Coerced like the log lines; strict fails on what is no object, lenient leaves it aside."""
     import pytest
-    from watchtally.sources.logs import bad_dwd, parse_dwd
+    from watchtally.sources.logs import bad_dwd, parse_dwd, parse_topic
     df = spark.createDataFrame([('{"ts":"12","level":"1","userCode":7}',), ("not json",), ("[1]",)], "value string")
     rows = parse_dwd(df, strict=False).collect()
     assert [(r.ts, r.level, r.userCode, r.video_length) for r in rows] == [(12, 1, "7", None)]
-    assert bad_dwd(df).count() == 2
+    assert bad_dwd(parse_topic(df)).count() == 2
     with pytest.raises(Exception, match="not a topic record"):
         parse_dwd(df).collect()
+
+
+BAD_RECORDS = ['{"userCode":"u1"}{"userCode":"u2"}', '{"userCode":"u1"} {"userCode":"u2"}', '{"userCode":"u1"},{"userCode":"u2"}',
+               '{"userCode":"u1"} tail', '{"userCode":"u1"}] x', '{"userCode":"u1"}, 1', '["u"]', '"u"', "7", "null", "", "  ", "{", '{"userCode":"u1"']
+
+
+def test_topic_lines_are_one_record_each(spark):
+    """Two records on a line, text behind one and other values are rejects, whole; nothing is lost or half read."""
+    import pytest
+    from watchtally.sources.logs import bad_dwd, good_dwd, parse_dwd, parse_topic
+    good = ['{"userCode":"a","ts":1}', ' {"userCode":"b"} ', "{}", '{"userCode":"x","userCode":"c"}', '{"userCode":"]","ts":"3"}']
+    parsed = parse_topic(spark.createDataFrame([(x,) for x in good + BAD_RECORDS], "value string"))
+    assert [r.userCode for r in good_dwd(parsed).collect()] == ["a", "b", None, "c", "]"]
+    assert sorted(r.value for r in bad_dwd(parsed).collect()) == sorted(BAD_RECORDS)
+    for line in BAD_RECORDS:
+        with pytest.raises(Exception, match="not a topic record"):
+            parse_dwd(spark.createDataFrame([(line,)], "value string")).collect()
+        with pytest.raises(Exception, match="not a topic record"):
+            parse_dwd(spark.createDataFrame([(line,)], "value string")).count()

@@ -11,6 +11,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Stands behind a line's text while it is parsed: what follows the first value shows
+# up between the two, or keeps it from being read.
+_END = "end of line"
+
+
+def parse_alone(text) -> Column:
+    """The VARIANT of a line, wrapped so that :func:`the_object` can tell whether it
+    holds one JSON object and nothing else (text behind a value is no parse error)."""
+    return F.try_parse_json(F.concat(F.lit("["), _v(text), F.lit(f', "{_END}"]')))
+
+
+def the_object(parsed) -> Column:
+    """The object of a line parsed by :func:`parse_alone`; null when the line is not
+    exactly one object (no JSON, several values, text behind it, another kind of value)."""
+    p = _v(parsed)
+    alone = ((F.try_variant_get(p, "$[1]", "string") == F.lit(_END))
+             & F.try_variant_get(p, "$[2]", "variant").isNull()
+             & F.try_variant_get(p, "$[0]", "map<string,variant>").isNotNull())
+    return F.when(alone, F.try_variant_get(p, "$[0]", "variant"))
+
+
 def _v(j) -> Column:
     return F.col(j) if isinstance(j, str) else j
 

@@ -75,6 +75,36 @@ def test_broadcast_bound_falls_back_to_shuffle_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_broadcast_bound_counts_bytes(spark):
+    """A side of few but wide rows is not broadcast; what a side is reduced from is measured instead of it."""
+    from watchtally.operators.broadcast import bounded_broadcast, measure
+    wide = spark.createDataFrame([(k, "x" * 1000, [b"y" * 500]) for k in range(50)], "id long, text string, more array<binary>")
+    rows, size = measure(wide)
+    assert rows == 50 and 50 * 1500 < size < 50 * 2500
+    hint = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "Hint broadcast" in hint(bounded_broadcast(wide, max_bytes=1 << 20))
+    assert "Hint merge" in hint(bounded_broadcast(wide, max_bytes=50_000))
+    assert "Hint merge" in hint(bounded_broadcast(wide.limit(1), max_bytes=50_000, source=wide))
+    assert measure(spark.createDataFrame([], "id long, text string")) == (0, 0)
+
+
+def test_a_side_is_measured_once_in_a_while(spark):
+    from watchtally.operators import broadcast
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(f):
+        spark.sparkContext.setJobGroup("measure", "")
+        before = len(tracker.getJobIdsForGroup("measure"))
+        f()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup("measure")) - before
+
+    one, other = Inputs.from_fixtures(spark, SF_SMALL), Inputs.from_fixtures(spark, SF_SMALL)
+    broadcast._measured.clear()
+    first = jobs(lambda: P.completion_once(one))
+    assert jobs(lambda: P.completion_once(other)) == 0 < first
+
+
 def test_column_pruning_reaches_scan(spark):
     i = Inputs.from_fixtures(spark, SF_SMALL)
     p = formatted(P.session_metrics(i))

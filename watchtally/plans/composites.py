@@ -54,8 +54,9 @@ def dwd_video_wide(i: Inputs, carry: bool = True) -> DataFrame:
 
 def _late(raw: DataFrame, dim: DataFrame, key: str, dim_key: str, value: str) -> DataFrame:
     """Join a dimension to sessions as if it had been joined to their events."""
+    dim = dim.select(dim_key, value)
     one = bounded_broadcast(dim.groupBy(dim_key).agg(F.min(value).alias(value),
-                                                     F.count(F.lit(1)).alias("_times")))
+                                                     F.count(F.lit(1)).alias("_times")), source=dim)
     return (raw.join(one, raw[key] == one[dim_key], "inner")
                .withColumn("n", F.col("n") * F.col("_times")).drop(dim_key, "_times"))
 

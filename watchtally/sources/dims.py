@@ -69,7 +69,10 @@ class DimensionCache:
     def get(self) -> DataFrame:
         now = self._clock()
         if self._df is None or now - self._loaded_at >= self._ttl:
-            old = self._df
+            if self._df is not None:
+                # before the new one is kept: Spark takes a second read of the same path for
+                # the cached table, and would go on with its rows
+                self._df.unpersist()
             df = self._loader()
             if self._partition_by:
                 # hash-partitioned once per load: a shuffle join against it then
@@ -78,6 +81,4 @@ class DimensionCache:
             self._df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._loaded_at = now
             self.loads += 1
-            if old is not None:
-                old.unpersist()
         return self._df

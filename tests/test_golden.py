@@ -77,16 +77,12 @@ def test_null_thresholds_quarantined(spark):
     assert q.count() == 8                              # 4 sessions x 2 bad tasks
 
 
-def test_replay_and_upsert_writer(spark, tmpdir_run):
+def test_replay_and_upsert(spark, tmpdir_run):
     src = f"{tmpdir_run}/sample.json"
     with open(src, "w") as f:
         f.write("\n".join(golden.lines()) + "\n")
     sinks.replay_lines(spark, src, "text", f"{tmpdir_run}/topic")
     assert spark.read.text(f"{tmpdir_run}/topic").count() == 11
-    got = {}
-    writer = sinks.upsert_batch_writer(["userCode", "videoId"], "s0",
-                                       lambda df, e: got.update({e: df.collect()}))
-    writer(P.session_metrics(golden.inputs(spark)), 7)
-    rows = {r.key: r.value for r in got[7]}
+    rows = {r.key: r.value for r in sinks.upsert_latest(P.session_metrics(golden.inputs(spark)), ["userCode", "videoId"], "s0").collect()}
     assert len(rows) == 3
     assert f'"s0":{golden.T + 300_000}' in rows['{"userCode":"kim","videoId":"beta"}']   # the later session

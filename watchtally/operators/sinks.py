@@ -38,13 +38,22 @@ def upsert_latest(df: DataFrame, key_cols: list[str], order_col: str) -> DataFra
                     F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def upsert_batch_writer(key_cols: list[str], order_col: str, write):
-    """S6 for streams: ``foreachBatch`` body that publishes the latest row per key
-    of each micro-batch as (key JSON, value JSON) through ``write(df, epoch_id)``.
-    An upsert sink (compacted topic, MERGE target) keeps the last value per key."""
+def upsert_stream(df: DataFrame, key_cols: list[str], order_col: str, checkpoint: str, write,
+                  trigger: dict | None = None, query_name: str | None = None):
+    """S6 for streams: publish (key JSON, value JSON) through ``write(df, epoch_id)``, in order.
+
+    The latest row of every key is the state of the aggregation, so it spans micro-batches:
+    a key that gets an older row later is published again with the newest one, and
+    an upsert sink (compacted topic, MERGE target), which keeps the last value
+    of a key, is left unchanged by it. A retried micro-batch publishes the same rows.
+    """
     def run(batch: DataFrame, epoch_id: int) -> None:
-        write(upsert_latest(batch, key_cols, order_col), epoch_id)
-    return run
+        write(batch, epoch_id)
+    w = (upsert_latest(df, key_cols, order_col).writeStream.foreachBatch(run)
+         .outputMode("update").option("checkpointLocation", checkpoint))
+    if trigger:
+        w = w.trigger(**trigger)
+    return (w.queryName(query_name) if query_name else w).start()
 
 
 def write_batch(df: DataFrame, fmt: str, path: str | None = None,

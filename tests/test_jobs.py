@@ -43,8 +43,6 @@ def test_job1_then_job2_end_to_end(spark):
         "session_quarantine_sink": {"format": "json", "path": f"{base}/bad_sessions"},
         "threshold_quarantine_sink": {"format": "json", "path": f"{base}/bad_matches"}})
     q2.awaitTermination(300)
-    for q in spark.streams.active:     # the labelled "sessions>>>>" console copy
-        q.awaitTermination(300)
     got = sorted(json.loads(r.value)["taskCode"] + "@" + json.loads(r.value)["videoId"]
                  for r in spark.read.json(f"{base}/result").collect())
     # both epochs' topic files arrive as one batch here: every session but the last
@@ -151,22 +149,114 @@ def test_restart_with_default_checkpoint(spark):
     assert got == ["u1", "u2"]
 
 
-def test_new_task_is_seen_after_a_refresh(spark):
-    """A task added while the job runs counts from the next start of its query."""
+def test_new_task_is_seen_without_a_restart(spark):
+    """A task added while the job runs counts within the TTL, in the same queries; the job's name has blanks."""
+    import time
     base = shared_dir(spark, "t_refresh")
     root = local(base)
     _, _, rule, task = golden.dims(spark)
     rule.write.parquet(f"{base}/dims/rule")
     task.where("code = 'half'").write.parquet(f"{base}/dims/task")
-    cfg = _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1])
+    cfg = _job2_cfg(root, name="my job " + base.rsplit("-", 1)[-1], trigger={"processingTime": "1 second"}, dim_ttl_seconds=1)
     put_file(f"{root}/topic", "a.json", [_event("u1", "alpha", 4 * k) for k in range(5)] + [_event("u1", "z", 100)])
-    jobs.run_job2(spark, cfg)
-    assert spark.read.schema("value string").json(f"{base}/result").count() == 0
-    task.where("code = 'long'").write.mode("append").parquet(f"{base}/dims/task")
-    put_file(f"{root}/topic", "b.json", [_event("u2", "alpha", 120 + 4 * k) for k in range(5)] + [_event("u2", "z", 300)])
-    jobs.run_job2(spark, cfg)
-    rows = [json.loads(r.value) for r in spark.read.json(f"{base}/result").collect()]
-    assert [(r["userCode"], r["taskCode"], r["videoId"]) for r in rows] == [("u2", "long", "alpha")]
+    job = jobs.start_job2(spark, cfg)
+    ids = [q.id for q in job.queries]
+
+    def matched(user):
+        for _ in range(120):
+            assert not job.awaitTermination(1)
+            rows = spark.read.schema("value string").option("recursiveFileLookup", "true").text(f"{job_topic}")
+            if rows.where(f"value like '%{user}%alpha%'").count():
+                return
+        raise AssertionError("not matched")
+
+    from watchtally.session import job_folder
+    job_topic = job_folder(spark, cfg["name"]) + "/checkpoint-matched"
+    try:
+        matched("u1")
+        task.where("code = 'long'").write.mode("append").parquet(f"{base}/dims/task")
+        time.sleep(1.5)
+        put_file(f"{root}/topic", "b.json", [_event("u2", "alpha", 120 + 4 * k) for k in range(5)] + [_event("u2", "z", 300)])
+        matched("u2")
+        for _ in range(120):
+            assert not job.awaitTermination(1)
+            rows = spark.read.schema("value string").json(f"{base}/result").collect()
+            if rows:
+                break
+        assert [q.id for q in job.queries] == ids and job.isActive
+    finally:
+        job.stop()
+    got = [json.loads(r.value) for r in rows]
+    assert [(r["userCode"], r["taskCode"], r["videoId"]) for r in got] == [("u2", "long", "alpha")]
+
+
+def test_a_failing_query_ends_the_job(spark):
+    """No query of a job dies unnoticed: its error is raised and the others are stopped."""
+    import pytest
+    base = shared_dir(spark, "t_fail")
+    root = local(base)
+    _, _, rule, task = golden.dims(spark)
+    rule.write.parquet(f"{base}/dims/rule")
+    task.write.parquet(f"{base}/dims/task")
+    put_file(f"{root}/topic", "a.json", [_event("u1", "alpha", 0), "not a record"])
+    with pytest.raises(Exception, match="not a topic record"):
+        jobs.start_job2(spark, _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1])).awaitTermination(300)
+    job = jobs.start_job2(spark, _job2_cfg(root, name="job2b-" + base.rsplit("-", 1)[-1], trigger={"processingTime": "1 second"}))
+    with pytest.raises(Exception, match="not a topic record"):
+        job.awaitTermination(300)
+    assert not job.isActive
+    with pytest.raises(ValueError):
+        jobs.start_job2(spark, _job2_cfg(root, print=["everything"]))
+
+
+def test_reject_sink(spark):
+    """With a reject sink bad topic lines go there, whole, and the records count."""
+    base = shared_dir(spark, "t_reject")
+    root = local(base)
+    _, _, rule, task = golden.dims(spark)
+    rule.write.parquet(f"{base}/dims/rule")
+    task.write.parquet(f"{base}/dims/task")
+    bad = ["not a record", _event("u9", "alpha", 0) + _event("u9", "alpha", 4), "[1]"]
+    put_file(f"{root}/topic", "a.json", [_event("u1", "alpha", 4 * k) for k in range(5)] + bad + [_event("u1", "z", 500)])
+    jobs.start_job2(spark, _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1],
+                                     reject_sink={"format": "text", "path": f"{base}/rejects"})).awaitTermination(300)
+    assert sorted(r.value for r in spark.read.text(f"{base}/rejects").collect()) == sorted(bad)
+    got = [json.loads(r.value) for r in spark.read.json(f"{base}/result").collect()]
+    assert {(r["userCode"], r["videoId"]) for r in got} == {("u1", "alpha")}
+
+
+def test_retried_epoch_leaves_its_matched_sessions(spark, tmpdir_run):
+    """The files of an epoch that the completion query may have planned are not replaced."""
+    write = jobs._matched_writer({"format": "text", "path": f"{tmpdir_run}/matched"})
+    df = spark.createDataFrame([("u", "v", 1)], "userCode string, videoId string, s0 long")
+    write(df, 0)
+    files = lambda: [r.path for r in spark.read.format("binaryFile").load(f"{tmpdir_run}/matched/epoch=0").select("path").collect()]
+    before = files()
+    write(df, 0)
+    write(df, 1)
+    assert files() == before and spark.read.text(f"{tmpdir_run}/matched").count() == 2
+
+
+def test_job2_with_idle_close(spark):
+    """T6 in job 2: nobody sends later events, and the session's result still comes."""
+    base = shared_dir(spark, "t_job2_idle")
+    root = local(base)
+    _, _, rule, task = golden.dims(spark)
+    rule.write.parquet(f"{base}/dims/rule")
+    task.write.parquet(f"{base}/dims/task")
+    put_file(f"{root}/topic", "a.json", [_event("u1", "alpha", 4 * k) for k in range(5)])
+    cfg = _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1], trigger={"processingTime": "1 second"}, idle_delay_ms=2000)
+    job = jobs.start_job2(spark, cfg)
+    rows = []
+    try:
+        for _ in range(120):
+            assert not job.awaitTermination(1)
+            rows = spark.read.schema("value string").json(f"{base}/result").collect()
+            if rows:
+                break
+    finally:
+        job.stop()
+    assert [json.loads(r.value)["taskCode"] for r in rows] == ["long"]
 
 
 def test_quarantine_sinks(spark):
@@ -181,9 +271,7 @@ def test_quarantine_sinks(spark):
     sink = lambda k: {"format": "json", "path": f"{base}/{k}"}
     q = jobs.start_job2(spark, _job2_cfg(root, name="job2-" + base.rsplit("-", 1)[-1],
                                          session_quarantine_sink=sink("sessions"), threshold_quarantine_sink=sink("matches")))
-    q.awaitTermination(300)
-    for other in spark.streams.active:
-        other.awaitTermination(300)
+    assert q.awaitTermination(300) and len(q.queries) == 2     # one session state for all outputs
     assert sorted(r.videoId for r in spark.read.json(f"{base}/sessions").collect()) == ["flat", "none"]
     assert [(r.videoId, r.taskCode) for r in spark.read.json(f"{base}/matches").collect()] == [("alpha", "bad")]
 

@@ -178,6 +178,111 @@ def test_idle_flush_across_micro_batches(spark):
     assert sorted((r.n, r.t0) for r in out.collect()) == [(1, 40_000), (3, 0)]
 
 
+def _wait(spark, q, table, n, seconds=90):
+    end = time.time() + seconds
+    while time.time() < end and spark.table(table).count() < n:
+        if q.exception():
+            raise q.exception()
+        time.sleep(0.5)
+    return sorted((r.userCode, r.n, r.t0, r.closed_by) for r in spark.table(table).collect())
+
+
+def test_idle_flush_with_both_legs(spark):
+    """Another user's progress closes a session, and so does idleness; rows behind the watermark are late."""
+    base = shared_dir(spark, "t_legs")
+    topic = local(base) + "/topic"
+
+    def put(name, *events):
+        put_file(topic, name, [json.dumps({"deviceId": "d", "userCode": u, "eventCode": "002", "resourceId": "v", "level": 1,
+                                           "video_length": 1000, "ts": ts}) for u, ts in events])
+
+    def start(delay_ms, table):
+        src = read_dwd(spark, "text", topic, stream=True, options={"maxFilesPerTrigger": "1"})
+        return (idle_flush_sessions(src, 11_000, delay_ms, "0 seconds", 500).writeStream.format("memory").queryName(table)
+                .outputMode("append").option("checkpointLocation", f"{base}/{table}").trigger(processingTime="1 second").start())
+
+    put("a.json", ("u", 5000), ("u", 0))
+    q = start(600_000, "legs_t")                           # ten minutes: only the watermark closes
+    try:
+        put("b.json", ("other", 100_000))
+        assert _wait(spark, q, "legs_t", 1) == [("u", 2, 0, "watermark")]
+        put("c.json", ("u", 15_000), ("u", 50_000), ("u", 95_000), ("other", 120_000))
+        put("d.json", ("third", 900_000))
+        assert _wait(spark, q, "legs_t", 4) == [("other", 1, 100_000, "gap"), ("other", 1, 120_000, "watermark"),
+                                                ("u", 1, 95_000, "watermark"), ("u", 2, 0, "watermark")]
+    finally:
+        q.stop()
+    q = start(2000, "legs_idle_t")                         # two seconds: the last session is idle
+    try:
+        rows = _wait(spark, q, "legs_idle_t", 5)
+        assert ("third", 1, 900_000, "idle") in rows and sum(n for _, n, _, _ in rows) == 6
+    finally:
+        q.stop()
+
+
+def test_time_slices(spark):
+    """A replay is many files in time order, in whatever order they are listed; a slice is one micro-batch."""
+    from watchtally.streaming.runner import write_time_slices
+    base = shared_dir(spark, "t_slices")
+    rows = spark.range(4000).selectExpr("cast(pmod(id * 7919, 4000) as bigint) AS ts", "'u' AS userCode")
+    per_slice = write_time_slices(rows, f"{base}/topic", 3)
+    assert per_slice == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    files = [f for f in os.listdir(local(base) + "/topic") if f.startswith("part-")]
+    assert len(files) == 3 * per_slice
+    stamped = sorted(files, key=lambda f: os.path.getmtime(f"{local(base)}/topic/{f}"))
+    times = [[json.loads(x)["ts"] for x in open(f"{local(base)}/topic/{f}")] for f in stamped]
+    assert [t for file in times for t in file] == list(range(4000)) and all(times)
+    src = read_dwd(spark, "text", f"{base}/topic", stream=True, options={"maxFilesPerTrigger": str(per_slice)})
+    q = run(src.select("ts"), base + "/q")
+    got = [p.numInputRows for p in q.recentProgress if p.numInputRows]
+    assert len(got) == 3 and sum(got) == 4000
+    write_time_slices(rows.where("false"), f"{base}/none", 3)
+    assert spark.read.text(f"{base}/none").count() == 0
+
+
+def test_upsert_stream_respects_order(spark):
+    """An older row in a later micro-batch leaves the sink at the newest one."""
+    base = shared_dir(spark, "t_upsert")
+    topic = local(base) + "/topic"
+    for k, rows in enumerate(([("a", 10, "new"), ("b", 1, "b1")], [("a", 5, "old")], [("b", 2, "b2"), ("a", 7, "old2")], [("a", 11, "newest")])):
+        put_file(topic, f"{k}.json", [json.dumps({"id": i, "at": at, "text": t}) for i, at, t in rows])
+    src = spark.readStream.schema("id string, at bigint, text string").option("maxFilesPerTrigger", 1).json(topic)
+    kept, seen = {}, []
+
+    def publish(df, epoch):
+        for r in df.collect():
+            kept[r.key] = json.loads(r.value)["text"]
+        seen.append((epoch, dict(kept)))
+
+    def go():
+        sinks.upsert_stream(src, ["id"], "at", f"{base}/ckpt", publish, {"availableNow": True}).awaitTermination(300)
+
+    go()
+    by_epoch = dict(seen)
+    assert by_epoch[0] == {'{"id":"a"}': "new", '{"id":"b"}': "b1"} and by_epoch[1]['{"id":"a"}'] == "new"
+    assert by_epoch[2] == {'{"id":"a"}': "new", '{"id":"b"}': "b2"} and kept['{"id":"a"}'] == "newest"
+    put_file(topic, "9.json", [json.dumps({"id": "a", "at": 8, "text": "older"})])     # after a restart
+    go()
+    assert kept == {'{"id":"a"}': "newest", '{"id":"b"}': "b2"}
+
+
+def test_repeated_delivery_is_counted_once(spark):
+    """T7 behind a topic: sessions that come again after a failure change nothing."""
+    from watchtally.streaming.completion import apply_completion
+    from watchtally.streaming.flows import MATCHED_SCHEMA
+    base = shared_dir(spark, "t_again")
+    topic = local(base) + "/topic"
+    tasks = [{"taskCode": c, "ruleCode": "r", "ruleLength": need, "rulePercent": 0.1} for c, need in (("t20", 20_000), ("t30", 30_000), ("t5", 5000))]
+    session = lambda s0: json.dumps({"userCode": "u", "videoId": "v", "level": 1, "videoLength": 10_000, "videoPercent": 0.5, "s0": s0,
+                                     "tasks": tasks + [{"taskCode": "bad", "ruleCode": "r", "rulePercent": 0.1}]})
+    for k, starts in enumerate(([0], [0], [100, 0], [100])):
+        put_file(topic, f"{k}.json", [session(s) for s in starts])
+    src = spark.readStream.schema(MATCHED_SCHEMA).option("maxFilesPerTrigger", 1).json(topic)
+    run(apply_completion(src), base)
+    got = sorted((r.taskCode, r.s0) for r in spark.read.parquet(f"{base}/out").collect())
+    assert got == [("t20", 100), ("t5", 0)]                # 20 s of two sessions, never 30
+
+
 def test_sessions_fold_like_brute_force():
     import random
     rng = random.Random(1)

@@ -11,7 +11,8 @@ endpoint or credential is built in. Checkpoints default to a folder under
 continues where it stopped.
 
 job1:   raw log lines -> dirty lines sink + enriched video topic (dwd_video_info)
-job2:   dwd topic -> sessions -> rules -> emit-once completion results (JSON)
+job2:   dwd topic -> sessions -> rules -> emit-once completion results (JSON), with
+        quarantine, reject and print outputs
 tail:   print (or keep) every line of a topic
 replay: a line file -> a topic or any sink, as one batch job (no pacing)
 """
@@ -20,19 +21,24 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from watchtally.operators.completion import MEASURES
+from watchtally.operators.rules import level_tasks
 from watchtally.operators.sessions import REFERENCE_GAP_MS
-from watchtally.operators.rules import rule_match
 from watchtally.operators.sinks import replay_lines, result_json, to_json_value, write_stream
 from watchtally.session import apply_defaults, build_spark, job_folder
 from watchtally.sources.dims import DEFAULT_TTL_SECONDS, DimensionCache, read_dim
-from watchtally.sources.logs import read_dwd, read_lines
+from watchtally.sources.logs import bad_dwd, good_dwd, parse_topic, read_lines
+from watchtally.streaming.completion import apply_completion
 from watchtally.streaming.flows import (
-    completion_stream, job1_batch_writer, quarantine_streams, session_stream,
+    JOB2_LABELS, closed_sessions, job1_batch_writer, job2_batch_writer, matched_topic,
 )
-from watchtally.streaming.state import print_stream, tail_topic
+from watchtally.streaming.state import print_rows, tail_topic
 
 
 def _dim(spark: SparkSession, name: str, spec: dict) -> DataFrame:
@@ -79,42 +85,141 @@ def start_job1(spark: SparkSession, cfg: dict):
                  .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job1")).start())
 
 
-def start_job2(spark: SparkSession, cfg: dict):
-    """Job 2 as one streaming query: sessions -> rules -> keyed emit-once state."""
-    src = cfg["source"]
-    dwd = read_dwd(spark, src["format"], src.get("path"), src.get("options"), stream=True,
-                   strict=cfg.get("strict", True))
-    rule = _dim(spark, "credit_rule_config", cfg["credit_rule_config"])
-    task = _dim(spark, "credit_task", cfg["credit_task"])
-    gap = cfg.get("gap_ms", REFERENCE_GAP_MS)
-    delay = cfg.get("watermark_delay", "0 seconds")
-    done = completion_stream(dwd, rule, task, gap, delay, cfg.get("measure", "video_length"),
-                             cfg.get("state_ttl_ms"))
-    sink = cfg["result_sink"]
-    ckpt = _checkpoint(spark, cfg, "job2")
-    # Stages printed under their label, each its own query, every row whole
-    stages = {"sessions": lambda: session_stream(dwd, gap, delay),
-              "rule_match": lambda: rule_match(session_stream(dwd, gap, delay), rule, task),
-              "result": lambda: result_json(done)}
-    unknown = set(cfg.get("print", ())) - set(stages)
+class Queries:
+    """Handle of a job of several queries: when one fails, the others are stopped and
+    its error is raised."""
+
+    def __init__(self, *queries):
+        self.queries = list(queries)
+
+    @property
+    def isActive(self) -> bool:
+        return any(q.isActive for q in self.queries)
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:
+        end = None if timeout is None else time.monotonic() + timeout
+        while True:
+            failed = next((q for q in self.queries if q.exception()), None)
+            if failed is not None:
+                self.stop()
+                raise failed.exception()
+            running = [q for q in self.queries if q.isActive]
+            if not running:
+                return True
+            left = 1.0 if end is None else min(1.0, end - time.monotonic())
+            if left <= 0:
+                return False
+            try:
+                running[0].awaitTermination(left)
+            except Exception:
+                self.stop()
+                raise
+
+
+def start_job2(spark: SparkSession, cfg: dict) -> Queries:
+    """Job 2: sessions -> rules as of now -> topic of matched sessions -> emit-once state.
+
+    Rules and tasks are re-read once they are ``dim_ttl_seconds`` old (J6/J7), between
+    micro-batches and without a restart. ``reject_sink`` keeps the topic lines that are no
+    record; without it such a line fails the job, unless ``strict`` is false.
+    ``idle_delay_ms`` also closes sessions by the wall clock (T6).
+    """
+    src, name, ckpt = cfg["source"], cfg.get("name", "job2"), _checkpoint(spark, cfg, "job2")
+    shown = set(cfg.get("print", ()))
+    unknown = shown - {*JOB2_LABELS, "result"}
     if unknown:
         raise ValueError(f"unknown print labels: {sorted(unknown)}")
-    name = cfg.get("name", "job2")
-    for label in cfg.get("print", ()):
-        print_stream(stages[label](), f"{ckpt}-print-{label}", f"{name} {label}", _trigger(cfg))
-    # Q5, Q10: what the result leaves out
-    aside = [k for k in ("session_quarantine", "threshold_quarantine") if f"{k}_sink" in cfg]
-    if aside:
-        streams = quarantine_streams(dwd, rule, task, gap, delay)
-        for k in aside:
-            own = cfg[f"{k}_sink"]
-            rows = streams[k] if own["format"] != "text" else to_json_value(streams[k])
-            write_stream(rows, own["format"], f"{ckpt}-{k}", own.get("path"), own.get("options"),
-                         trigger=_trigger(cfg), query_name=f"{name} {k}")
-    w = (result_json(done).writeStream.format(sink["format"]).outputMode("append")
-         .options(**sink.get("options", {})).option("checkpointLocation", ckpt)
-         .trigger(**_trigger(cfg)).queryName(cfg.get("name", "job2")))
-    return w.start(sink["path"]) if sink.get("path") else w.start()
+    once = "availableNow" in _trigger(cfg)
+    lines = read_lines(spark, src["format"], src.get("path"), src.get("options"), stream=True)
+    parsed = parse_topic(lines)
+    running = []
+    if "reject_sink" in cfg:
+        own = cfg["reject_sink"]
+        running.append(write_stream(bad_dwd(parsed), own["format"], f"{ckpt}-rejects", own.get("path"),
+                                    own.get("options"), trigger=_trigger(cfg), query_name=f"{name} rejects"))
+    dwd = good_dwd(parsed, strict=cfg.get("strict", "reject_sink" not in cfg))
+    idle = cfg.get("idle_delay_ms")
+    if idle is not None and once:
+        raise ValueError("idle_delay_ms needs a processing-time trigger")
+    rows = closed_sessions(dwd, cfg.get("gap_ms", REFERENCE_GAP_MS),
+                           cfg.get("watermark_delay", "0 seconds"), idle)
+    tasks = DimensionCache(
+        lambda: level_tasks(_dim(spark, "credit_rule_config", cfg["credit_rule_config"]),
+                            _dim(spark, "credit_task", cfg["credit_task"])),
+        cfg.get("dim_ttl_seconds", DEFAULT_TTL_SECONDS))
+    aside = {k: _rows_writer(cfg[f"{k}_sink"])
+             for k in ("session_quarantine", "threshold_quarantine") if f"{k}_sink" in cfg}
+    topic = cfg.get("matched_topic", {"format": "text", "path": f"{ckpt}-matched"})
+    body = job2_batch_writer(tasks, _matched_writer(topic), aside, tuple(shown - {"result"}))
+    sessions = (rows.writeStream.foreachBatch(body).option("checkpointLocation", f"{ckpt}-sessions")
+                .trigger(**_trigger(cfg)).queryName(f"{name} sessions").start())
+    running.append(sessions)
+    if once:
+        Queries(*running).awaitTermination()             # then all matched sessions are there
+    read_options = topic.get("read_options", topic.get("options", {}))
+    if topic.get("path"):
+        _make_folder(spark, topic["path"])               # a file stream needs its folder to exist
+        read_options = {"recursiveFileLookup": "true"} | read_options
+    matched = matched_topic(read_lines(spark, topic["format"], topic.get("path"), read_options, stream=True))
+    done = apply_completion(matched, MEASURES[cfg.get("measure", "video_length")], cfg.get("state_ttl_ms"))
+    sink, result = cfg["result_sink"], result_json(done)
+    if "result" in shown:
+        running.append(_printed_sink(result, sink, ckpt, cfg, name))
+    else:
+        running.append(write_stream(result, sink["format"], ckpt, sink.get("path"), sink.get("options"),
+                                    trigger=_trigger(cfg), query_name=f"{name} completion"))
+    return Queries(*running)
+
+
+def _rows_writer(spec: dict):
+    """An epoch writer for rows: text and kafka sinks get them as JSON records."""
+    write = epoch_writer(spec)
+    if spec["format"] not in ("text", "kafka"):
+        return write
+    return lambda df, epoch_id: write(to_json_value(df), epoch_id)
+
+
+def _matched_writer(spec: dict):
+    """Matched sessions as JSON records; in a kafka topic keyed by (user, video), so that
+    the sessions of a key stay in order. An epoch's files are written once: a retried
+    epoch finds them and leaves them (same offsets and state, so the same sessions)."""
+    write, key = epoch_writer(spec), [F.to_json(F.struct("userCode", "videoId")).alias("key")]
+
+    def run(df: DataFrame, epoch_id: int) -> None:
+        if spec.get("path") and _written(df.sparkSession, f"{spec['path'].rstrip('/')}/epoch={epoch_id}"):
+            return                                       # its files may be planned by the reader
+        value = F.to_json(F.struct(*df.columns)).alias("value")
+        write(df.select(*(key if spec["format"] == "kafka" else []), value), epoch_id)
+    return run
+
+
+def _printed_sink(result: DataFrame, sink: dict, ckpt: str, cfg: dict, name: str):
+    """The result sink with a printed copy of each epoch: one query, one state."""
+    write = epoch_writer(sink)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            print_rows(rows, f"result {epoch_id}")
+            write(rows, epoch_id)
+        finally:
+            rows.unpersist()
+    return (result.writeStream.foreachBatch(run).option("checkpointLocation", ckpt)
+            .trigger(**_trigger(cfg)).queryName(f"{name} completion").start())
+
+
+def _written(spark: SparkSession, folder: str) -> bool:
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 def start_tail(spark: SparkSession, cfg: dict):
@@ -126,27 +231,6 @@ def start_tail(spark: SparkSession, cfg: dict):
                       cfg.get("sink", "print"), trigger=cfg.get("trigger"), path=cfg.get("path"))
 
 
-def run_job2(spark: SparkSession, cfg: dict) -> None:
-    """Job 2 with its rules and tasks no staler than ``dim_ttl_seconds``.
-
-    A stream's static sides are fixed when it starts, so the query is stopped between
-    triggers and started again from its checkpoint, which re-reads them and checks
-    their sizes anew; offsets, sessions and completion state go on.
-    """
-    ttl = cfg.get("dim_ttl_seconds", DEFAULT_TTL_SECONDS)
-    while True:
-        q = start_job2(spark, cfg)
-        try:
-            if q.awaitTermination(ttl):
-                return
-            while q.isActive and q.status.get("isTriggerActive"):
-                q.awaitTermination(1)
-        finally:
-            for own in spark.streams.active:
-                if (own.name or "").split(" ")[0] == cfg.get("name", "job2"):
-                    own.stop()
-
-
 class _Done:
     """Stand-in query handle for the batch replay (already finished)."""
 
@@ -174,10 +258,7 @@ def main(argv=None) -> None:
         cfg = json.load(f)
     spark = build_spark(a.master) if a.master else SparkSession.builder.getOrCreate()
     apply_defaults(spark)
-    if a.job == "job2" and "availableNow" not in cfg.get("trigger", {}):
-        run_job2(spark, cfg)
-    else:
-        JOBS[a.job](spark, cfg).awaitTermination()
+    JOBS[a.job](spark, cfg).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -73,6 +73,34 @@ def rule_match(sessions: DataFrame, rule: DataFrame, task: DataFrame,
                     .drop("doctor_level"))
 
 
+def level_tasks(rule: DataFrame, task: DataFrame) -> DataFrame:
+    """J5 by level: one row a level with all its tasks and thresholds (configuration,
+    so a level's list is short). Repeated rule or task rows stay repeated."""
+    entry = F.struct("taskCode", "ruleCode", "ruleLength", "rulePercent")
+    return (rule_table(rule, task).groupBy("doctor_level")
+            .agg(F.sort_array(F.collect_list(entry)).alias("tasks")))
+
+
+def match_tasks(sessions: DataFrame, rule: DataFrame, task: DataFrame,
+                max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """J3 + J4 without the fan-out: each session once, with the ``tasks`` of its level."""
+    return with_tasks(sessions, level_tasks(rule, task), max_broadcast_rows)
+
+
+def with_tasks(sessions: DataFrame, by_level: DataFrame,
+               max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """:func:`match_tasks` over a table of :func:`level_tasks` that is at hand."""
+    lt = bounded_broadcast(by_level, max_broadcast_rows)
+    return (sessions.join(lt, sessions["level"] == lt["doctor_level"], "inner")
+                    .drop("doctor_level"))
+
+
+def each_task(matched: DataFrame) -> DataFrame:
+    """The rows of :func:`rule_match` from those of :func:`match_tasks`."""
+    rest = [c for c in matched.columns if c != "tasks"]
+    return matched.select(*rest, F.inline("tasks"))
+
+
 def threshold_check(length, percent, rule_length, rule_percent) -> Column:
     """Both thresholds reached (null thresholds never pass)."""
     c = [F.col(x) if isinstance(x, str) else x

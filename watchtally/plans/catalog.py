@@ -21,7 +21,7 @@ from watchtally.plans.composites import Inputs
 from watchtally.session import apply_defaults, shared_dir
 from watchtally.sources import fixtures
 from watchtally.sources.dims import read_dim
-from watchtally.sources.logs import drop_null_lines, read_dwd, read_lines
+from watchtally.sources.logs import bad_dwd, drop_null_lines, good_dwd, parse_topic, read_dwd, read_lines
 from watchtally.streaming.flows import completion_stream, session_stream
 from watchtally.streaming.runner import (
     run_available_now, state_partitions, write_json_lines, write_time_slices,
@@ -107,6 +107,25 @@ def dwd_roundtrip(spark, d):
     return read_dwd(spark, "text", topic, strict=True)
 
 
+@query("dwd_rejects")
+def dwd_rejects(spark, d):
+    """A topic with planted lines (two records on a line, text behind one, an
+    array, a bracket that closes early) read whole: records and rejects, none lost."""
+    wide = P.dwd_video_wide(_inputs(spark, d))
+    record = F.concat(F.lit('{"userCode":"'), "userCode", F.lit('","ts":'), F.col("ts").cast("string"), F.lit("}"))
+    tails = ["", '{"userCode":"second"}', " tail", None, "] x"]
+    kind = F.col("event_id") % 10
+    line = F.concat(F.lit("["), record, F.lit("]"))
+    for k, tail in enumerate(tails):
+        if tail is not None:
+            line = F.when(kind == k, F.concat(record, F.lit(tail))).otherwise(line)
+    topic = shared_dir(spark, "dwd_rejects") + "/topic"
+    sinks.write_batch(wide.select(F.when(kind >= len(tails), record).otherwise(line).alias("value")), "text", topic)
+    parsed = parse_topic(read_lines(spark, "text", topic))
+    good = good_dwd(parsed).select(F.lit(False).alias("rejected"), "userCode", "ts", F.lit(None).cast("string").alias("value"))
+    return good.unionByName(bad_dwd(parsed).withColumn("rejected", F.lit(True)), allowMissingColumns=True)
+
+
 @query("upsert_latest")
 def upsert_latest(spark, d):
     """Latest session per (userCode, videoId) as key/value JSON."""
@@ -399,16 +418,14 @@ def ts_from_date(spark, d):
 # --- streaming ------------------------------------------------------------------
 
 def _dwd_stream(spark, i: Inputs, name: str):
-    """Publish the enriched rows as a JSON topic replay and read it as a stream."""
+    """Publish the enriched rows as a JSON topic replay and read it as a stream, one
+    time slice (of many files) per micro-batch."""
     path = shared_dir(spark, name) + "/topic"
-    write_time_slices(P.dwd_video_wide(i, carry=False), path, SLICES)
-    return _read_slices(spark, path)
+    return _read_slices(spark, path, write_time_slices(P.dwd_video_wide(i, carry=False), path, SLICES))
 
 
-def _read_slices(spark, path: str):
-    """One file, and so one time slice, per micro-batch."""
-    return read_dwd(spark, "text", path, stream=True,
-                    options={"recursiveFileLookup": "true", "maxFilesPerTrigger": "1"})
+def _read_slices(spark, path: str, files: int):
+    return read_dwd(spark, "text", path, stream=True, options={"maxFilesPerTrigger": str(files)})
 
 
 @query("stream_sessions")
@@ -430,6 +447,59 @@ def stream_completion(spark, d):
     return out.select("userCode", "taskCode", "eventType", "videoId")
 
 
+@query("stream_upsert_latest")
+def stream_upsert_latest(spark, d):
+    """S6 streaming: closed sessions published as upserts over several micro-batches, the
+    later half of them first, so that older rows come after newer ones; what a
+    compacted topic keeps in the end (the last record of every key)."""
+    i = _inputs(spark, d)
+    base = shared_dir(spark, "stream_upsert")
+    P.session_metrics(i).write.parquet(f"{base}/sessions")
+    rows = spark.read.parquet(f"{base}/sessions")
+    mid = rows.agg(F.expr("(min(s0) + max(s0)) div 2")).first()[0]
+    for n, part in enumerate((rows.where(F.col("s0") >= mid), rows.where(F.col("s0") < mid))):
+        part.write.parquet(f"{base}/topic/h{n}")         # one half per run, same checkpoint
+        source = (spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true")
+                  .parquet(f"{base}/topic"))
+
+        def publish(df, epoch):
+            df.write.mode("overwrite").parquet(f"{base}/compacted/epoch={epoch}")
+
+        q = sinks.upsert_stream(source, ["userCode", "videoId"], "s0", f"{base}/checkpoint", publish,
+                                {"availableNow": True})
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    records = spark.read.schema("key string, value string, epoch bigint").parquet(f"{base}/compacted")
+    return records.groupBy("key").agg(F.max_by("value", "epoch").alias("value"))
+
+
+@query("job2_outputs")
+def job2_outputs(spark, d):
+    """Job 2 as it runs (T2/T3 -> J3/J4 as of now -> T7) with all its outputs: results,
+    sessions without a usable length (Q5), matches without usable thresholds (Q10) and
+    rejected lines (P11) of one topic replay."""
+    from watchtally.jobs import start_job2
+    i = _inputs(spark, d)
+    base = shared_dir(spark, "job2_outputs")
+    i.rule.write.parquet(f"{base}/dims/rule")
+    i.task.write.parquet(f"{base}/dims/task")
+    files = write_time_slices(P.dwd_video_wide(i, carry=False), f"{base}/topic", SLICES)
+    sink = lambda name: {"format": "text", "path": f"{base}/{name}"}
+    start_job2(spark, {
+        "name": base.rsplit("/", 1)[-1], "checkpoint": f"{base}/checkpoint", "gap_ms": i.gap_ms,
+        "source": {"format": "text", "path": f"{base}/topic", "options": {"maxFilesPerTrigger": str(files)}},
+        "credit_rule_config": {"path": f"{base}/dims/rule"}, "credit_task": {"path": f"{base}/dims/task"},
+        "trigger": {"availableNow": True}, "result_sink": sink("result"), "reject_sink": sink("rejects"),
+        "session_quarantine_sink": sink("sessions"), "threshold_quarantine_sink": sink("matches"),
+    }).awaitTermination()
+    names = {"result": "result", "sessions": "session_quarantine", "matches": "threshold_quarantine", "rejects": "reject"}
+    out = [spark.read.schema("value string").option("recursiveFileLookup", "true").text(f"{base}/{k}")
+           .select(F.lit(v).alias("output"), *(F.get_json_object("value", f"$.{c}").alias(c) for c in ("userCode", "videoId", "taskCode")),
+                   F.get_json_object("value", "$.s0").cast("bigint").alias("s0")) for k, v in names.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query("late_drop")
 def late_drop(spark, d):
     """T5: deliver the later half of the events first, then the earlier half.
@@ -442,10 +512,11 @@ def late_drop(spark, d):
     dropped. The output is exactly the closed sessions of the later half.
     """
     i = _inputs(spark, d)
-    wide = P.dwd_video_wide(i, carry=False)
+    base = shared_dir(spark, "late_drop")
+    P.dwd_video_wide(i, carry=False).write.parquet(f"{base}/wide")   # parsed and joined once
+    wide = spark.read.parquet(f"{base}/wide")
     mid = wide.agg(F.expr("(min(ts) + max(ts)) div 2")).first()[0]
     halves = [wide.where(F.col("ts") >= mid), wide.where(F.col("ts") < mid)]
-    base = shared_dir(spark, "late_drop")
     out = query = None
     for n, part in enumerate(halves):   # one half per run, same checkpoint
         write_json_lines(part, f"{base}/topic/h{n}", order_col="ts")
@@ -460,20 +531,20 @@ def late_drop(spark, d):
 
 @query("idle_flush")
 def idle_flush(spark, d):
-    """Sessions closed by the gap or, for the last one of each key, by a
-    wall-clock idle timer (no later event ever arrives).
+    """Sessions closed by the gap, by the watermark (any user's later event) or, where
+    no later event ever arrives, by a wall-clock idle timer.
 
     The topic arrives in several micro-batches, with sessions that cross them.
-    Every session is emitted exactly once; which of the two closed it depends on
+    Every session is emitted exactly once; which of the three closed it depends on
     timing, so the output leaves that out. The run ends once a trigger has run
     later than the idle delay after the last input, when every timer is due.
     """
     from watchtally.streaming.idle import idle_flush_sessions, run_until_idle
     i = _inputs(spark, d)
     base = shared_dir(spark, "idle_flush")
-    write_time_slices(P.dwd_video_wide(i, carry=False), f"{base}/topic", SLICES)
-    out = idle_flush_sessions(_read_slices(spark, f"{base}/topic"), i.gap_ms,
-                              delay_ms=IDLE_DELAY_MS).select(
+    files = write_time_slices(P.dwd_video_wide(i, carry=False), f"{base}/topic", SLICES)
+    out = idle_flush_sessions(_read_slices(spark, f"{base}/topic", files), i.gap_ms,
+                              delay_ms=IDLE_DELAY_MS, watermark_delay="0 seconds").select(
         "userCode", F.col("resourceId").alias("videoId"), F.col("n").alias("logCount"),
         F.col("t0").alias("s0"), (F.col("t1") + F.lit(i.gap_ms)).alias("s1"),
         "level", F.col("video_length").alias("videoLength"))

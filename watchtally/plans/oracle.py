@@ -308,9 +308,29 @@ BODIES = {
     "string_sink": """
         SELECT concat('{"userCode":"', userCode, '","taskCode":"', taskCode,
                       '","eventType":"video","videoId":"', videoId, '"}') AS value FROM done""",
+    "dwd_rejects": """
+        , lines AS (
+          SELECT *, event_id % 10 AS k, concat('{"userCode":"', userCode, '","ts":', ts, '}') AS record FROM wide)
+        SELECT k BETWEEN 1 AND 4 AS rejected, CASE WHEN k NOT BETWEEN 1 AND 4 THEN userCode END AS userCode,
+               CASE WHEN k NOT BETWEEN 1 AND 4 THEN ts END AS ts,
+               CASE k WHEN 1 THEN concat(record, '{"userCode":"second"}') WHEN 2 THEN concat(record, ' tail')
+                      WHEN 3 THEN concat('[', record, ']') WHEN 4 THEN concat(record, '] x') END AS value
+        FROM lines""",
+    "job2_outputs": f"""
+        , closed_all AS (SELECT * FROM sess WHERE t1 + {GAP} <= (SELECT m FROM maxts))
+        SELECT 'result' AS output, userCode, videoId, taskCode, cast(NULL AS BIGINT) AS s0 FROM cdone
+        UNION ALL
+        SELECT 'session_quarantine', userCode, videoId, NULL, cast(t0 AS BIGINT) FROM closed_all
+        WHERE coalesce(videoLength, 0) <= 0
+        UNION ALL
+        SELECT 'threshold_quarantine', userCode, videoId, taskCode, s0 FROM closed_matched
+        WHERE ruleLength IS NULL OR rulePercent IS NULL""",
     "stream_completion": f"SELECT {RESULT_COLS} FROM cdone",
 }
 
 
+BODIES["stream_upsert_latest"] = BODIES["upsert_latest"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in BODIES.items()}

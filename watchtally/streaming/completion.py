@@ -1,11 +1,19 @@
-"""T7 streaming form: per-(user, video, task) keyed state, emit each completion once.
-
-Runs as ``groupBy(userCode, videoId, taskCode).transformWithState``
-right after the session-window aggregation and the broadcast rule join, in
-one streaming query. State per key is one small row (typed columns, RocksDB,
-checkpointed with the source offsets, so replays do not double count:
-SURVEY Q11). The per-key input of a micro-batch is the handful of sessions
-that closed in it; they are applied in session order.
+"""T7 streaming form: keyed state of one (user, video), emit each completion once.
+
+Runs right after the session-window aggregation and the broadcast rule join, in one
+streaming query or behind a topic of matched sessions. A key's input is the few
+sessions that closed in a micro-batch, each with the tasks of its level; its state
+(typed, RocksDB, checkpointed with the source offsets: SURVEY Q11) is
+
+* ``tasks``: a map from task code to the running totals, first thresholds and flag;
+* ``last``: the start of the last session that was counted. A user's sessions of a
+  video close in order, so a session that doesn't lie behind it was counted before: a
+  topic that delivers a session again after a failure changes nothing.
+
+One call and one state lookup for each (user, video), however many tasks it has.
+
+The grouping column is one struct, ``watch``: keyed state on the same two columns
+that a session window above it is keyed on doesn't start in this Spark version.
 """
 
 from __future__ import annotations
@@ -26,6 +34,8 @@ STATE_SCHEMA = T.StructType([
     T.StructField("ruleLength", T.IntegerType()),
     T.StructField("rulePercent", T.DoubleType()),
 ])
+TASK_KEY = T.StructType([T.StructField("taskCode", T.StringType())])
+LAST_SCHEMA = T.StructType([T.StructField("s0", T.LongType())])
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("userCode", T.StringType()),
@@ -35,63 +45,55 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("s0", T.LongType()),
 ])
 
-STATE_NAME = "st"
-
+STATE_NAME = "tasks"
 
-def _passes(length, percent, rule_length, rule_percent) -> bool:
-    return length >= rule_length and percent >= rule_percent
 
+def advance(state: tuple | None, length: int, percent: float, rule_length: int,
+            rule_percent: float) -> tuple:
+    """One task's state after one more session (T7a first insert, T7b update).
 
-def _advance(state, rows, measure_col):
-    """Apply session rows (sorted by s0) to one key's state; return (state, hits)."""
-    complete, vl, vp, rl, rp = state if state is not None else (None, 0, 0.0, None, None)
-    hits = []
-    for r in rows:
-        if complete:
-            break                                            # T7c: frozen
-        if complete is None:                                 # T7a: first insert
-            vl, vp = int(r[measure_col]), float(r["videoPercent"])
-            rl, rp = int(r["ruleLength"]), float(r["rulePercent"])
-        else:                                                # T7b: accumulate
-            vl += int(r[measure_col])
-            vp += float(r["videoPercent"])
-        complete = _passes(vl, vp, rl, rp)
-        if complete:
-            hits.append(r)
-    if complete is None:
-        return state, hits
-    return (bool(complete), int(vl), float(vp), int(rl), float(rp)), hits
+    Totals grow by the session; thresholds stay those of the first one (A6)."""
+    if state is not None:
+        _, total, ratio, rule_length, rule_percent = state
+        length, percent = total + length, ratio + percent
+    done = length >= rule_length and percent >= rule_percent
+    return (done, length, percent, rule_length, rule_percent)
 
 
 class CompletionProcessor(StatefulProcessor):
-    """The emit-once completion machine (T7a first insert, T7b update, T7c frozen).
-
-    Row-based: a key's input is the few sessions that closed in this
-    micro-batch; one state read and one write per key and batch.
-    """
+    """The emit-once completion machine (T7a first insert, T7b update, T7c frozen)."""
 
-    def __init__(self, measure_col: str = "videoLength", state_ttl_ms: int | None = None):
-        self.measure_col = measure_col
+    def __init__(self, state_ttl_ms: int | None = None):
         self.state_ttl_ms = state_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # optional expiry of idle keys
-        self.state = handle.getValueState(STATE_NAME, STATE_SCHEMA, self.state_ttl_ms)
+        self.tasks = handle.getMapState(STATE_NAME, TASK_KEY, STATE_SCHEMA, self.state_ttl_ms)
+        self.last = handle.getValueState("last", LAST_SCHEMA, self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        rows = sorted((r for r in rows
-                       if r["ruleLength"] is not None and r["rulePercent"] is not None),
-                      key=lambda r: r["s0"])
-        if not rows:
+        last = self.last.get()
+        sessions = sorted((r for r in rows if last is None or r["s0"] > last[0]),
+                          key=lambda r: r["s0"])
+        if not sessions:
             return
-        old = self.state.get()
-        if old is not None and old[0]:
-            return                                           # already complete
-        new, hits = _advance(tuple(old) if old is not None else None, rows, self.measure_col)
-        self.state.update(new)
-        for r in hits:
-            yield Row(userCode=r["userCode"], taskCode=r["taskCode"], eventType=VIDEO,
-                      videoId=r["videoId"], s0=int(r["s0"]))
+        known = {} if last is None else {k[0]: tuple(v) for k, v in self.tasks.iterator()}
+        changed = set()
+        for r in sessions:
+            for t in r["tasks"]:
+                code = t["taskCode"]
+                old = known.get(code)
+                if old is not None and old[0]:
+                    continue                                 # T7c: frozen
+                known[code] = new = advance(old, int(r["measure"]), float(r["videoPercent"]),
+                                            int(t["ruleLength"]), float(t["rulePercent"]))
+                changed.add(code)
+                if new[0]:
+                    yield Row(userCode=key[0]["userCode"], taskCode=code, eventType=VIDEO,
+                              videoId=key[0]["videoId"], s0=int(r["s0"]))
+        for code in changed:
+            self.tasks.updateValue((code,), known[code])
+        self.last.update((int(sessions[-1]["s0"]),))
 
     def close(self) -> None:
         pass
@@ -99,17 +101,18 @@ class CompletionProcessor(StatefulProcessor):
 
 def apply_completion(matched: DataFrame, measure_col: str = "videoLength",
                      state_ttl_ms: int | None = None) -> DataFrame:
-    """Keyed-state completion on a (streaming) rule-matched DataFrame.
+    """Keyed-state completion of a stream of sessions with their ``tasks``
+    (:func:`watchtally.operators.rules.match_tasks`).
 
     ``state_ttl_ms`` lets a key's state expire after that long without updates
     (processing time); by default state is kept forever like the reference."""
-    cols = ["userCode", "videoId", "taskCode", "s0", measure_col, "videoPercent",
-            "ruleLength", "rulePercent"]
-    usable = F.col("ruleLength").isNotNull() & F.col("rulePercent").isNotNull()
-    return (matched.where(usable).select(*dict.fromkeys(cols))       # Q10: JVM-side filter
-                   .groupBy("userCode", "videoId", "taskCode")
-                   .transformWithState(
-                       statefulProcessor=CompletionProcessor(measure_col, state_ttl_ms),
-                       outputStructType=OUTPUT_SCHEMA,
-                       outputMode="Append",
-                       timeMode="ProcessingTime" if state_ttl_ms else "None"))
+    usable = F.filter("tasks", lambda t: t["ruleLength"].isNotNull() & t["rulePercent"].isNotNull())
+    rows = matched.select(                                   # Q10: JVM-side filter
+        F.struct("userCode", "videoId").alias("watch"), "s0",
+        F.col(measure_col).cast("bigint").alias("measure"), "videoPercent", usable.alias("tasks"))
+    return (rows.where(F.size("tasks") > 0).groupBy("watch")
+                .transformWithState(
+                    statefulProcessor=CompletionProcessor(state_ttl_ms),
+                    outputStructType=OUTPUT_SCHEMA,
+                    outputMode="Append",
+                    timeMode="ProcessingTime" if state_ttl_ms else "None"))

@@ -1,25 +1,27 @@
-"""Sessions that also close after a wall-clock idle delay.
+"""Sessions that close on the watermark or after a wall-clock idle delay.
 
 The reference's (unwired) trigger fires a session window either when the
 event-time watermark passes its end or ``delay`` after it in processing
-time, so a user who stops sending events still gets a result. Spark's
-session windows only close on the watermark, so this is a keyed processor
-with a processing-time timer per (user, video):
+time, whichever comes first, so a user who stops sending events still gets a result.
+Spark's session windows only close on the watermark, so this is a keyed processor
+with one processing-time timer per (user, video), which reads the query's watermark too:
 
 * rows are folded into the key's open sessions (intervals that grow and merge),
   so what a micro-batch holds of a key is its sessions, not its events;
-* a session with a later one of its key behind the gap is emitted;
-* every update moves the timer to ``now + delay`` (wall clock, not the
-  reference's event-time-based timer: SURVEY Q18); when it fires, the open session
-  is emitted;
+* a session with a later one of its key behind the gap is emitted ("gap");
+* the open session is emitted when the watermark, moved by any user's rows, has passed
+  its end ("watermark"): at the key's next rows or at its timer, which looks every
+  ``check_ms``. Only open sessions have a timer;
+* every update sets the idle time to ``now + delay`` (wall clock, not the
+  reference's event-time-based timer: SURVEY Q18); when it has passed, the open session
+  is emitted ("idle");
 * the end of the last emitted session stays in the state: a row within ``gap`` of
   it, or before it, belongs to what was counted already and is late (dropped). A
   session is never emitted twice nor reopened, so job 2 can't count it twice.
+  A row whose own window has expired under the watermark is late too.
 
 Choose ``delay`` longer than the time between micro-batches: an idle close is a
-decision, rows of the same session that come after it are late. Timers are in
-processing time, and such a query has no watermark: other users' progress closes
-no session here; ``streaming.flows.session_stream`` is the event-time form.
+decision, rows of the same session that come after it are late.
 """
 
 from __future__ import annotations
@@ -29,9 +31,12 @@ from datetime import datetime
 from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from watchtally.operators.sessions import event_time
+
 OPEN_SCHEMA = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("t0", T.LongType()),
@@ -39,6 +44,7 @@ OPEN_SCHEMA = T.StructType([
     T.StructField("level", T.IntegerType()),
     T.StructField("video_length", T.IntegerType()),
     T.StructField("emitted", T.LongType()),     # end of the last emitted session
+    T.StructField("due", T.LongType()),         # wall clock at which the open one is idle
 ])
 
 OUTPUT_SCHEMA = T.StructType([
@@ -54,9 +60,14 @@ OUTPUT_SCHEMA = T.StructType([
 
 
 class IdleFlushProcessor(StatefulProcessor):
-    def __init__(self, gap_ms: int, delay_ms: int):
+    """``by_watermark``: the query has a watermark, which closes sessions too."""
+
+    def __init__(self, gap_ms: int, delay_ms: int, by_watermark: bool = False,
+                 check_ms: int = 1000):
         self.gap_ms = int(gap_ms)
         self.delay_ms = int(delay_ms)
+        self.check_ms = int(check_ms) if by_watermark else int(delay_ms)
+        self.by_watermark = by_watermark
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -66,35 +77,47 @@ class IdleFlushProcessor(StatefulProcessor):
         return Row(userCode=key[0], resourceId=key[1], n=int(s[0]), t0=int(s[1]),
                    t1=int(s[2]), level=s[3], video_length=s[4], closed_by=how)
 
-    def _reset_timer(self, now_ms: int) -> None:
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(now_ms + self.delay_ms)
+    def _watermark(self, timer_values) -> int | None:
+        return timer_values.getCurrentWatermarkInMs() if self.by_watermark else None
+
+    def _passed(self, t1: int, watermark: int | None) -> bool:
+        return watermark is not None and t1 + self.gap_ms <= watermark
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         old = self.open.get()
         emitted = old[5] if old is not None else None
+        watermark, now = self._watermark(timerValues), timerValues.getCurrentProcessingTimeInMs()
         # sessions (n, t0, t1, level, video_length) in time order, more than a gap apart
         runs = [list(old[:5])] if old is not None and old[0] else []
+        had_timer = bool(runs)
         starts = [r[1] for r in runs]
         for r in rows:
             ts = int(r["ts"])
-            if emitted is not None and ts - emitted <= self.gap_ms:
+            if emitted is not None and ts - emitted <= self.gap_ms or self._passed(ts, watermark):
                 continue                                  # late
             _fold(runs, starts, [1, ts, ts, r["level"], r["video_length"]], self.gap_ms)
-        for s in runs[:-1]:
-            emitted = int(s[2])
-            yield self._emit(key, s, "gap")
-        last = runs[-1] if runs else [0, None, None, None, None]
-        self.open.update((*last, emitted))
-        if runs:
-            self._reset_timer(timerValues.getCurrentProcessingTimeInMs())
+        for k, s in enumerate(runs):
+            if k < len(runs) - 1 or self._passed(s[2], watermark):
+                emitted = int(s[2])
+                yield self._emit(key, s, "gap" if k < len(runs) - 1 else "watermark")
+        if runs and int(runs[-1][2]) != emitted:
+            self.open.update((*runs[-1], emitted, now + self.delay_ms))
+            if not had_timer:
+                self.handle.registerTimer(now + min(self.check_ms, self.delay_ms))
+        else:
+            self.open.update((0, None, None, None, None, emitted, None))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         cur = self.open.get()
-        if cur is not None and cur[0]:
-            self.open.update((0, None, None, None, None, int(cur[2])))
-            yield self._emit(key, tuple(cur), "idle")
+        if cur is None or not cur[0]:
+            return                                        # closed meanwhile
+        now = timerValues.getCurrentProcessingTimeInMs()
+        passed = self._passed(int(cur[2]), self._watermark(timerValues))
+        if passed or now >= cur[6]:
+            self.open.update((0, None, None, None, None, int(cur[2]), None))
+            yield self._emit(key, tuple(cur), "watermark" if passed else "idle")
+        else:
+            self.handle.registerTimer(min(int(cur[6]), now + self.check_ms))
 
     def close(self) -> None:
         pass
@@ -146,13 +169,21 @@ def run_until_idle(out: DataFrame, spark, base: str, delay_ms: int,
     return spark.read.schema(out.schema).parquet(f"{base}/out")
 
 
-def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int) -> DataFrame:
-    """Sessions per (user, video) closed by a gap or by ``delay_ms`` of idleness."""
-    from watchtally.operators.sessions import event_time
-    ev = event_time(dwd).select("userCode", "resourceId", "ts", "level", "video_length")
+def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int,
+                        watermark_delay: str | None = None, check_ms: int = 1000) -> DataFrame:
+    """Sessions per (user, video) closed by a gap, by ``delay_ms`` of idleness or, with a
+    ``watermark_delay``, by the watermark, whichever comes first.
+
+    The watermark is set on a row's window end, ``ts + gap``, with a delay longer by the
+    gap: it has the same value, and a row is late only once its own window has expired.
+    """
+    ev = event_time(dwd).select("userCode", "resourceId", "ts", "level", "video_length",
+                                F.timestamp_millis(F.col("ts") + int(gap_ms)).alias("closes"))
+    if watermark_delay is not None:
+        ev = ev.withWatermark("closes", f"{watermark_delay} {int(gap_ms)} milliseconds")
     return (ev.groupBy("userCode", "resourceId")
               .transformWithState(
-                  statefulProcessor=IdleFlushProcessor(gap_ms, delay_ms),
+                  statefulProcessor=IdleFlushProcessor(gap_ms, delay_ms, watermark_delay is not None, check_ms),
                   outputStructType=OUTPUT_SCHEMA,
                   outputMode="Append",
                   timeMode="ProcessingTime"))

@@ -19,22 +19,37 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
     out.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_time_slices(df: DataFrame, path: str, slices: int, order_col: str = "ts") -> None:
-    """Write a replay topic as files in event-time order, one write per time slice, so
-    that a stream with ``maxFilesPerTrigger`` meets them in that order."""
-    kept = df.persist()
+def write_time_slices(df: DataFrame, path: str, slices: int, order_col: str = "ts") -> int:
+    """Write a replay topic in event-time order and return how many files are a slice.
+
+    Rows are dealt by ranges of time to ``slices`` times as many files as the session has
+    shuffle partitions, in one job. No file holds a time before that of an earlier file,
+    and files are stamped in that order, which is the order in which a file
+    stream takes them: with ``maxFilesPerTrigger`` of one slice, a micro-batch is read
+    by as many tasks as a shuffle has, whatever the size of the topic.
+    """
+    spark = df.sparkSession
+    per_slice = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = F.coalesce(F.col(order_col), F.lit(0).cast("bigint"))
+    kept = df.persist()                                  # ranges are sampled before the write
     try:
-        lo, hi = kept.agg(F.min(order_col), F.max(order_col)).first()
-        if lo is None:
-            write_json_lines(kept, f"{path}/slice=0")
-            return
-        width = max(1, -(-(hi - lo + 1) // slices))
-        at = F.floor((F.coalesce(order_col, F.lit(lo)) - F.lit(lo)) / F.lit(width))
-        for k in range(slices):
-            part = kept.where(at == k).coalesce(1)
-            write_json_lines(part, f"{path}/slice={k}", order_col)
+        write_json_lines(kept.repartitionByRange(slices * per_slice, at), path, order_col)
     finally:
         kept.unpersist()
+    _stamp_in_order(spark, path)
+    return per_slice
+
+
+def _stamp_in_order(spark: SparkSession, path: str) -> None:
+    """Give the part files of a folder rising modification times, a second apart."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = {int(f.getPath().getName().split("-")[1]): f for f in fs.listStatus(folder)
+             if f.getPath().getName().startswith("part-")}
+    latest = max((f.getModificationTime() for f in parts.values()), default=0)
+    for back, number in enumerate(sorted(parts, reverse=True)):
+        fs.setTimes(parts[number].getPath(), latest - 1000 * back, -1)
 
 
 def state_partitions(spark: SparkSession) -> int | None:

@@ -13,7 +13,7 @@ from watchtally.streaming.completion import STATE_NAME
 def completion_state_snapshot(spark: SparkSession, checkpoint: str,
                               operator_id: int | None = None) -> DataFrame:
     """Every (user, video, task) state of a job-2 query, read from its checkpoint
-    (``key``, ``value`` structs) — the stream's counterpart of the reference's
+    (one row a task of each key's map) — the stream's counterpart of the reference's
     key listing. Finds the keyed-state operator when ``operator_id`` is not given."""
     if operator_id is None:
         meta = spark.read.format("state-metadata").load(checkpoint)
@@ -24,7 +24,7 @@ def completion_state_snapshot(spark: SparkSession, checkpoint: str,
         operator_id = own[0]
     df = (spark.read.format("statestore").option("operatorId", operator_id)
           .option("stateVarName", STATE_NAME).load(checkpoint))
-    return df.select("key.*", "value.*")
+    return df.select("key.watch.*", "user_map_key.*", "user_map_value.*")
 
 
 def _print_row(label: str, row) -> None:

@@ -44,7 +44,7 @@ def random_rows(n, seed, words="a b c d the The THE é x-y 1,5 日 ß"):
     return [(rng.choice(["en", "de", None, "und"]), "".join(rng.choice(words.split()) + rng.choice(seps) for _ in range(rng.randrange(60)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("cfg", [CollocationConfig(), CollocationConfig(max_words=2, min_count=2, top=7), CollocationConfig(max_words=5, min_count=3, inside_pct=80), CollocationConfig(min_count=1, salts=2, top=50)])
+@pytest.mark.parametrize("cfg", [CollocationConfig(), CollocationConfig(max_words=2, min_count=2, top=7), CollocationConfig(max_words=5, min_count=3, inside_pct=80, parts=3), CollocationConfig(min_count=1, salts=2, top=50)])
 def test_equals_plain(spark, cfg):
     rows = random_rows(120, 3)
     assert mined(spark, rows, cfg) == plain(rows, cfg)
@@ -111,7 +111,7 @@ def test_relations_are_not_shuffled_again(spark):
     cfg = CollocationConfig(min_count=2)
     own = collocations.Relations(spark)
     relation = own.bucketed(collocations.occurrences(spark.createDataFrame(random_rows(30, 1), SCHEMA), cfg), "words")
-    found = own.plain(collocations.frequent_groups(relation, ["lang", "word"], cfg), "found")
-    plan = collocations.extend(relation, found)._jdf.queryExecution().executedPlan().toString()
+    found = own.plain(collocations.frequent_words(relation, cfg), "found")
+    plan = collocations.extend(relation, found, cfg)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
     own.forget()

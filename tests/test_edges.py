@@ -35,6 +35,7 @@ EDGES = [
     ('{"ts":1,' + ITEM + '} trailing', True, None, None, None),
     ('{"ts":1,"ts":2,' + ITEM + '}', False, 2, "7", "other"),
     ('1], [2', True, None, None, None),
+    ('{"ts":1,' + ITEM + '}] x', True, None, None, None),
 ]
 
 

@@ -22,13 +22,18 @@ def parse_alone(text) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), _v(text), F.lit(f', "{_END}"]')))
 
 
+def holds_one(parsed) -> Column:
+    """Whether a line parsed by :func:`parse_alone` is one JSON value (null: no JSON)."""
+    p = _v(parsed)
+    return ((F.try_variant_get(p, "$[1]", "string") == F.lit(_END))
+            & F.try_variant_get(p, "$[2]", "variant").isNull())
+
+
 def the_object(parsed) -> Column:
     """The object of a line parsed by :func:`parse_alone`; null when the line is not
     exactly one object (no JSON, several values, text behind it, another kind of value)."""
     p = _v(parsed)
-    alone = ((F.try_variant_get(p, "$[1]", "string") == F.lit(_END))
-             & F.try_variant_get(p, "$[2]", "variant").isNull()
-             & F.try_variant_get(p, "$[0]", "map<string,variant>").isNotNull())
+    alone = holds_one(p) & F.try_variant_get(p, "$[0]", "map<string,variant>").isNotNull()
     return F.when(alone, F.try_variant_get(p, "$[0]", "variant"))
 
 

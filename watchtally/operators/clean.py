@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from watchtally.functions.getters import lenient_long
+from watchtally.functions.getters import holds_one, lenient_long, parse_alone
 from watchtally.functions.scalar import event_type
 
 # the fields a line is read for; everything else in the object is ignored
@@ -31,9 +31,9 @@ _LINE_TYPE = ("struct<deviceId:string,userCode:string,event:string,ts:string,"
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw lines -> parsed columns plus ``is_dirty``; keeps ``value``.
 
-    The line is parsed inside ``[...]``: a line with more than one value, or with
-    text after it, is no array of one element. Lookups on the parsed VARIANT: one cast of the whole object to the
-    line's struct (text fields read leniently, numbers as their text; null when
+    The line is parsed with a mark behind it (:func:`watchtally.functions.getters.parse_alone`),
+    which shows a line with more than one value or with text after it. Lookups on the
+    parsed VARIANT: one cast of the whole object to the line's struct (text fields read leniently, numbers as their text; null when
     the line is not an object or ``Item`` is not an object) and one lenient
     ``bigint`` read of ``ts``.
 
@@ -45,11 +45,10 @@ def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     v = F.col(value_col)
     carry = [c for c in raw.columns if c != value_col]
     parsed = raw.where(v.isNotNull()).select(
-        v.alias("value"), F.try_parse_json(F.concat(F.lit("["), v, F.lit("]"))).alias("_j"),
-        *carry)
+        v.alias("value"), parse_alone(v).alias("_j"), *carry)
     rec = F.try_variant_get(F.col("_j"), "$[0]", _LINE_TYPE)
     ts = F.try_variant_get(F.col("_j"), "$[0].ts", "bigint")
-    more = F.try_variant_get(F.col("_j"), "$[1]", "variant").isNotNull()
+    more = ~F.coalesce(holds_one(F.col("_j")), F.lit(False))
     parsed = parsed.select("value", *carry, rec.alias("_r"), ts.alias("_ts0"), more.alias("_more"))
     r, item = F.col("_r"), F.col("_r.Item")
     ts_text = r.getField("ts")

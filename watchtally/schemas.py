@@ -1,4 +1,4 @@
-"""Declared schemas of every entity.
+"""Declared schemas of the tables and topics that are read.
 
 Fixed values: the names of tables, topics and fields are those of the data that the
 jobs meet, so they can't be chosen here.
@@ -6,25 +6,6 @@ jobs meet, so they can't be chosen here.
 
 from pyspark.sql import types as T
 
-# raw log line as produced upstream (JSON text); extra Item fields are ignored
-RAW_LOG = T.StructType([
-    T.StructField("deviceId", T.StringType()),
-    T.StructField("userCode", T.StringType()),
-    T.StructField("event", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField("Item", T.StructType([T.StructField("resource_id", T.StringType())])),
-])
-
-# cleaned log record
-LOG = T.StructType([
-    T.StructField("deviceId", T.StringType()),
-    T.StructField("userCode", T.StringType()),
-    T.StructField("eventCode", T.StringType()),
-    T.StructField("eventType", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField("resourceId", T.StringType()),
-])
-
 DOCTOR_INFO = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("level", T.IntegerType()),
@@ -56,41 +37,3 @@ DWD_VIDEO_INFO = T.StructType([
     T.StructField("level", T.IntegerType()),
     T.StructField("video_length", T.IntegerType()),
 ])
-
-# one row per (user, video) session; s0/s1 = session start / end in epoch ms
-SESSION = T.StructType([
-    T.StructField("userCode", T.StringType()),
-    T.StructField("level", T.IntegerType()),
-    T.StructField("videoId", T.StringType()),
-    T.StructField("logCount", T.LongType()),
-    T.StructField("duration", T.LongType()),
-    T.StructField("videoLength", T.IntegerType()),
-    T.StructField("videoPercent", T.DoubleType()),
-    T.StructField("s0", T.LongType()),
-    T.StructField("s1", T.LongType()),
-])
-
-RULE_MATCH = T.StructType(SESSION.fields + [
-    T.StructField("taskCode", T.StringType()),
-    T.StructField("ruleCode", T.StringType()),
-    T.StructField("ruleLength", T.IntegerType()),
-    T.StructField("rulePercent", T.DoubleType()),
-])
-
-COMPLETION_STATE = T.StructType([
-    T.StructField("userCode", T.StringType()),
-    T.StructField("videoId", T.StringType()),
-    T.StructField("taskCode", T.StringType()),
-    T.StructField("complete", T.BooleanType()),
-    T.StructField("videoLength", T.LongType()),
-    T.StructField("videoPercent", T.DoubleType()),
-    T.StructField("ruleLength", T.IntegerType()),
-    T.StructField("rulePercent", T.DoubleType()),
-])
-
-RESULT = T.StructType([
-    T.StructField("userCode", T.StringType()),
-    T.StructField("taskCode", T.StringType()),
-    T.StructField("eventType", T.StringType()),
-    T.StructField("videoId", T.StringType()),
-])

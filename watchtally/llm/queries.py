@@ -94,7 +94,7 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
-    coded = sentencepieces.decode(sentencepieces.encode(read_table(spark, sf_dir, "documents"), model), model)
+    coded = sentencepieces.encode(read_table(spark, sf_dir, "documents"), model, decoded=True)
     decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"), "agrees")
 

@@ -14,6 +14,20 @@ def test_layout():
     assert html.to_text(page) == "T\n\na\n\nb\n\n- x\n- y\n  3. q\n  4. r\n\nz\n\na     bbb\ncccc  d\n\ntu v\nw\n\n a\n  b\n\n&<\n\nT\n    D"
 
 
+def test_cells_that_span_rows():
+    page = "<table><tr><td rowspan=2>aa<td>b1<td>c1<tr><td>b2<td>c2<tr><td>a3<td colspan=2 rowspan=0>wide<tr><td>a4<td>x</table>end"
+    assert html.to_text(page) == "aa  b1  c1\n    b2  c2\na3  wide\na4          x\n\nend"
+    assert html.to_text("<table><tr><td rowspan=9>a<td>b<td rowspan=2>c<tr><td>d<tr><td>e<td>f</table>") == "a  b  c\n   d\n   e  f"
+
+
+def test_style_sheets_and_white_space():
+    page = "<style>/* .y{display:none} */ .h, p#x.k { color: red; display:none } i{visibility:hidden} .s{display:none}.s{display:block} @media print{.m{display:none}} .a .b{display:none}</style>"
+    page += "<p class='k h'>no<p id=x class='k z'>no<p id=x>one<i>no</i><b class=s>two</b><b class=m>three</b><div class=a><span class=b>four</span></div><u class=h style='display:inline'>five</u><b class=y>six</b>"
+    assert html.to_text(page).split() == ["onetwothree", "four", "fivesix"]
+    assert html.to_text("<div style='white-space: pre'>a  b\n  c</div><div style='white-space:pre-wrap'> x</div><pre>p <b style='white-space:normal'>q\n r</b></pre>") == "a  b\n  c\n x\n\np q r"
+    assert html.to_text("<style>.h{display:none</style><p class=h>unclosed rule shows") == "unclosed rule shows"
+
+
 def test_every_visible_word_is_kept():
     rng = random.Random(2)
     tags = ["<p>", "</p>", "<table>", "<tr>", "<td>", "</td>", "</table>", "<li>", "<ul>", "</ul>", "<div>", "</div>", "<pre>", "</pre>", "<b>", "</b>", "<dd>", "<br>", "<th colspan=2>", "<blockquote>", "</blockquote>"]

@@ -3,10 +3,12 @@
 A small tree builder (implied and optional end tags, void and raw-text elements)
 and a renderer that emits all visible text: blocks on lines of their own with
 blank lines around paragraphs and headings, list items with markers and
-indentation, table cells in aligned columns, preformatted text as it is.
+indentation, table cells in aligned columns (a cell that spans rows keeps its columns free below), preformatted
+text (also by an own ``white-space``) as it is.
 Hidden are script, style, template, datalist, iframe, noembed and noframes, head parts
 but the title, elements with ``hidden``, ``aria-hidden="true"``, ``display:none`` or
-``visibility:hidden``, closed dialogs and hidden inputs; in svg and math the elements of
+``visibility:hidden`` (their own, or by a rule of the page's style sheets with a simple selector of
+tag, classes and id outside of ``@`` blocks), closed dialogs and hidden inputs; in svg and math the elements of
 ``FOREIGN_HIDDEN`` (descriptions, definitions, annotations); comments and declarations.
 Nothing else is judged or dropped: formulas, labels of drawings and the fallback of
 object and noscript are text. Parts of a formula that stand above, below or beside each
@@ -23,6 +25,7 @@ from __future__ import annotations
 import html as _entities
 import re
 import unicodedata
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -62,6 +65,12 @@ TOKEN = re.compile(
     r"<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)|<([a-zA-Z][^\s/>]*+)([^>]*+)>?", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+WHITE_SPACE = re.compile(r"white-space\s*:\s*([a-z-]+)", re.I)
+# Style sheets: comments, rules outside of nested blocks, and the selectors that are understood.
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+CSS_RULE = re.compile(r"([^{}]*+)\{([^{}]*+)\}|\{|\}")
+SELECTOR = re.compile(r"([a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
+SHOWN = re.compile(r"(?:display|visibility)\s*:\s*([a-z-]+)", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -147,6 +156,40 @@ def build(source: str) -> Node:
     return root
 
 
+def sheet_rules(css: str) -> list[tuple[str, frozenset[str], bool]]:
+    """(tag or empty, classes and ids with their mark, hidden) of the simple rules about visibility, in order.
+
+    Rules in nested blocks (``@media``) and selectors with combinators or states are passed over."""
+    out, depth = [], 0
+    for m in CSS_RULE.finditer(CSS_COMMENT.sub("", css)):
+        if m[2] is None:
+            depth = max(0, depth + (1 if m[0] == "{" else -1))
+        elif depth == 0 and (shown := SHOWN.findall(m[2])):
+            for selector in m[1].split(";")[-1].split(","):
+                if (part := selector.strip()) and (found := SELECTOR.fullmatch(part)):
+                    out.append(((found[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", found[2])), shown[-1].lower() in ("none", "hidden", "collapse")))
+    return out
+
+
+def apply_sheets(root: Node) -> None:
+    """Hide what the page's own style sheets hide; the last rule that fits counts, an element's own style more."""
+    css, todo, nodes = [], [root], []
+    while todo:
+        x = todo.pop()
+        nodes.append(x)
+        if x.tag == "style":
+            css += [i for i in x.items if isinstance(i, str)]
+        todo += [i for i in reversed(x.items) if isinstance(i, Node)]
+    rules = sheet_rules("\n".join(css)) if css else []
+    if not any(hidden for *_, hidden in rules):
+        return
+    for x in nodes:
+        own = {f".{c}" for c in x.attrs.get("class", "").split()} | ({f"#{x.attrs['id']}"} if x.attrs.get("id") else set())
+        fits = [hidden for tag, marks, hidden in rules if (not tag or tag == x.tag) and marks <= own]
+        if fits and fits[-1] and not SHOWN.search(x.attrs.get("style", "")):
+            x.attrs["hidden"] = ""
+
+
 def width(text: str) -> int:
     """Columns that a text takes on a fixed-width page."""
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
@@ -215,12 +258,14 @@ def rendered(node: Node, pre: bool = False) -> list[str]:
 
 
 def table(node: Node, page: Page) -> None:
-    """Rows of cells; a column is as wide as its widest line, spans widen no column."""
-    rows: list[list[tuple[int, list[str]]]] = []
+    """Rows of cells; a column is as wide as its widest line, spans widen no column.
+
+    A cell that spans rows stands in its first one and keeps its columns free in the others."""
+    rows: list[list[tuple[int, int, list[str]]]] = []
     loose: list[Node] = []
 
     def walk(x: Node) -> None:
-        row: list[tuple[int, list[str]]] | None = None
+        row: list[tuple[int, int, list[str]]] | None = None
         for item in x.items:
             if isinstance(item, str):
                 if item.strip():
@@ -250,30 +295,40 @@ def table(node: Node, page: Page) -> None:
                 add(item, row) if item.tag in ("td", "th") else loose.append(item)
 
     def add(cell: Node, row: list) -> None:
-        span = cell.attrs.get("colspan", "1")
-        row.append((max(1, min(int(span), 1000)) if span.isascii() and span.isdigit() else 1, rendered(cell)))
+        row.append((max(1, spanned(cell, "colspan")), spanned(cell, "rowspan") or 1000, rendered(cell)))
+
+    def spanned(cell: Node, name: str) -> int:
+        value = cell.attrs.get(name, "1").strip()
+        return min(int(value), 1000) if value.isascii() and value.isdigit() else 1
 
     walk(node)
     for item in loose:  # captions, and what HTML moves out of a table
         emit(item, page, False) if item.tag == "span" else block(item, page, False)
     page.end()
     widths: list[int] = []
+    placed: list[list[tuple[int, list[str]]]] = []
+    taken: dict[int, int] = {}  # columns that cells of earlier rows still take, and for how many rows
     for row in rows:
-        at = 0
-        for span, lines in row:
-            widths += [0] * (at + span - len(widths))
-            if span == 1:
+        at, below = 0, {}
+        placed.append([])
+        for across, down, lines in row:
+            while taken.get(at):
+                at += 1
+            placed[-1].append((at, lines))
+            below |= dict.fromkeys(range(at, at + across), down - 1) if down > 1 else {}
+            widths += [0] * (at + across - len(widths))
+            if across == 1:
                 widths[at] = max([widths[at], *map(width, lines)])
-            at += span
-    for row in rows:
+            at += across
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | below
+    start = [2 * c + x for c, x in enumerate(accumulate(widths, initial=0))]
+    for row in placed:
         for k in range(max([len(lines) for _, lines in row], default=0)):
-            out, at, column = "", 0, 0
-            for span, lines in row:
-                cell = lines[k] if k < len(lines) else ""
-                out += " " * max(0, column - width(out)) + cell
-                column += sum(widths[at : at + span]) + 2 * span
-                column = max(column, width(out) + 2) if cell else column
-                at += span
+            out, least = "", 0
+            for at, lines in row:
+                if cell := lines[k] if k < len(lines) else "":
+                    out += " " * (max(start[at], least) - width(out)) + cell
+                    least = width(out) + 2
             page.line = out
             page.end()
 
@@ -283,6 +338,8 @@ def block(node: Node, page: Page, pre: bool) -> None:
     if node.hidden():
         return
     tag = node.tag
+    if (style := node.attrs.get("style")) and (kept := WHITE_SPACE.search(style)):
+        pre = kept[1].lower() in ("pre", "pre-wrap", "break-spaces")
     if node.deep:
         flat(node, page, pre)
     elif node.foreign:
@@ -407,7 +464,12 @@ def emit(node: Node, page: Page, pre: bool) -> None:
 
 def to_text(source: str | None) -> str:
     """Visible text of a page, lines joined by \\n."""
-    return "\n".join(rendered(build(source))) if source else ""
+    if not source:
+        return ""
+    root = build(source)
+    if "<style" in source or "<STYLE" in source:
+        apply_sheets(root)
+    return "\n".join(rendered(root))
 
 
 def extract(pages: DataFrame) -> DataFrame:

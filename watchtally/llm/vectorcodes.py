@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored
+from .common import map_arrow, removed, shared_folder, stored
 
 #: Integers of a vector stay below this, so that distances of 256 components fit 64 bits.
 LIMIT = 1 << 26
@@ -317,11 +317,15 @@ def compress(vectors: DataFrame, cfg: CodeConfig = CodeConfig()) -> DataFrame:
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("vec_id", "label")}
     books = seeds(rows, cfg)
     if not books:
-        return rows.sparkSession.createDataFrame([], f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long, label_error long, codebooks_sha256 string")
-    trees = stored(blocks(rows, sum(b.shape[1] for b in books), cfg), "vector-trees")
+        return vectors.sparkSession.createDataFrame([], f"vec_id {kinds['vec_id']}, label {kinds['label']}, code string, error long, label_error long, codebooks_sha256 string")
+    spark, folder = rows.sparkSession, shared_folder(rows.sparkSession, "vector-trees")
+    trees = blocks(rows, sum(b.shape[1] for b in books), cfg)
+    trees.write.parquet(folder)
+    trees = spark.read.schema(trees.schema).parquet(folder)
     for _ in range(cfg.rounds):
         books = one_round(trees, books)
     coded = stored(codes(trees, books, kinds), "vector-codes")
+    removed(spark, folder)
     salts = F.array([F.lit(i) for i in range(cfg.salts)])
     totals = coded.groupBy("label").agg(F.sum("error").alias("label_error")).select(F.col("label").alias("_label"), "label_error", F.explode(salts).alias("_salt"))
     salted = coded.withColumn("salt", F.pmod(F.xxhash64("vec_id", "code"), F.lit(cfg.salts)).cast("int"))

@@ -5,24 +5,27 @@ cosine of TF-IDF vectors; the nearest ``neighbours`` vote with their similarity
 or against, and a logistic fitted on left-one-out votes of the examples turns the
 vote into a probability. The neighbours are returned as evidence.
 
-Terms are lower-cased words and word beginnings of 4 to 7 bytes. Vectors use the
-terms that tell the labels apart on the examples (chi-square of at least
-``least_chi2`` and a ratio of at least ``least_lift``, the best ``terms`` of them); inverse document frequencies count all
-documents of the corpus.
+Terms are lower-cased words and word beginnings of 4 to 7 bytes. Every word of a text is
+in its vector: a term's weight is its inverse document frequency over all documents times
+``base`` plus how far its log odds between the labels (half an example added to each) lie
+beyond ``shrink`` standard errors. Terms that lie beyond them have a place of their own (the
+``terms`` heaviest of them); all other words share ``slots`` places by their hash, at the base
+weight. So more labels make weights sharper, but no word ever leaves the vectors.
 
 Search: a block-max inverted index. Examples are numbered by their strongest term
 and dealt into blocks of ``block``; every term has its postings, cut at the blocks,
 and its largest weight in each block. A query bounds each block's best possible
-cosine by the sum of these maxima, opens blocks from the highest bound down, and
+cosine by the sum of these maxima, opens blocks from the highest bound down, some at a time, and
 stops when the next bound is below its k-th best similarity: the result is exact.
 
 Bounds: the examples are the fitted side, a sample of at most ``examples`` labelled
-rows (lowest hash of doc_id first, near copies by MinHash taken once). They, their
-terms (at most ``terms``) and the index are bounded by these parameters whatever the
+rows (lowest hash of doc_id first, near copies by MinHash taken once). They, the places
+(``terms`` and ``slots``) and the index are bounded by these parameters whatever the
 corpus, and are sent to the tasks. Scores cover all documents.
 
-Defined cases: a null or empty text, like any text without a known term, has no
-neighbours and gets the score of an empty vote; rows without a label or with a
+Defined cases: a null or empty text has no
+neighbours and gets the score of an empty vote; a text equal to an example's has it as its
+nearest neighbour (a score knows texts alone); rows without a label or with a
 null doc_id are no examples, and of rows that repeat a doc_id the smallest text is; without examples of both labels every score is the
 share of toxic ones (0 without any); repeated rows are scored each; extra columns
 are ignored; an empty table gives no rows.
@@ -46,18 +49,19 @@ PREFIXES = (4, 5, 6, 7)
 @dataclass(frozen=True)
 class ToxicityConfig:
     examples: int = 8000
-    terms: int = 4096
-    least_chi2: float = 24.0
-    least_examples: int = 3
-    #: How many times commoner a term must be under one label than under the other.
-    least_lift: float = 4.0
+    terms: int = 32_768
+    slots: int = 32_768
+    #: Standard errors that a term's log odds lose before they count.
+    shrink: float = 2.5
+    #: Weight of a word that tells nothing about the labels.
+    base: float = 0.3
     neighbours: int = 15
-    block: int = 64
+    block: int = 128
 
 
-def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, term) of every word and word beginning."""
-    w = Words(texts, PUNCT, lower=True)
+def terms_of(texts: list[bytes], w: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term) of every word, then of every word beginning."""
+    w = w or Words(texts, PUNCT, lower=True)
     doc, h = [w.doc], [w.hash]
     size = w.end - w.start
     for n in PREFIXES:
@@ -67,20 +71,32 @@ def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(doc), np.concatenate(h)
 
 
-def counts_of(texts: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, index of the term, count) of the given sorted terms, ordered by text and term."""
-    doc, h = terms_of(texts)
-    if not len(terms):
-        return (np.zeros(0, np.int64),) * 3
-    # A small table of high bits rules most words out before the search.
-    table = np.zeros(1 << 16, bool)
-    table[(terms >> U64(48)).astype(np.int64)] = True
-    may = table[(h >> U64(48)).astype(np.int64)]
-    doc, h = doc[may], h[may]
-    at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-    hit = terms[at] == h
-    key, n = np.unique(doc[hit] * len(terms) + at[hit], return_counts=True)
-    return key // len(terms), key % len(terms), n
+def counts_of(texts: list[bytes], terms: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, count), ordered by text and place: the given sorted terms, then the slots of all other words."""
+    w = Words(texts, PUNCT, lower=True)
+    doc, h = terms_of(texts, w)
+    place = np.full(len(h), -1)
+    if len(terms):
+        # A small table of high bits rules most terms out before the search.
+        table = np.zeros(1 << 16, bool)
+        table[(terms >> U64(48)).astype(np.int64)] = True
+        may = np.flatnonzero(table[(h >> U64(48)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(terms, h[may]), len(terms) - 1)
+        hit = terms[at] == h[may]
+        place[may[hit]] = at[hit]
+    n_words = len(w.hash)  # words come first, then their beginnings
+    other = np.flatnonzero(place[:n_words] < 0)
+    place[other] = len(terms) + (h[other] % U64(slots)).astype(np.int64)
+    used = place >= 0
+    size = len(terms) + slots
+    key, n = np.unique(doc[used] * size + place[used], return_counts=True)
+    return key // size, key % size, n
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places in the ranges, laid end to end, and the length of each."""
+    n = end - start
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
 class Index:
@@ -89,33 +105,42 @@ class Index:
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
         n = len(rows)
         self.n, self.block, self.blocks = n, block, max(1, -(-n // block))
-        who = np.repeat(np.arange(n), [len(t) for t, _ in rows]) if n else np.zeros(0, np.int64)
-        term = np.concatenate([t for t, _ in rows]) if n else np.zeros(0, np.int64)
+        who = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in rows]) if n else np.zeros(0, np.int32)
+        term = np.concatenate([t for t, _ in rows]).astype(np.int64) if n else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in rows]) if n else np.zeros(0)
         order = np.lexsort((who, term))
-        self.who, self.weight = who[order], weight[order]
+        self.who, self.weight = who[order], weight[order].astype(np.float64)
         cell = term[order] * self.blocks + self.who // block
         # Postings of term t in block b are cut[t * blocks + b] : cut[t * blocks + b + 1].
-        self.cut = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, self.blocks)
+        self.cut = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32 if len(cell) < 1 << 31 else np.int64)
+        most = np.zeros(n_terms * self.blocks, np.float32)
+        np.maximum.at(most, cell, np.nextafter(self.weight.astype(np.float32), np.float32(2)))  # never below the weight
+        self.most = most.reshape(n_terms, self.blocks)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
         """The k examples with the highest cosine above 0, best first, ties by number."""
-        bound = weights @ self.most[terms]
+        bound = weights @ self.most[terms].astype(np.float64)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                s, e = self.cut[t * self.blocks + b], self.cut[t * self.blocks + b + 1]
-                if e > s:
-                    score[self.who[s:e] - b * self.block] += w * self.weight[s:e]
-            score = np.round(score, 12)
+        at, some = 0, 4
+        while at < len(order):
+            opened = order[at : at + some]
+            if len(best) == k:
+                opened = opened[bound[opened] >= -best[-1][0] - 1e-9]
+                if not len(opened):
+                    break
+            cell = (terms[:, None] * self.blocks + opened).ravel()
+            where, n = _ranges(self.cut[cell].astype(np.int64), self.cut[cell + 1].astype(np.int64))
+            who = self.who[where]
+            score = np.round(np.bincount(who, weights=self.weight[where] * np.repeat(np.repeat(weights, len(opened)), n), minlength=self.n), 12)
+            if 0 <= but < self.n:
+                score[but] = 0
             found = np.flatnonzero(score > 0)
-            best = sorted(best + [(-score[i], b * self.block + i) for i in found.tolist() if b * self.block + i != but])[:k]
+            if len(found) > k:  # those that may be among the best k, ties included
+                found = found[score[found] >= np.partition(score[found], -k)[-k]]
+            best = sorted(best + [(-score[i], i) for i in found.tolist()])[:k]
+            at, some = at + some, 2 * some
         return [(-s, i) for s, i in best]
 
 
@@ -124,7 +149,8 @@ class Model:
     """All that scoring needs; its size is bounded by the configuration."""
 
     terms: np.ndarray
-    idf: np.ndarray
+    #: Inverse document frequency times the weight from the labels, of every place.
+    factor: np.ndarray
     index: Index | None
     ids: np.ndarray
     toxic: np.ndarray
@@ -133,7 +159,7 @@ class Model:
     config: ToxicityConfig = field(default_factory=ToxicityConfig)
 
     def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(n)) * self.idf[at]
+        w = (1 + np.log(n)) * self.factor[at]
         return w / np.sqrt((w * w).sum())
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -224,71 +250,88 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
             term, at = np.unique(h, return_inverse=True)
             yield {"term": signed(term), "pos": np.bincount(at, weights=t).astype(np.int64), "neg": np.bincount(at, weights=1 - t).astype(np.int64)}
 
-    a, b = F.col("pos").cast("double"), F.col("neg").cast("double")
-    p, q, n = float(n_pos), float(n_neg), float(n_pos + n_neg)
-    chi2 = n * (a * (q - b) - b * (p - a)) ** 2 / (p * q * (a + b) * (n - a - b) + F.lit(1e-9))
-    lift = ((a + 0.5) / (p + 1)) / ((b + 0.5) / (q + 1))
+    a, b = F.col("pos").cast("double") + 0.5, F.col("neg").cast("double") + 0.5
+    beyond = F.abs(F.log(a / (n_pos + 1)) - F.log(b / (n_neg + 1))) - c.shrink * F.sqrt(1 / a + 1 / b)
     top = (map_arrow(examples.select("doc_id", "text", "toxic"), count, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-           .where(F.col("pos") + F.col("neg") >= c.least_examples).withColumn("chi2", chi2)
-           .where(F.col("chi2") >= c.least_chi2).where(F.greatest(lift, 1 / lift) >= c.least_lift)
-           .orderBy(F.desc("chi2"), "term").limit(c.terms).collect())
-    terms = np.sort(unsigned([r.term for r in top]))
+           .withColumn("beyond", beyond).where("beyond > 0").orderBy(F.desc("beyond"), "term").limit(c.terms).collect())
+    terms = unsigned([r.term for r in top])
+    order = np.argsort(terms)
+    terms = terms[order]
+    weight = np.concatenate([np.array([r.beyond for r in top])[order], np.zeros(c.slots)]) + c.base
 
     # Document frequencies over the whole corpus.
     sent = spark.sparkContext.broadcast(terms)
 
     def frequency(batches):
-        total, rows = np.zeros(len(sent.value), np.int64), 0
+        total, rows = np.zeros(len(sent.value) + c.slots, np.int64), 0
         for batch, texts in groups(batches):
-            _, at, _ = counts_of(texts, sent.value)
+            _, at, _ = counts_of(texts, sent.value, c.slots)
             total += np.bincount(at, minlength=len(total))
             rows += len(texts)
         at = np.flatnonzero(total)
         yield {"at": np.concatenate([[-1], at]), "n": np.concatenate([[rows], total[at]])}
 
-    df = {r["at"]: r["n"] for r in map_arrow(docs.select("text"), frequency, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
-    idf = np.array([math.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    model = Model(terms, idf, None, np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0, 0.0, c)
+    df = map_arrow(docs.select("text"), frequency, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    at, n = df.column("at").to_numpy(), df.column("n").to_numpy()
+    frequent = np.zeros(len(weight))
+    frequent[at[at >= 0]] = n[at >= 0]
+    idf = np.log((1 + n[at < 0].sum()) / (1 + frequent)) + 1
+    model = Model(terms, idf * weight, None, np.zeros(0, np.int64), np.zeros(0, np.int64), 0.0, 0.0, c)
 
     def vectors(batches):
         for batch, texts in groups(batches):
-            doc, at, n = counts_of(texts, sent.value)
+            doc, at, n = counts_of(texts, sent.value, c.slots)
             split = np.searchsorted(doc, np.arange(len(texts) + 1))
-            yield {"doc_id": batch.column("doc_id"), "at": [at[s:e] for s, e in zip(split[:-1], split[1:])], "n": [n[s:e] for s, e in zip(split[:-1], split[1:])]}
-
-    made = []
-    empty = []
-    for r in map_arrow(examples.select("doc_id", "text"), vectors, "doc_id long, at array<long>, n array<long>").collect():  # at most c.examples
-        if r["at"]:
-            at, n = np.array(r["at"]), np.array(r["n"])
-            w = model.vector(at, n)
-            made.append((int(at[np.argmax(w)]), r.doc_id, at, w))
+            yield {"doc_id": batch.column("doc_id")} | {k: [x[s:e].astype("<i4").tobytes() for s, e in zip(split[:-1], split[1:])] for k, x in (("at", at), ("n", n))}
+
+    made, empty = [], []
+    coded = map_arrow(examples.select("doc_id", "text"), vectors, "doc_id long, at binary, n binary").toArrow()  # at most c.examples
+    for doc_id, at, n in zip(*(coded.column(x).to_pylist() for x in ("doc_id", "at", "n"))):
+        if at:
+            at = np.frombuffer(at, "<i4")
+            w = model.vector(at, np.frombuffer(n, "<i4"))
+            made.append((int(at[np.argmax(w)]), doc_id, at, w))
         else:
-            empty.append(label[r.doc_id])
+            empty.append(label[doc_id])
     made.sort(key=lambda x: x[:2])
     model.ids = np.array([m[1] for m in made], np.int64)
     model.toxic = np.array([label[m[1]] for m in made], np.int64)
-    model.index = Index([(m[2], m[3]) for m in made], len(terms), c.block)
-    votes = [model.vote(model.index.nearest(at, w, c.neighbours, but=i)) for i, (_, _, at, w) in enumerate(made)] + [0.0] * len(empty)
-    model.slope, model.offset = _logistic(np.array(votes), np.concatenate([model.toxic, np.array(empty, np.int64)]))
+    model.index = Index([(m[2], m[3]) for m in made], len(weight), c.block)
+
+    # The examples' votes without their own, in tasks like the scores.
+    ready = spark.sparkContext.broadcast(model)
+
+    def voted(batches):
+        for batch, texts in groups(batches):
+            near = _nearest(ready.value, texts, batch.column("doc_id").to_pylist())
+            yield {"doc_id": batch.column("doc_id"), "vote": [ready.value.vote(x) for x in near]}
+
+    votes = {r.doc_id: r.vote for r in map_arrow(examples.select("doc_id", "text"), voted, "doc_id long, vote double").collect()}  # at most c.examples
+    x = [votes[i] for i in model.ids.tolist()] + [0.0] * len(empty)
+    model.slope, model.offset = _logistic(np.array(x), np.concatenate([model.toxic, np.array(empty, np.int64)]))
     return model
 
 
 NEIGHBOURS = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
 
-def _scored(m: Model, texts: list[bytes]) -> tuple[np.ndarray, list[list[dict]]]:
-    n = len(texts)
-    value, near = np.full(n, m.probability(0.0)), [[] for _ in range(n)]
+def _nearest(m: Model, texts: list[bytes], but: list[int] | None = None) -> list[list[tuple[float, int]]]:
+    """Each text's nearest examples, without that of a doc_id in ``but``."""
+    near = [[] for _ in texts]
     if m.index is not None:
-        doc, at, count = counts_of(texts, m.terms)
-        split = np.searchsorted(doc, np.arange(n + 1))
+        own = {int(i): k for k, i in enumerate(m.ids)} if but else {}
+        doc, at, count = counts_of(texts, m.terms, m.config.slots)
+        split = np.searchsorted(doc, np.arange(len(texts) + 1))
         for i in np.flatnonzero(np.diff(split)):
-            own = slice(split[i], split[i + 1])
-            got = m.index.nearest(at[own], m.vector(at[own], count[own]), m.config.neighbours)
-            value[i] = m.probability(m.vote(got))
-            near[i] = [{"doc_id": int(m.ids[j]), "similarity": s, "toxic": int(m.toxic[j])} for s, j in got]
-    return value, near
+            x = slice(split[i], split[i + 1])
+            near[i] = m.index.nearest(at[x], m.vector(at[x], count[x]), m.config.neighbours, own.get(but[i], -1) if but else -1)
+    return near
+
+
+def _scored(m: Model, texts: list[bytes]) -> tuple[np.ndarray, list[list[dict]]]:
+    near = _nearest(m, texts)
+    value = np.array([m.probability(m.vote(x)) for x in near])
+    return value, [[{"doc_id": int(m.ids[j]), "similarity": s, "toxic": int(m.toxic[j])} for s, j in x] for x in near]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

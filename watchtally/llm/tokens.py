@@ -7,8 +7,9 @@ since tokens keep their bytes, the sum of token lengths shows where each ends.
 
 ``byte_encoder``: byte-level BPE whose merges are in the order of the ids has the
 same ids in tiktoken, which is several times faster; its ranks are taken from the
-same file. Texts with special tokens, and files whose merges are ordered
-otherwise, go to the tokenizers library.
+same file. Texts with special tokens, texts with a run of ``LONG_RUN`` or more characters
+of white space or without any (tiktoken's pattern needs stack for each of them), and files
+whose merges are ordered otherwise go to the tokenizers library.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ MOST_CHUNKS = 500_000
 #: Longer chunks come back too seldom to be remembered.
 LONG_CHUNK = 24
 
+#: From such runs on tiktoken isn't asked; it fails at about a million.
+LONG_RUN = 20_000
+_LONG = re.compile(r"\s{%d}|\S{%d}" % (LONG_RUN, LONG_RUN))
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 # White space to Python's split() but not to the tokenizer.
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")
@@ -145,8 +149,10 @@ class ByteEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each whole text."""
-        return [np.array(self.fast.encode_ordinary(t) if self.fast and not any(s in t for s in self.special)
-                         else self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+        return [np.array(self.fast.encode_ordinary(t) if self.fast and self._plain(t) else self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+
+    def _plain(self, text: str) -> bool:
+        return not any(s in text for s in self.special) and (len(text) < LONG_RUN or not _LONG.search(text))
 
 
 @lru_cache(4)

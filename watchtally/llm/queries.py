@@ -69,7 +69,8 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = secrets.findings(docs, secrets.update_ledger(docs))
+    ledger = secrets.append_to_ledger(docs, secrets.corpus_ledger(spark, sf_dir))
+    found = secrets.findings(docs, ledger)
 
     def digest(batches):
         import hashlib

@@ -9,9 +9,11 @@ Every text is content-addressed (SHA-256). The ledger is a table of
 4. joins findings back to every document (path) that carries the blob.
 
 Texts move in one shuffle only, keyed by (doc_id, blob), which no group of
-copies can make hot. A later scan of a grown corpus reads the same ledger and
-scans the new blobs alone; a new rule version scans all again and leaves the old
-entries as history.
+copies can make hot. A corpus's ledger is a folder for each rule version: a later scan
+of the grown corpus, also in another session, reads it, scans the new blobs alone and appends
+their findings; a new rule version scans all again and leaves the old folder as history.
+
+Every rule is linear in the text, with no upper bound on a secret's length.
 
 Rules: the three base kinds, then the added kinds of ``RULES`` in that order.
 Offsets are code points, end exclusive.
@@ -23,6 +25,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 
@@ -30,18 +33,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored
+from watchtally.session import job_folder
+
+from .common import map_arrow, shared_root, stored
 
 #: kind, pattern, group that must be long enough, least length. Fixed values; a match with a shorter group is dropped.
 RULES = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 16),
-    ("key_block", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"), 0, 64),
-    ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 30),
+    # Header lines (Proc-Type, DEK-Info) may stand before the key.
+    ("key_block", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,.]|-(?!----))++-----END [A-Z ]*PRIVATE KEY-----"), 0, 64),
+    # A run of name characters is looked at from its beginning, and only if the rest follows: linear on any text.
+    ("jwt", re.compile(r"(?<![\w-])(?=[A-Za-z0-9_-]++\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8})[A-Za-z0-9_-]*?(?P<span>\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)", re.A), 0, 30),
     ("git_token", re.compile(r"\bgh[opsur]_[A-Za-z0-9]{36,}"), 0, 40),
     ("chat_token", re.compile(r"\bxox[abprs]-[A-Za-z0-9-]{20,}"), 0, 25),
-    ("url_login", re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{6,64}@"), 0, 12),
+    ("url_login", re.compile(r"(?<![a-z0-9+.-])(?=[a-z0-9+.-]++://[^\s:/@]*+:[^\s:/@]{6,}+@)[a-z0-9+.-]*?(?P<span>\b[a-z][a-z0-9+.-]++://[^\s:/@]*+:[^\s:/@]++@)"), 0, 12),
 )
 #: The same matches found faster: a rule runs only where one of its literals occurs (in the text, or lower-cased for "assign").
 NEEDS = {"access": ("AKIA",), "key_block": ("PRIVATE KEY-----",), "jwt": ("eyJ",), "git_token": ("gh",), "chat_token": ("xox",), "url_login": ("://",)}
@@ -63,7 +70,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
                 continue
         elif not any(x in text for x in NEEDS[kind]):
             continue
-        out += [(m.start(), order, m.end()) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
+        own = "span" if "span" in pattern.groupindex else 0
+        out += [(m.start(own), order, m.end(own)) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
     return [(s, e, RULES[o][0]) for s, o, e in sorted(out)]
 
 
@@ -108,8 +116,29 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame) -> DataFrame:
     return found.groupBy("blob", "rule_version").agg(F.max("spans").alias("spans"))  # rows of one doc_id may repeat
 
 
+def ledger_at(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger kept in a folder (empty before the first scan). A blob that two scans appended at the same time counts once."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return empty_ledger(spark)
+    return spark.read.schema(empty_ledger(spark).schema).parquet(folder).dropDuplicates(["blob", "rule_version"])
+
+
+def corpus_ledger(spark: SparkSession, corpus: str) -> str:
+    """The folder of a corpus's ledger under the present rules, the same in every session that names the same shared folder."""
+    shared_root(spark)
+    return job_folder(spark, f"secret-ledger/{hashlib.sha256(corpus.encode()).hexdigest()[:16]}/{RULE_VERSION}")
+
+
+def append_to_ledger(docs: DataFrame, folder: str) -> DataFrame:
+    """Scan what the folder's ledger lacks, append the findings, return the whole ledger."""
+    spark = docs.sparkSession
+    scan_unseen(docs, ledger_at(spark, folder)).write.mode("append").parquet(folder)
+    return ledger_at(spark, folder)
+
+
 def update_ledger(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """The ledger after a scan, written to the shared folder; pass it to the next scan."""
+    """The ledger after a scan, in a table of its own; ``append_to_ledger`` keeps one folder."""
     spark = docs.sparkSession
     old = empty_ledger(spark) if ledger is None else ledger
     new = stored(scan_unseen(docs, old), "secret-ledger")

@@ -88,7 +88,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
             yield {"file": [f"{folder}/{name}"], "width": [width], "n_docs": [len(ids)], "n_tokens": [int(offsets[-1])], "first_id": [ids[0]]}
 
     parts = cut(map_arrow(_ranges(docs.select("doc_id", "text"), rows_each), run, MANIFEST))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    return with_bases(parts)
+
+
+def with_bases(parts: DataFrame) -> DataFrame:
+    """The manifest (one row per part) with the ids before each part, in the order of part numbers (a longer name is a greater number)."""
+    before = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
     return parts.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 

@@ -131,6 +131,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     return cut(map_arrow(with_revisits(pages, min_bytes), run, CAPTURE))
 
 
+#: Archive bytes that a task reads back at least, and tasks at most.
+STRETCH, MOST_TASKS = 4 << 20, 50_000
 FIELD, LINE = "\x1f", "\x1e"
 MANIFEST = "index_file string, first_key string, last_key string, n_lines long"
 
@@ -198,7 +200,7 @@ def write_index(captures: DataFrame, folder: str | None = None, rows_each: int =
     n = max(1, -(-captures.count() // rows_each))
     # Archive and offset split a key that very many captures share.
     dealt = captures.repartitionByRange(n, "surt", "archive", "offset").sortWithinPartitions("surt", "archive", "offset")
-    files = cut(map_arrow(dealt, run, MANIFEST)).orderBy("index_file").collect()  # a row per index file
+    files = cut(map_arrow(dealt, run, MANIFEST)).orderBy(F.length("index_file"), "index_file").collect()  # a row per index file, by number
     fs, root = file_system(folder)
     fs.create_dir(root, recursive=True)
     lines = [FIELD.join([r["index_file"], _escaped(r["first_key"]), _escaped(r["last_key"])]) for r in files]
@@ -269,7 +271,9 @@ def lookup_all(folder: str, urls: DataFrame) -> DataFrame:
 
 
 def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Range-read the record of every capture; each archive is read front to back by the task that opens it."""
+    """Range-read the record of every capture; a stretch of an archive is read front to back by the task that opens it.
+
+    Tasks follow from the bytes behind the captures, not from the few bytes of the captures themselves."""
 
     def run(batches):
         name, f = None, None
@@ -300,7 +304,9 @@ def read_records(captures: DataFrame, with_payload: bool = False) -> DataFrame:
             f.close()
 
     # Rows of one stretch of an archive go to one task; a large archive is shared between tasks.
-    stretch = F.floor(F.col("offset") / (8 << 20))
-    dealt = captures.repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    n_tasks = min(MOST_TASKS, -(-total // STRETCH) or 1)
+    stretch = F.floor(F.col("offset") / STRETCH)
+    dealt = captures.repartition(n_tasks, "archive", stretch).sortWithinPartitions("archive", "offset")
     return map_arrow(dealt.select("archive", "offset", "length"), run,
                      "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if with_payload else ""))

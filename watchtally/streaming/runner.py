@@ -22,14 +22,14 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
 def write_time_slices(df: DataFrame, path: str, slices: int, order_col: str = "ts") -> int:
     """Write a replay topic in event-time order and return how many files are a slice.
 
-    Rows are dealt by ranges of time to ``slices`` times as many files as the session has
-    shuffle partitions, in one job. No file holds a time before that of an earlier file,
+    Rows are dealt by ranges of time to ``slices`` times as many files as a query has state
+    partitions (cores in local mode, else the session's shuffle partitions), in one job. No file holds a time before that of an earlier file,
     and files are stamped in that order, which is the order in which a file
     stream takes them: with ``maxFilesPerTrigger`` of one slice, a micro-batch is read
     by as many tasks as a shuffle has, whatever the size of the topic.
     """
     spark = df.sparkSession
-    per_slice = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_slice = state_partitions(spark) or int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = F.coalesce(F.col(order_col), F.lit(0).cast("bigint"))
     kept = df.persist()                                  # ranges are sampled before the write
     try:

@@ -187,21 +187,22 @@ def test_containment(spark):
 
 # --- 4 ---
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("dense", [0, 7, 40])
+def test_block_max_search_is_exact(dense):
     rng = np.random.default_rng(3)
     rows = []
     for _ in range(300):
         t = np.sort(rng.choice(40, rng.integers(1, 8), replace=False))
         w = rng.random(len(t))
         rows.append((t, w / np.sqrt((w * w).sum())))
-    index = toxicity.Index(rows, 40, 16)
+    index = toxicity.Index(rows, 40, 16, dense)
     full = np.zeros((300, 40))
     for i, (t, w) in enumerate(rows):
         full[i, t] = w
     for t, w in rows[:100]:
         q = np.zeros(40)
         q[t] = w
-        s = np.round(full @ q, 12)
+        s = np.round(full @ q, 9)
         want = sorted((-x, i) for i, x in enumerate(s) if x > 0)[:9]
         got = index.nearest(t, w, 9)
         assert [i for _, i in got] == [i for _, i in want] and np.allclose([x for x, _ in got], [-x for x, _ in want])

@@ -15,8 +15,10 @@ weight. So more labels make weights sharper, but no word ever leaves the vectors
 Search: a block-max inverted index. Examples are numbered by their strongest term
 and dealt into blocks of ``block``; every term has its postings, cut at the blocks,
 and its largest weight in each block. A query bounds each block's best possible
-cosine by the sum of these maxima, opens blocks from the highest bound down, some at a time, and
-stops when the next bound is below its k-th best similarity: the result is exact.
+cosine by the sum of these maxima, opens the blocks with the highest bounds, and then of the
+others those whose bound reaches its k-th best similarity: the result is exact (to nine
+digits, by which ties are told). The commonest words would be most of the postings; they are
+rows of a matrix, and their part of a query's scores is one product with it.
 
 Bounds: the examples are the fitted side, a sample of at most ``examples`` labelled
 rows (lowest hash of doc_id first, near copies by MinHash taken once). They, the places
@@ -57,6 +59,8 @@ class ToxicityConfig:
     base: float = 0.3
     neighbours: int = 15
     block: int = 128
+    #: Places, the commonest, whose weights are kept as a matrix instead of postings.
+    dense: int = 256
 
 
 def terms_of(texts: list[bytes], w: Words | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -100,16 +104,27 @@ def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """Block-max inverted index of unit vectors."""
+    """Block-max inverted index of unit vectors.
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
+    The ``dense`` commonest places, whose postings would be most of the index, are rows of a
+    matrix: their part of all scores comes from one product (``head``). The others have postings.
+    """
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int, dense: int = 0):
         n = len(rows)
         self.n, self.block, self.blocks = n, block, max(1, -(-n // block))
         who = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in rows]) if n else np.zeros(0, np.int32)
         term = np.concatenate([t for t, _ in rows]).astype(np.int64) if n else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in rows]) if n else np.zeros(0)
+        weight = np.concatenate([w for _, w in rows]).astype(np.float64) if n else np.zeros(0)
+        common = np.argsort(-np.bincount(term, minlength=n_terms), kind="stable")[:dense]
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), n))
+        at = self.row[term]
+        self.matrix[at[at >= 0], who[at >= 0]] = weight[at >= 0]
+        who, term, weight = who[at < 0], term[at < 0], weight[at < 0]
         order = np.lexsort((who, term))
-        self.who, self.weight = who[order], weight[order].astype(np.float64)
+        self.who, self.weight = who[order], weight[order]
         cell = term[order] * self.blocks + self.who // block
         # Postings of term t in block b are cut[t * blocks + b] : cut[t * blocks + b + 1].
         self.cut = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32 if len(cell) < 1 << 31 else np.int64)
@@ -117,30 +132,44 @@ class Index:
         np.maximum.at(most, cell, np.nextafter(self.weight.astype(np.float32), np.float32(2)))  # never below the weight
         self.most = most.reshape(n_terms, self.blocks)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
+    def heads(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Each query's scores by the dense places alone, a row of one for each example."""
+        q = np.zeros((len(queries), len(self.matrix)))
+        for i, (terms, weights) in enumerate(queries):
+            at = self.row[terms]
+            q[i, at[at >= 0]] = weights[at >= 0]
+        return q @ self.matrix
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1, head: np.ndarray | None = None) -> list[tuple[float, int]]:
         """The k examples with the highest cosine above 0, best first, ties by number."""
-        bound = weights @ self.most[terms].astype(np.float64)
+        if not self.n:
+            return []
+        head = self.heads([(terms, weights)])[0] if head is None else head
+        rare = self.row[terms] < 0
+        terms, weights = terms[rare], weights[rare]
+        bound = np.maximum.reduceat(head, np.arange(0, self.n, self.block)) + weights @ self.most[terms].astype(np.float64)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best: list[tuple[float, int]] = []
-        at, some = 0, 4
-        while at < len(order):
-            opened = order[at : at + some]
+        for opened in (order[:4], order[4:]):  # the rest after the most promising ones
             if len(best) == k:
                 opened = opened[bound[opened] >= -best[-1][0] - 1e-9]
-                if not len(opened):
-                    break
-            cell = (terms[:, None] * self.blocks + opened).ravel()
-            where, n = _ranges(self.cut[cell].astype(np.int64), self.cut[cell + 1].astype(np.int64))
-            who = self.who[where]
-            score = np.round(np.bincount(who, weights=self.weight[where] * np.repeat(np.repeat(weights, len(opened)), n), minlength=self.n), 12)
-            if 0 <= but < self.n:
-                score[but] = 0
+            if not len(opened):
+                break
+            if 4 * len(opened) < self.blocks:
+                cell = (terms[:, None] * self.blocks + opened).ravel()
+                start, end, each = self.cut[cell], self.cut[cell + 1], np.repeat(weights, len(opened))
+            else:  # a term's blocks lie side by side
+                start, end, each = self.cut[terms * self.blocks], self.cut[(terms + 1) * self.blocks], weights
+            where, n = _ranges(start.astype(np.int64), end.astype(np.int64))
+            rest = np.bincount(self.who[where], weights=self.weight[where] * np.repeat(each, n), minlength=self.n)
+            own = (opened[:, None] * self.block + np.arange(self.block)).ravel()
+            own = own[(own < self.n) & (own != but)]
+            score = np.round(head[own] + rest[own], 9)
             found = np.flatnonzero(score > 0)
             if len(found) > k:  # those that may be among the best k, ties included
                 found = found[score[found] >= np.partition(score[found], -k)[-k]]
-            best = sorted(best + [(-score[i], i) for i in found.tolist()])[:k]
-            at, some = at + some, 2 * some
+            best = sorted(best + [(-score[i], int(own[i])) for i in found.tolist()])[:k]
         return [(-s, i) for s, i in best]
 
 
@@ -296,7 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
     made.sort(key=lambda x: x[:2])
     model.ids = np.array([m[1] for m in made], np.int64)
     model.toxic = np.array([label[m[1]] for m in made], np.int64)
-    model.index = Index([(m[2], m[3]) for m in made], len(weight), c.block)
+    model.index = Index([(m[2], m[3]) for m in made], len(weight), c.block, c.dense)
 
     # The examples' votes without their own, in tasks like the scores.
     ready = spark.sparkContext.broadcast(model)
@@ -322,9 +351,12 @@ def _nearest(m: Model, texts: list[bytes], but: list[int] | None = None) -> list
         own = {int(i): k for k, i in enumerate(m.ids)} if but else {}
         doc, at, count = counts_of(texts, m.terms, m.config.slots)
         split = np.searchsorted(doc, np.arange(len(texts) + 1))
-        for i in np.flatnonzero(np.diff(split)):
-            x = slice(split[i], split[i + 1])
-            near[i] = m.index.nearest(at[x], m.vector(at[x], count[x]), m.config.neighbours, own.get(but[i], -1) if but else -1)
+        filled = np.flatnonzero(np.diff(split))
+        for a in range(0, len(filled), 64):
+            some = filled[a : a + 64].tolist()
+            queries = [(at[x], m.vector(at[x], count[x])) for x in (slice(split[i], split[i + 1]) for i in some)]
+            for i, (places, weights), head in zip(some, queries, m.index.heads(queries)):
+                near[i] = m.index.nearest(places, weights, m.config.neighbours, own.get(but[i], -1) if but else -1, head)
     return near
 
 

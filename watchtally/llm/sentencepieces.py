@@ -19,7 +19,7 @@ Defined cases: a null or empty text has no ids and decodes to the empty text;
 repeated rows and repeated or null doc_ids are encoded each by itself; extra columns
 are ignored; an empty table gives no rows; the strings of control symbols (``<s>``)
 are ordinary text; white space is never joined or dropped. U+2581 in a text is read
-as a blank, as the library does. Whole texts are encoded: memory is about 150 bytes
+as a blank, as the library does. Whole texts are encoded: memory is about 210 bytes
 for each character of the longest run (not text), since a run is merged as a whole.
 Models with other normalisation than the identity, unused or user-defined pieces,
 or unigram models raise ValueError.

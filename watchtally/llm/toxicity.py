@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCT, U64, Words, groups, map_arrow, mix, signed, stored, unsigned
+from .common import PUNCT, U64, Words, give_back, groups, map_arrow, mix, signed, stored, unsigned
 
 PREFIXES = (4, 5, 6, 7)
 
@@ -113,9 +113,10 @@ class Index:
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int, dense: int = 0):
         n = len(rows)
         self.n, self.block, self.blocks = n, block, max(1, -(-n // block))
+        small = np.int32 if n_terms * self.blocks < 1 << 31 else np.int64  # the driver holds these arrays side by side
         who = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in rows]) if n else np.zeros(0, np.int32)
-        term = np.concatenate([t for t, _ in rows]).astype(np.int64) if n else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in rows]).astype(np.float64) if n else np.zeros(0)
+        term = np.concatenate([t for t, _ in rows]).astype(small, copy=False) if n else np.zeros(0, small)
+        weight = np.concatenate([w for _, w in rows]).astype(np.float64, copy=False) if n else np.zeros(0)
         common = np.argsort(-np.bincount(term, minlength=n_terms), kind="stable")[:dense]
         self.row = np.full(n_terms, -1, np.int32)
         self.row[common] = np.arange(len(common))
@@ -123,11 +124,13 @@ class Index:
         at = self.row[term]
         self.matrix[at[at >= 0], who[at >= 0]] = weight[at >= 0]
         who, term, weight = who[at < 0], term[at < 0], weight[at < 0]
-        order = np.lexsort((who, term))
+        order = np.argsort(term, kind="stable")  # by term, then example
         self.who, self.weight = who[order], weight[order]
-        cell = term[order] * self.blocks + self.who // block
+        cell = term[order] * small(self.blocks) + self.who // small(block)
+        del who, term, weight, order, at
         # Postings of term t in block b are cut[t * blocks + b] : cut[t * blocks + b + 1].
-        self.cut = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1)).astype(np.int32 if len(cell) < 1 << 31 else np.int64)
+        self.cut = np.zeros(n_terms * self.blocks + 1, np.int32 if len(cell) < 1 << 31 else np.int64)
+        np.cumsum(np.bincount(cell, minlength=n_terms * self.blocks), out=self.cut[1:])
         most = np.zeros(n_terms * self.blocks, np.float32)
         np.maximum.at(most, cell, np.nextafter(self.weight.astype(np.float32), np.float32(2)))  # never below the weight
         self.most = most.reshape(n_terms, self.blocks)
@@ -315,10 +318,10 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
 
     made, empty = [], []
     coded = map_arrow(examples.select("doc_id", "text"), vectors, "doc_id long, at binary, n binary").toArrow()  # at most c.examples
-    for doc_id, at, n in zip(*(coded.column(x).to_pylist() for x in ("doc_id", "at", "n"))):
-        if at:
-            at = np.frombuffer(at, "<i4")
-            w = model.vector(at, np.frombuffer(n, "<i4"))
+    for doc_id, at, n in zip(coded.column("doc_id").to_pylist(), coded.column("at"), coded.column("n")):
+        if len(at.as_buffer()):
+            at = np.frombuffer(at.as_buffer(), "<i4")
+            w = model.vector(at, np.frombuffer(n.as_buffer(), "<i4"))
             made.append((int(at[np.argmax(w)]), doc_id, at, w))
         else:
             empty.append(label[doc_id])
@@ -326,6 +329,8 @@ def fit(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = ToxicityCon
     model.ids = np.array([m[1] for m in made], np.int64)
     model.toxic = np.array([label[m[1]] for m in made], np.int64)
     model.index = Index([(m[2], m[3]) for m in made], len(weight), c.block, c.dense)
+    del made, coded
+    give_back()
 
     # The examples' votes without their own, in tasks like the scores.
     ready = spark.sparkContext.broadcast(model)

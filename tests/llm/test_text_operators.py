@@ -1,5 +1,7 @@
 """Operators 2, 7, 9 and 10 against plain versions."""
 
+import sys
+
 import numpy as np
 import pytest
 
@@ -143,3 +145,20 @@ def test_fullest_bin_against_all_subsets():
         best = max(s for m in range(1 << len(rest)) if (s := sum(x for k, x in enumerate(rest) if m >> k & 1)) <= cap - longest)
         assert chosen[0] == longest and sum(chosen) == longest + best
         assert all(chosen.count(x) <= counts[x] for x in chosen)
+
+
+def test_reading_tasks_keep_no_encoder(spark, monkeypatch):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    manifest = tokenfile.write_tokens(spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string").coalesce(1), path, 2)
+    monkeypatch.setattr(tokenfile, "map_arrow", lambda df, run, schema: [*run(df.toArrow().to_batches())])
+    word_encoder(path)
+    assert [*map(int, tokenfile.read_tokens(manifest)[0]["start"])] == [0, 3] and word_encoder.cache_info().currsize == 0
+
+
+def test_remembered_chunks_stay_small():
+    e = word_encoder(queries.tokenizer_path("word_bpe_49k.json"))
+    e.known.clear()
+    for a in range(0, 480_000, 30_000):
+        e.encode([" ".join(f"x{i:x}y" for i in range(a, a + 30_000))])
+    size = sys.getsizeof(e.known) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in e.known.items())
+    assert size < 50 << 20 and e.encode(["x5y x33433y"])[0].tolist() == e.plain("x5y x33433y").tolist()

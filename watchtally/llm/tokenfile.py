@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import cut, map_arrow, shared_folder
-from .tokens import word_encoder
+from .tokens import forget_encoders, word_encoder
 
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "file string, width int, n_docs long, n_tokens long, first_id long"
@@ -116,6 +116,7 @@ def read_tokens(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and the ids) of every document in the files."""
 
     def run(batches):
+        forget_encoders()
         for batch in batches:
             for row in batch.to_pylist():
                 doc_ids, offsets, ids = open_part(row["file"], row["width"])

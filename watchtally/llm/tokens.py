@@ -22,8 +22,10 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 
-#: Chunks remembered by a worker (about 100 MB); beyond them, chunks are encoded each time.
-MOST_CHUNKS = 500_000
+from .common import give_back
+
+#: Chunks remembered by a worker (about 70 MB); beyond them, chunks are encoded each time.
+MOST_CHUNKS = 250_000
 #: Longer chunks come back too seldom to be remembered.
 LONG_CHUNK = 24
 
@@ -163,3 +165,10 @@ def byte_encoder(path: str) -> ByteEncoder:
 @lru_cache(4)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
+
+
+def forget_encoders() -> None:
+    """Free the encoders of this worker, for tasks of later stages that don't encode."""
+    byte_encoder.cache_clear()
+    word_encoder.cache_clear()
+    give_back()

@@ -4,18 +4,23 @@ The reference's (unwired) trigger fires a session window either when the
 event-time watermark passes its end or ``delay`` after it in processing
 time, whichever comes first, so a user who stops sending events still gets a result.
 Spark's session windows only close on the watermark, so this is a keyed processor
-with one processing-time timer per (user, video), which reads the query's watermark too:
-
-* rows are folded into the key's open sessions (intervals that grow and merge),
+with one processing-time timer per key, which reads the query's watermark too. Sessions
+are those of a (user, video). Every call and every access of its state or timers is a
+round trip between the Python worker and the JVM, so a key is a user with a
+watermark: one state value holds the user's videos, and those whose late rows the watermark
+drops by itself (two gaps behind it) leave it, so it stays as small as what a user
+watches within that time. Without a watermark a key is a (user, video).
+
+* rows are folded into the open sessions of a (user, video) (intervals that grow and merge),
   so what a micro-batch holds of a key is its sessions, not its events;
-* a session with a later one of its key behind the gap is emitted ("gap");
+* a session with a later one of its (user, video) behind the gap is emitted ("gap");
 * the open session is emitted when the watermark, moved by any user's rows, has passed
-  its end ("watermark"): at the key's next rows or at its timer, which looks every
-  ``check_ms``. Only open sessions have a timer;
+  its end ("watermark"): at its next rows or at the key's timer, which looks every
+  ``check_ms``. Only keys with open sessions have a timer;
 * every update sets the idle time to ``now + delay`` (wall clock, not the
   reference's event-time-based timer: SURVEY Q18); when it has passed, the open session
   is emitted ("idle");
-* the end of the last emitted session stays in the state: a row within ``gap`` of
+* the end of the last emitted session stays known: a row within ``gap`` of
   it, or before it, belongs to what was counted already and is late (dropped). A
   session is never emitted twice nor reopened, so job 2 can't count it twice.
   A row whose own window has expired under the watermark is late too.
@@ -26,6 +31,7 @@ decision, rows of the same session that come after it are late.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_right
 from datetime import datetime
 from typing import Iterator
@@ -37,15 +43,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from watchtally.operators.sessions import event_time
 
-OPEN_SCHEMA = T.StructType([
-    T.StructField("n", T.LongType()),
-    T.StructField("t0", T.LongType()),
-    T.StructField("t1", T.LongType()),
-    T.StructField("level", T.IntegerType()),
-    T.StructField("video_length", T.IntegerType()),
-    T.StructField("emitted", T.LongType()),     # end of the last emitted session
-    T.StructField("due", T.LongType()),         # wall clock at which the open one is idle
-])
+# the videos of a key as a JSON list (Spark takes about a millisecond to write a nested value of
+# Python's) of [resourceId, n, t0, t1, level, video_length, end of the last emitted session,
+# wall clock at which the open one is idle]
+STATE_SCHEMA = T.StructType([T.StructField("watches", T.StringType())])
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("userCode", T.StringType()),
@@ -71,12 +72,21 @@ class IdleFlushProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", OPEN_SCHEMA)
+        self.state = handle.getValueState("watches", STATE_SCHEMA)
 
-    def _emit(self, key, s, how) -> Row:
-        return Row(userCode=key[0], resourceId=key[1], n=int(s[0]), t0=int(s[1]),
+    def _emit(self, user, video, s, how) -> Row:
+        return Row(userCode=user, resourceId=video, n=int(s[0]), t0=int(s[1]),
                    t1=int(s[2]), level=s[3], video_length=s[4], closed_by=how)
 
+    def _store(self, watches: dict, watermark: int | None) -> None:
+        """Keep what later rows need: open sessions, and ends that the watermark hasn't left behind."""
+        kept = [(video, *w) for video, w in watches.items()
+                if w[0] or watermark is None or w[5] + 2 * self.gap_ms > watermark]
+        if kept:
+            self.state.update((json.dumps(kept),))
+        else:
+            self.state.clear()
+
     def _watermark(self, timer_values) -> int | None:
         return timer_values.getCurrentWatermarkInMs() if self.by_watermark else None
 
@@ -84,40 +94,55 @@ class IdleFlushProcessor(StatefulProcessor):
         return watermark is not None and t1 + self.gap_ms <= watermark
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self.open.get()
-        emitted = old[5] if old is not None else None
+        old = self.state.get()
+        watches = {} if old is None else {w[0]: tuple(w[1:]) for w in json.loads(old[0])}
         watermark, now = self._watermark(timerValues), timerValues.getCurrentProcessingTimeInMs()
-        # sessions (n, t0, t1, level, video_length) in time order, more than a gap apart
-        runs = [list(old[:5])] if old is not None and old[0] else []
-        had_timer = bool(runs)
-        starts = [r[1] for r in runs]
+        had_timer = any(w[0] for w in watches.values())
+        # by video: sessions (n, t0, t1, level, video_length) in time order, more than a gap apart
+        found: dict = {}
         for r in rows:
-            ts = int(r["ts"])
+            ts, video = int(r["ts"]), r["resourceId"]
+            w = watches.get(video)
+            if video not in found:
+                runs = [list(w[:5])] if w is not None and w[0] else []
+                found[video] = runs, [s[1] for s in runs]
+            emitted = w[5] if w is not None else None
             if emitted is not None and ts - emitted <= self.gap_ms or self._passed(ts, watermark):
                 continue                                  # late
-            _fold(runs, starts, [1, ts, ts, r["level"], r["video_length"]], self.gap_ms)
-        for k, s in enumerate(runs):
-            if k < len(runs) - 1 or self._passed(s[2], watermark):
-                emitted = int(s[2])
-                yield self._emit(key, s, "gap" if k < len(runs) - 1 else "watermark")
-        if runs and int(runs[-1][2]) != emitted:
-            self.open.update((*runs[-1], emitted, now + self.delay_ms))
-            if not had_timer:
-                self.handle.registerTimer(now + min(self.check_ms, self.delay_ms))
-        else:
-            self.open.update((0, None, None, None, None, emitted, None))
+            _fold(*found[video], [1, ts, ts, r["level"], r["video_length"]], self.gap_ms)
+        for video, (runs, _) in found.items():
+            emitted = watches[video][5] if video in watches else None
+            for k, s in enumerate(runs):
+                if k < len(runs) - 1 or self._passed(s[2], watermark):
+                    emitted = int(s[2])
+                    yield self._emit(key[0], video, s, "gap" if k < len(runs) - 1 else "watermark")
+            if runs and int(runs[-1][2]) != emitted:
+                watches[video] = (*runs[-1], emitted, now + self.delay_ms)
+            elif emitted is not None:
+                watches[video] = (0, None, None, None, None, emitted, None)
+        if not had_timer and any(w[0] for w in watches.values()):
+            self.handle.registerTimer(now + min(self.check_ms, self.delay_ms))
+        self._store(watches, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        cur = self.open.get()
-        if cur is None or not cur[0]:
-            return                                        # closed meanwhile
-        now = timerValues.getCurrentProcessingTimeInMs()
-        passed = self._passed(int(cur[2]), self._watermark(timerValues))
-        if passed or now >= cur[6]:
-            self.open.update((0, None, None, None, None, int(cur[2]), None))
-            yield self._emit(key, tuple(cur), "watermark" if passed else "idle")
-        else:
-            self.handle.registerTimer(min(int(cur[6]), now + self.check_ms))
+        old = self.state.get()
+        watches = {} if old is None else {w[0]: tuple(w[1:]) for w in json.loads(old[0])}
+        watermark, now = self._watermark(timerValues), timerValues.getCurrentProcessingTimeInMs()
+        dues, closed = [], False
+        for video, w in watches.items():
+            if not w[0]:
+                continue                                  # closed meanwhile
+            passed = self._passed(int(w[2]), watermark)
+            if passed or now >= w[6]:
+                closed = True
+                watches[video] = (0, None, None, None, None, int(w[2]), None)
+                yield self._emit(key[0], video, w, "watermark" if passed else "idle")
+            else:
+                dues.append(int(w[6]))
+        if dues:
+            self.handle.registerTimer(min(min(dues), now + self.check_ms))
+        if closed:
+            self._store(watches, watermark)
 
     def close(self) -> None:
         pass
@@ -181,7 +206,8 @@ def idle_flush_sessions(dwd: DataFrame, gap_ms: int, delay_ms: int,
                                 F.timestamp_millis(F.col("ts") + int(gap_ms)).alias("closes"))
     if watermark_delay is not None:
         ev = ev.withWatermark("closes", f"{watermark_delay} {int(gap_ms)} milliseconds")
-    return (ev.groupBy("userCode", "resourceId")
+    keys = ["userCode"] if watermark_delay is not None else ["userCode", "resourceId"]
+    return (ev.groupBy(*keys)
               .transformWithState(
                   statefulProcessor=IdleFlushProcessor(gap_ms, delay_ms, watermark_delay is not None, check_ms),
                   outputStructType=OUTPUT_SCHEMA,

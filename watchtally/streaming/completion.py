@@ -3,14 +3,15 @@
 Runs right after the session-window aggregation and the broadcast rule join, in one
 streaming query or behind a topic of matched sessions. A key's input is the few
 sessions that closed in a micro-batch, each with the tasks of its level; its state
-(typed, RocksDB, checkpointed with the source offsets: SURVEY Q11) is
+(RocksDB, checkpointed with the source offsets: SURVEY Q11) is one value:
 
-* ``tasks``: a map from task code to the running totals, first thresholds and flag;
+* ``tasks``: for each task code the running totals, first thresholds and flag;
 * ``last``: the start of the last session that was counted. A user's sessions of a
   video close in order, so a session that doesn't lie behind it was counted before: a
   topic that delivers a session again after a failure changes nothing.
 
-One call and one state lookup for each (user, video), however many tasks it has.
+One call, one state read and one write for each (user, video), however many tasks it
+has: every access of the state is a round trip between the Python worker and the JVM.
 
 The grouping column is one struct, ``watch``: keyed state on the same two columns
 that a session window above it is keyed on doesn't start in this Spark version.
@@ -18,6 +19,7 @@ that a session window above it is keyed on doesn't start in this Spark version.
 
 from __future__ import annotations
 
+import json
 from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -27,15 +29,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from watchtally.functions.scalar import VIDEO
 
-STATE_SCHEMA = T.StructType([
+TASK_SCHEMA = T.StructType([
+    T.StructField("taskCode", T.StringType()),
     T.StructField("complete", T.BooleanType()),
     T.StructField("videoLength", T.LongType()),
     T.StructField("videoPercent", T.DoubleType()),
     T.StructField("ruleLength", T.IntegerType()),
     T.StructField("rulePercent", T.DoubleType()),
+    T.StructField("changed", T.LongType()),     # wall clock, with a time to live only
+])
+# the tasks as JSON records: Spark takes about a millisecond to write a nested value of Python's
+STATE_SCHEMA = T.StructType([
+    T.StructField("last", T.LongType()),
+    T.StructField("tasks", T.StringType()),
 ])
-TASK_KEY = T.StructType([T.StructField("taskCode", T.StringType())])
-LAST_SCHEMA = T.StructType([T.StructField("s0", T.LongType())])
 
 OUTPUT_SCHEMA = T.StructType([
     T.StructField("userCode", T.StringType()),
@@ -46,6 +53,7 @@ OUTPUT_SCHEMA = T.StructType([
 ])
 
 STATE_NAME = "tasks"
+TASK_FIELDS = TASK_SCHEMA.names
 
 
 def advance(state: tuple | None, length: int, percent: float, rule_length: int,
@@ -68,32 +76,33 @@ class CompletionProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # optional expiry of idle keys
-        self.tasks = handle.getMapState(STATE_NAME, TASK_KEY, STATE_SCHEMA, self.state_ttl_ms)
-        self.last = handle.getValueState("last", LAST_SCHEMA, self.state_ttl_ms)
+        self.state = handle.getValueState(STATE_NAME, STATE_SCHEMA, self.state_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()
-        sessions = sorted((r for r in rows if last is None or r["s0"] > last[0]),
+        old = self.state.get()
+        last = None if old is None else old[0]
+        sessions = sorted((r for r in rows if last is None or r["s0"] > last),
                           key=lambda r: r["s0"])
         if not sessions:
             return
-        known = {} if last is None else {k[0]: tuple(v) for k, v in self.tasks.iterator()}
-        changed = set()
+        ttl = self.state_ttl_ms
+        now = timerValues.getCurrentProcessingTimeInMs() if ttl else None
+        known = {} if old is None else {t["taskCode"]: tuple(t.values())[1:] for t in json.loads(old[1])
+                                        if not ttl or t["changed"] + ttl > now}
         for r in sessions:
             for t in r["tasks"]:
                 code = t["taskCode"]
-                old = known.get(code)
-                if old is not None and old[0]:
+                before = known.get(code)
+                if before is not None and before[0]:
                     continue                                 # T7c: frozen
-                known[code] = new = advance(old, int(r["measure"]), float(r["videoPercent"]),
-                                            int(t["ruleLength"]), float(t["rulePercent"]))
-                changed.add(code)
+                new = advance(before and before[:5], int(r["measure"]), float(r["videoPercent"]),
+                              int(t["ruleLength"]), float(t["rulePercent"]))
+                known[code] = (*new, now)
                 if new[0]:
                     yield Row(userCode=key[0]["userCode"], taskCode=code, eventType=VIDEO,
                               videoId=key[0]["videoId"], s0=int(r["s0"]))
-        for code in changed:
-            self.tasks.updateValue((code,), known[code])
-        self.last.update((int(sessions[-1]["s0"]),))
+        tasks = [dict(zip(TASK_FIELDS, (code, *t))) for code, t in known.items()]
+        self.state.update((int(sessions[-1]["s0"]), json.dumps(tasks)))
 
     def close(self) -> None:
         pass

@@ -6,14 +6,15 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from watchtally.streaming.completion import STATE_NAME
+from watchtally.streaming.completion import STATE_NAME, TASK_SCHEMA
 
 
 def completion_state_snapshot(spark: SparkSession, checkpoint: str,
                               operator_id: int | None = None) -> DataFrame:
     """Every (user, video, task) state of a job-2 query, read from its checkpoint
-    (one row a task of each key's map) — the stream's counterpart of the reference's
+    (one row a task of each key) — the stream's counterpart of the reference's
     key listing. Finds the keyed-state operator when ``operator_id`` is not given."""
     if operator_id is None:
         meta = spark.read.format("state-metadata").load(checkpoint)
@@ -24,7 +25,10 @@ def completion_state_snapshot(spark: SparkSession, checkpoint: str,
         operator_id = own[0]
     df = (spark.read.format("statestore").option("operatorId", operator_id)
           .option("stateVarName", STATE_NAME).load(checkpoint))
-    return df.select("key.watch.*", "user_map_key.*", "user_map_value.*")
+    state = "value" if "tasks" in df.schema["value"].dataType.names else "value.value"   # with a time to live
+    tasks = F.from_json(f"{state}.tasks", T.ArrayType(TASK_SCHEMA), {"mode": "FAILFAST"})
+    return (df.select("key.watch.*", F.inline(tasks))
+              .select("userCode", "videoId", *[c for c in TASK_SCHEMA.names if c != "changed"]))
 
 
 def _print_row(label: str, row) -> None:
